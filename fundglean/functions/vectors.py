@@ -30,45 +30,37 @@ def cosine_distance(a: Column, b: Column, norm_a: Column | None = None,
 
 
 def word_bucket(word: Column, dimension: int) -> Column:
-    """0-based bucket of a word, from the first four hex digits of its md5."""
-
-    def number(code: Column) -> Column:
-        total = F.lit(0)
-        for position in range(1, 5):
-            at = F.instr(F.lit("0123456789abcdef"), F.substring(code, position, 1))
-            total = total * 16 + at - 1
-        return total
-
-    return F.pmod(let(F.md5(word), number), F.lit(dimension))
+    """0-based bucket of a word, from its CRC-32."""
+    return F.pmod(F.crc32(word), F.lit(dimension)).cast("int")
 
 
 def bucket_counts(buckets: Column, dimension: int) -> Column:
     """Dense histogram of an array of bucket numbers, from the runs of the sorted array."""
 
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), n.cast("int"))
+
     def run_starts(ordered: Column) -> Column:
         begins = F.transform(
-            ordered,
-            lambda b, i: F.when((i == 0) | (F.get(ordered, i - 1) != b), i),
+            ordered, lambda b, i: F.when((i == 0) | (F.get(ordered, i - 1) != b), i)
         )
-        return F.filter(begins, lambda i: i.isNotNull())
-
-    def histogram(ordered: Column, starts: Column) -> Column:
-        lengths = F.transform(
-            starts, lambda at, k: F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at
-        )
-        return F.map_from_arrays(F.transform(starts, lambda at: F.get(ordered, at)), lengths)
-
-    def dense(counts: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dimension - 1)),
-            lambda b: F.coalesce(counts[b], F.lit(0)).cast("double"),
+        return F.array_compact(begins)
+
+    def dense(ordered: Column, starts: Column) -> Column:
+        def entry(at: Column, k: Column) -> Column:
+            before = F.when(at > 0, F.get(ordered, at - 1)).otherwise(F.lit(-1))
+            after = F.coalesce(F.get(starts, k + 1), F.size(ordered))
+            count = F.array((after - at).cast("double"))
+            return F.concat(zeros(F.get(ordered, at) - before - 1), count)
+
+        last = F.coalesce(F.get(ordered, F.size(ordered) - 1), F.lit(-1))
+        return F.concat(
+            F.flatten(F.transform(starts, entry)), zeros(dimension - 1 - last)
         )
 
     return let(
         F.sort_array(buckets),
-        lambda ordered: let(
-            let(run_starts(ordered), lambda starts: histogram(ordered, starts)), dense
-        ),
+        lambda ordered: let(run_starts(ordered), lambda starts: dense(ordered, starts)),
     )
 
 

@@ -78,3 +78,19 @@ def document_of_type(manifest: DataFrame, doc_type: str, keys=FILING_KEYS) -> Da
         .otherwise("ambiguous")
         .alias("status"),
     )
+
+
+def requested_chunks(chunks: DataFrame, requests: DataFrame) -> DataFrame:
+    """Chunk lookup for many filings at once.
+
+    ``requests`` has the filing keys and ``chunk_nums``; an empty array asks for
+    all chunks of the filing.
+    """
+    wanted = (F.size("chunk_nums") == 0) | F.array_contains(
+        F.col("chunk_nums"), F.col("chunk_num")
+    )
+    return (
+        chunks.join(requests.select(*FILING_KEYS, "chunk_nums"), list(FILING_KEYS))
+        .where(wanted)
+        .select(*chunks.columns)
+    )
