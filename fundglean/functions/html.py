@@ -6,6 +6,7 @@ wrapped and a table row becomes one ``a | b`` line.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -43,6 +44,9 @@ TAG_TEXT = {
     "<td": " | ",
     "<th": " | ",
 }
+# The references most pages consist of; looked at before the full table.
+COMMON_ENTITIES = ("amp", "nbsp", "lt", "gt", "quot")
+
 _TAG = r"</?[a-zA-Z!][^>]*(?:>|\z)"
 _TAG_START = r"^</?[a-zA-Z][a-zA-Z0-9]*"
 
@@ -159,7 +163,7 @@ def replace_tags(html: Column) -> Column:
 
     The page is cut at its tags once, instead of one pass for every kind of tag.
     """
-    texts = F.create_map(*[F.lit(x) for pair in TAG_TEXT.items() for x in pair])
+    texts = F.from_json(F.lit(json.dumps(TAG_TEXT)), "map<string,string>")
 
     def rendered(names: Column) -> Column:
         return F.transform(
@@ -183,9 +187,15 @@ def replace_tags(html: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Resolve named, decimal and hexadecimal character references."""
-    names = F.create_map(
-        *[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))]
-    )
+    table = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
+    names = F.from_json(F.lit(table), "map<string,string>")  # folded to a constant
+
+    def named(ref: Column) -> Column:
+        found = F.when(F.startswith(ref, F.lit("#")), numeric(ref))
+        for name in COMMON_ENTITIES:
+            found = found.when(ref == name, F.lit(chr(name2codepoint[name])))
+        return found.otherwise(names[ref])
+
     reference = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
     def numeric(ref: Column) -> Column:
@@ -200,9 +210,8 @@ def decode_entities(text: Column) -> Column:
 
     def resolve(part: Column, ref: Column) -> Column:
         rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        char = F.when(F.startswith(ref, F.lit("#")), numeric(ref)).otherwise(names[ref])
         return F.coalesce(
-            F.when(ref != "", F.concat(char, rest)), F.concat(F.lit("&"), part)
+            F.when(ref != "", F.concat(named(ref), rest)), F.concat(F.lit("&"), part)
         )
 
     parts = F.transform(
@@ -211,7 +220,15 @@ def decode_entities(text: Column) -> Column:
             let(F.regexp_extract(part, reference, 1), lambda ref: resolve(part, ref))
         ),
     )
-    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+    plain = text
+    for name in reversed(COMMON_ENTITIES):  # the ampersand itself comes last
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+    others = rf"&(?!(?:{'|'.join(COMMON_ENTITIES)});)[#A-Za-z]"
+    return (
+        F.when(~F.contains(text, F.lit("&")), text)
+        .when(~F.rlike(text, F.lit(others)), plain)
+        .otherwise(F.array_join(parts, ""))
+    )
 
 
 def html_to_text(html: Column) -> Column:

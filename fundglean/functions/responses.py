@@ -56,25 +56,24 @@ def unwrap_json(response: Column) -> Column:
     """Take JSON out of a markdown fence, if what is inside parses."""
     opening, fence = "```json", "```"
 
-    def candidate(at: Column) -> Column:
-        last = F.length(response) - F.instr(F.reverse(response), fence) - len(fence) + 2
+    def inside(whole: Column, at: Column) -> Column:
+        last = F.length(whole) - F.instr(F.reverse(whole), fence) - len(fence) + 2
         start = at + len(opening)
-        inside = F.substring(response, start, F.greatest(last - start, F.lit(0)))
-        return F.when(at > 0, inside).otherwise(strip(response))
+        fenced = F.substring(whole, start, F.greatest(last - start, F.lit(0)))
+        return F.when(at > 0, fenced).otherwise(strip(whole))
 
-    def checked(text: Column) -> Column:
-        return F.when(_is_json(text), text).otherwise(response)
+    def unwrapped(whole: Column) -> Column:
+        candidate = let(F.instr(whole, opening), lambda at: inside(whole, at))
+        taken = let(candidate, lambda text: F.when(_is_json(text), text).otherwise(whole))
+        return F.when(F.length(whole) > MIN_WRAPPED, taken).otherwise(whole)
 
-    return F.when(
-        F.length(response) > MIN_WRAPPED,
-        let(let(F.instr(response, opening), candidate), checked),
-    ).otherwise(response)
+    return let(response, unwrapped)
 
 
 def trustee_count(response: Column) -> Column:
     """Length of the ``trustees`` array; NULL if it is missing or no array."""
     listed = F.try_variant_get(F.try_parse_json(response), "$.trustees", "array<variant>")
-    return F.when(listed.isNotNull(), F.size(listed))
+    return let(listed, lambda people: F.when(people.isNotNull(), F.size(people)))
 
 
 def response_view(response: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundglean.functions.binding import let
 from fundglean.functions.responses import (
     DUMMY_RESPONSE,
     PROMPT,
@@ -100,12 +101,15 @@ def asked(prompt: Column, ask: Ask) -> Column:
 
 def answer(candidate: Column, response: Column) -> Column:
     """What is kept of one try."""
-    return F.struct(
-        candidate["ordinal"].alias("ordinal"),
-        candidate["chunks"].alias("chunks"),
-        candidate["text"].alias("text"),
-        response.alias("response"),
-        trustee_count(response).alias("n_trustee"),
+    return let(
+        response,
+        lambda r: F.struct(
+            candidate["ordinal"].alias("ordinal"),
+            candidate["chunks"].alias("chunks"),
+            candidate["text"].alias("text"),
+            r.alias("response"),
+            trustee_count(r).alias("n_trustee"),
+        ),
     )
 
 
@@ -130,14 +134,15 @@ def ask_in_turn(candidates: DataFrame, ask: Ask, template: str = PROMPT) -> Data
             "_prompt",
             F.when(unanswered & candidate.isNotNull(), fill_prompt(candidate["text"], template)),
         )
-        df = df.withColumn("_response", unwrap_json(asked(F.col("_prompt"), ask)))
+        df = df.withColumn("_raw", asked(F.col("_prompt"), ask))
+        df = df.withColumn("_response", unwrap_json(F.col("_raw")))
         df = df.withColumn(
             "answers",
             F.when(
                 F.col("_prompt").isNotNull(),
                 F.array_append("answers", answer(candidate, F.col("_response"))),
             ).otherwise(F.col("answers")),
-        ).drop("_prompt", "_response")
+        ).drop("_prompt", "_raw", "_response")
     return df.select(*FILING_KEYS, "answers")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundglean import schemas
+from fundglean.functions.binding import let
 from fundglean.functions.chunking import DEFAULT_CHUNK_SIZE, chunk_text
 from fundglean.functions.html import html_to_text
 from fundglean.functions.paths import is_html_path
@@ -93,13 +94,14 @@ def chunk_pages(
 ) -> DataFrame:
     """HTML pages with filing keys -> numbered chunks; no shuffle.
 
-    Filings that give a single chunk are dropped while their chunks are still one
-    array.
+    Filings that give a single chunk are dropped inside the expression: a filter
+    after it would be pushed down and work out the chunks a second time.
     """
-    chunked = pages.select(
-        *FILING_KEYS, chunk_text(html_to_text(F.col(page_column)), size).alias("chunks")
-    ).where(F.size("chunks") > 1)
-    return numbered(chunked, F.col("chunks"), "chunk_text")
+    chunks = let(
+        chunk_text(html_to_text(F.col(page_column)), size),
+        lambda found: F.when(F.size(found) > 1, found),
+    )
+    return numbered(pages, chunks, "chunk_text")
 
 
 def chunk(

@@ -44,21 +44,24 @@ def filing_headers(pages: DataFrame) -> DataFrame:
             field(d, "FILENAME").alias("filename"),
         ),
     )
-    described = F.filter(documents, lambda d: (d["type"] != "") & (d["filename"] != ""))
     return pages.withColumn("sgml", text).select(
         F.regexp_extract("path", r"edgar/data/(\d+)/", 1).alias("cik"),
         F.regexp_extract("path", r"([^/]+)-index-headers\.html$", 1).alias("accession_number"),
         F.when(has_header, F.try_to_date(filed, "yyyyMMdd")).alias("date_filed"),
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"),
-        F.when(has_header, described).alias("documents"),
+        F.when(has_header, documents).alias("documents"),
     )
 
 
 def manifest(headers: DataFrame) -> DataFrame:
     """One row per document: keys, date, type, sequence, filename and its path."""
-    return headers.select(
-        "cik", "accession_number", "date_filed", "folder", F.inline("documents")
-    ).withColumn("path", F.concat_ws("/", "folder", "filename")).drop("folder")
+    described = F.filter(
+        "documents", lambda d: (d["type"] != "") & (d["filename"] != "")
+    )
+    documents = headers.select(
+        "cik", "accession_number", "date_filed", "folder", F.inline(described)
+    )
+    return documents.withColumn("path", F.concat_ws("/", "folder", "filename")).drop("folder")
 
 
 def with_contents(wanted: DataFrame, pages: DataFrame, how: str = "left") -> DataFrame:

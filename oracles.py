@@ -16,7 +16,7 @@ def strip(x: str) -> str:
 def empty_line(x: str) -> str:
     words = rf"regexp_extract_all({x}, '[\p{{L}}\p{{N}}_]+')"
     return (
-        f"({strip(x)} = '' OR len(list_filter({words}, w -> length(w) > 2)) = 0"
+        f"({strip(x)} = '' OR len(list_filter({words}, lambda w: length(w) > 2)) = 0"
         rf" OR (length({strip(x)}) < 5 AND NOT regexp_matches({x}, '\p{{L}}')))"
     )
 
@@ -170,7 +170,7 @@ RESPONSES = """responses AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS accession_number, o_orderpriority,
       '{"compensation_info_present":true,"trustees":[' ||
       array_to_string(list_transform(range(1, coalesce(n, 0) + 1),
-        i -> '{"name":"T' || i || '"}'), ',') ||
+        lambda i: '{"name":"T' || i || '"}'), ',') ||
       '],"notes":"' || o_orderpriority || '"}' AS body
     FROM orders LEFT JOIN (
       SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag = 'A') AS n
@@ -318,7 +318,7 @@ ORACLES: dict[str, str] = {
                  ORDER BY chunk_num) AS states
           FROM pieces GROUP BY doc_id),
         folded AS (
-          SELECT doc_id, p, list_concat([0::BIGINT], list_reduce(states, (s, x) ->
+          SELECT doc_id, p, list_concat([0::BIGINT], list_reduce(states, lambda s, x:
             {{'filled': CASE WHEN s.filled + x.filled > 500 THEN x.filled
                             ELSE s.filled + x.filled END,
               'at': s.at + 1,
@@ -327,7 +327,7 @@ ORACLES: dict[str, str] = {
           FROM listed),
         cut AS (
           SELECT doc_id, unnest(range(len(b))) AS k,
-            unnest(list_transform(range(1, len(b) + 1), i -> array_to_string(
+            unnest(list_transform(range(1, len(b) + 1), lambda i: array_to_string(
               p[b[i] + 1 : coalesce(b[i + 1], len(p))], chr(10) || chr(10)))) AS chunk_text
           FROM folded)
         SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER)
@@ -397,7 +397,7 @@ ORACLES: dict[str, str] = {
           FROM candidates)
         SELECT cik, accession_number, chunks AS selected_chunks, text AS selected_text,
           CASE WHEN n > 1 THEN '{{"trustees":[' || array_to_string(list_transform(range(1, n + 1),
-            i -> '{{"name":"T' || i || '"}}'), ',') || ']}}' ELSE '' END AS response,
+            lambda i: '{{"name":"T' || i || '"}}'), ',') || ']}}' ELSE '' END AS response,
           CASE WHEN n > 1 THEN n ELSE 0 END AS n_trustee
         FROM tried WHERE pick = 1""",
     "dummy_extract": f"""WITH {CANDIDATES}
@@ -415,7 +415,7 @@ ORACLES: dict[str, str] = {
         parsed AS (SELECT accession_number,
             CASE WHEN json_valid(response) THEN response END AS j FROM unwrapped),
         people AS (SELECT accession_number, j,
-            coalesce(json_array_length(j, '$.trustees'), 0) AS n FROM parsed)
+            CAST(coalesce(json_array_length(j, '$.trustees'), 0) AS BIGINT) AS n FROM parsed)
         SELECT accession_number, j ->> '$.notes' AS notes,
           json_extract_string(j, '$.trustees[' || i || '].name') AS name
         FROM people, LATERAL (SELECT unnest(range(greatest(n, 1))) AS i)""",
@@ -429,14 +429,14 @@ ORACLES: dict[str, str] = {
         counted AS (SELECT doc_id, w, count(*) AS n FROM words GROUP BY 1, 2),
         crc_table AS (
           SELECT list(c ORDER BY i) AS t FROM (
-            SELECT i, list_reduce(list_concat([i], range(8)), (c, k) ->
+            SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k:
               CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
             FROM range(256) r(i))),
         vocabulary AS (
           SELECT w, xor(list_reduce(
             list_concat([4294967295::BIGINT], list_transform(range(1, length(hex(w)), 2),
-              k -> CAST('0x' || substr(hex(w), k, 2) AS BIGINT))),
-            (c, b) -> xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295::BIGINT) % 64 AS bucket
+              lambda k: CAST('0x' || substr(hex(w), k, 2) AS BIGINT))),
+            lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295::BIGINT) % 64 AS bucket
           FROM (SELECT DISTINCT w FROM counted), crc_table),
         buckets AS (
           SELECT doc_id, bucket, sum(n) AS n FROM counted JOIN vocabulary USING (w) GROUP BY 1, 2)
@@ -451,7 +451,7 @@ ORACLES: dict[str, str] = {
         folded AS (
           SELECT f, list(chunk_num ORDER BY chunk_num) AS c, list(tokens ORDER BY chunk_num) AS t,
             list_reduce(list({'used': tokens, 'count': 1::BIGINT, 'ids': [0::BIGINT]}
-              ORDER BY chunk_num), (s, x) -> CASE
+              ORDER BY chunk_num), lambda s, x: CASE
                 WHEN s.count >= 4 OR s.used + x.used > 1500
                 THEN {'used': x.used, 'count': 1::BIGINT,
                       'ids': list_append(s.ids, s.ids[-1] + 1)}
