@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundglean.functions.binding import let
+from fundglean.operators.lineage import cut_lineage
 from fundglean.schemas import FILING_KEYS
 
+FOLD_LIMIT = 50_000
+SEGMENT = 4096
+
 
 def batch_starts(tokens: Column, max_tokens: int, max_chunks: int) -> Column:
     """0-based positions at which a new batch begins; a batch is never empty."""
@@ -37,12 +43,28 @@ def batch_starts(tokens: Column, max_tokens: int, max_chunks: int) -> Column:
 
 
 def token_batches(
-    chunks: DataFrame, tokens: Column, max_tokens: int, max_chunks: int
+    chunks: DataFrame,
+    tokens: Column,
+    max_tokens: int,
+    max_chunks: int,
+    fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
-    """``batch_id`` of every chunk, counted from 0 in chunk order within its filing."""
+    """``batch_id`` of every chunk, counted from 0 in chunk order within its filing.
+
+    A filing of ordinary length is folded within one row. Filings of more than
+    ``fold_limit`` chunks go through :func:`_by_segments`, with the same result.
+    """
     keys = list(FILING_KEYS)
     sized = chunks.select(*keys, "chunk_num", tokens.cast("int").alias("tokens"))
-    return _in_one_row(sized, max_tokens, max_chunks)
+    lengths = sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    long = lengths.where(F.col("n") > fold_limit).select(*keys)
+    if long.isEmpty():
+        return _in_one_row(sized, max_tokens, max_chunks)
+    return _in_one_row(
+        sized.join(long, keys, "left_anti"), max_tokens, max_chunks
+    ).unionByName(
+        _by_segments(sized.join(long, keys, "left_semi"), max_tokens, max_chunks)
+    )
 
 
 def _in_one_row(sized: DataFrame, max_tokens: int, max_chunks: int) -> DataFrame:
@@ -73,3 +95,132 @@ def _in_one_row(sized: DataFrame, max_tokens: int, max_chunks: int) -> DataFrame
         F.transform("items", lambda item: item["tokens"]), max_tokens, max_chunks
     )
     return filings.select(*keys, F.inline(let(starts, labelled)))
+
+
+def _next_starts(tokens: np.ndarray, max_tokens: int, max_chunks: int) -> np.ndarray:
+    """For a batch that begins at each position, where the following one begins."""
+    total = np.concatenate(([0], np.cumsum(tokens, dtype=np.int64)))
+    here = np.arange(len(tokens))
+    full = np.searchsorted(total[1:], total[:-1] + max_tokens, side="right")
+    following = np.maximum(np.minimum(full, here + max_chunks), here + 1)
+    return np.minimum(following, len(tokens))
+
+
+def _by_segments(
+    sized: DataFrame, max_tokens: int, max_chunks: int, segment: int = SEGMENT
+) -> DataFrame:
+    """Batches of very long filings, without one task seeing a whole filing.
+
+    A filing is cut into segments of equal length, no shorter than the longest
+    batch. A segment is summed up by a map from the position at which a batch
+    starts in it to the position of the first start in the next segment. These
+    maps are composed pairwise, level by level, and then followed downwards from
+    the start of the filing (a parallel prefix), which gives each segment its
+    first start; the rest is local to the segment.
+    """
+    keys = list(FILING_KEYS)
+    length = max(segment, max_chunks)
+
+    @F.pandas_udf("array<int>")
+    def crossings(tokens: pd.Series, ahead: pd.Series) -> pd.Series:
+        def one(own, after):
+            both = np.concatenate((np.asarray(own), np.asarray(after)))
+            jump = _next_starts(both, max_tokens, max_chunks)
+            to = jump[: len(own)]
+            while (to < len(own)).any():
+                to = np.where(to < len(own), jump[np.minimum(to, len(own) - 1)], to)
+            return (to - len(own)).astype(np.int32)
+
+        return pd.Series([one(a, b) for a, b in zip(tokens, ahead)], dtype=object)
+
+    @F.pandas_udf("array<int>")
+    def starts_so_far(tokens: pd.Series, entry: pd.Series) -> pd.Series:
+        def one(own, at):
+            jump = _next_starts(np.asarray(own), max_tokens, max_chunks)
+            begins = np.zeros(len(own), dtype=np.int32)
+            while at < len(own):
+                begins[at] = 1
+                at = jump[at]
+            return np.cumsum(begins, dtype=np.int32)
+
+        return pd.Series([one(a, b) for a, b in zip(tokens, entry)], dtype=object)
+
+    # positions in the filing, from counts of chunk-number ranges
+    ranged = sized.withColumn("part", F.floor(F.col("chunk_num") / length))
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = (
+        ranged.groupBy(*keys, "part")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
+    in_part = Window.partitionBy(*keys, "part").orderBy("chunk_num", "tokens")
+    placed = ranged.join(offsets, [*keys, "part"]).withColumn(
+        "at", F.col("before") + F.row_number().over(in_part) - 1
+    )
+    segments = cut_lineage(
+        placed.groupBy(*keys, F.floor(F.col("at") / length).alias("seg")).agg(
+            F.sort_array(F.collect_list(F.struct("at", "chunk_num", "tokens"))).alias("items")
+        )
+    )
+    own = F.transform("items", lambda item: item["tokens"])
+    tokens = segments.select(*keys, "seg", own.alias("tokens"))
+
+    def after(df: DataFrame, step: int, name: str) -> DataFrame:
+        """Rows of ``df`` as seen from ``step`` segments before."""
+        return df.select(*keys, (F.col("seg") - step).alias("seg"), F.col(name).alias("ahead"))
+
+    level = cut_lineage(
+        tokens.join(after(tokens, 1, "tokens"), [*keys, "seg"]).select(
+            *keys, "seg", crossings("tokens", "ahead").alias("jump")
+        )
+    )
+    last = segments.agg(F.max("seg")).first()[0]
+    levels = [level]
+    while 2 ** len(levels) <= last:
+        step = 2 ** (len(levels) - 1)
+        pairs = level.where(F.col("seg") % (2 * step) == 0).join(
+            after(level, step, "jump"), [*keys, "seg"]
+        )
+        level = cut_lineage(
+            pairs.select(
+                *keys,
+                "seg",
+                F.transform("jump", lambda s: F.get("ahead", s)).alias("jump"),
+            )
+        )
+        levels.append(level)
+
+    entries = segments.where(F.col("seg") == 0).select(*keys, "seg", F.lit(0).alias("entry"))
+    for depth in reversed(range(len(levels))):
+        found = entries.join(levels[depth], [*keys, "seg"]).select(
+            *keys,
+            (F.col("seg") + 2**depth).alias("seg"),
+            F.get("jump", F.col("entry")).alias("entry"),
+        )
+        entries = cut_lineage(entries.unionByName(found))
+
+    begun = F.col("begun")
+    counted = segments.join(entries, [*keys, "seg"]).withColumn(
+        "begun", starts_so_far(own, "entry")
+    )
+    before = Window.partitionBy(*keys).orderBy("seg").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    counts = cut_lineage(counted)
+    batches_before = counts.select(
+        *keys,
+        "seg",
+        F.coalesce(F.sum(F.element_at(begun, -1)).over(before), F.lit(0)).alias("so_far"),
+    )
+    labelled = F.zip_with(
+        "items",
+        begun,
+        lambda item, count: F.struct(
+            item["chunk_num"].alias("chunk_num"),
+            item["tokens"].alias("tokens"),
+            (F.col("so_far") + count - 1).cast("int").alias("batch_id"),
+        ),
+    )
+    return counts.join(batches_before, [*keys, "seg"]).select(*keys, F.inline(labelled))

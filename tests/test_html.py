@@ -1,0 +1,54 @@
+from fundglean.functions.html import decode_entities, html_to_text, remove_hidden_div
+
+
+def test_first_hidden_div_goes_with_its_nested_divs(value):
+    page = (
+        '<div>keep<div class="a" style="x:1; display: none"><div>a</div>b<div>c<div>d</div>'
+        "</div></div> tail<div style='display:none'>second</div></div>"
+    )
+    unclosed = '<p>a</p><div style="display:none"><div>never</div> closed'
+    assert value(remove_hidden_div, [page, unclosed, "<div>x</div>", ""]) == [
+        "<div>keep tail<div style='display:none'>second</div></div>",
+        "<p>a</p>",
+        "<div>x</div>",
+        "",
+    ]
+
+
+def test_text_of_a_page(value):
+    page = (
+        "<html><head><title>t</title></head><body><script>if (a<b) x();</script><h2>Head</h2>"
+        '<p>See <a class="l" href="/x?y=1">the <b>list</b></a><img src="i.png"> now.<br>Next'
+        "\n line</p><!-- <p>no</p> --><ul><li>one</li><li>two</li></ul></body></html>"
+    )
+    assert value(html_to_text, [page, "", None]) == [
+        "## Head\n\nSee [the list](/x?y=1) now.\nNext line\n\n* one\n* two",
+        "",
+        None,
+    ]
+
+
+def test_table_rows_are_lines(value):
+    page = (
+        "<p>Before</p><table>\n<tr>\n<td><p>Name of Trustee</p></td>\n"
+        "<td><div>Aggregate<br>Compensation</div></td></tr>"
+        "<tr><th>J. Doe</th> <th>1,000</th><th>N/A</th></tr></table>After"
+    )
+    assert value(html_to_text, [page]) == [
+        "Before\n\nName of Trustee | Aggregate Compensation\nJ. Doe | 1,000 | N/A\n\nAfter"
+    ]
+
+
+def test_entities(value):
+    texts = [
+        "a &amp;lt; b &#146;q&#x2014; &eacute;&nope; &#0; & &amp",
+        "R&amp;D &lt;x&gt; &quot;&nbsp;",
+        "plain",
+        "&#55296;&#x110000;&#x1F600;",
+    ]
+    assert value(decode_entities, texts) == [
+        "a &lt; b \u2019q\u2014 \u00e9&nope; &#0; & &amp",
+        'R&D <x> "\u00a0',
+        "plain",
+        "&#55296;&#x110000;\U0001f600",
+    ]
