@@ -17,7 +17,7 @@ def columnar_rows(files: DataFrame, names: Sequence[str]) -> DataFrame:
     return rows.select(
         "ordinal",
         *[
-            F.try_element_at("row", F.array_position("fields", name).cast("int")).alias(name)
+            F.get("row", (F.array_position("fields", name) - 1).cast("int")).alias(name)
             for name in names
         ],
     )
