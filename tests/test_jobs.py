@@ -40,10 +40,13 @@ def world(spark, tmp_path):
     return spark, str(root), Tables.under(str(tmp_path / "tables"))
 
 
-def answer(prompt):
-    names = [f"Trustee Number {i}" for i in range(12) if f"Trustee Number {i} |" in prompt]
-    body = {"compensation_info_present": bool(names), "trustees": [{"name": n} for n in names]}
-    return "```json\n" + json.dumps(body) + "\n```"
+def make_answer():
+    def answer(prompt):
+        names = [f"Trustee Number {i}" for i in range(12) if f"Trustee Number {i} |" in prompt]
+        body = {"compensation_info_present": bool(names), "trustees": [{"name": n} for n in names]}
+        return "```json\n" + json.dumps(body) + "\n```"
+
+    return answer
 
 
 def test_from_index_files_to_export(world, tmp_path):
@@ -76,7 +79,7 @@ def test_from_index_files_to_export(world, tmp_path):
         jobs.init_search_phrases(spark, everything, "group1", dimension=256)
     assert spark.read.parquet(everything.search).count() == 4
 
-    assert jobs.extract(spark, everything, "all", "group1", "batch1", "some-model", answer)
+    assert jobs.extract(spark, everything, "all", "group1", "batch1", "some-model", make_answer())
     results = spark.read.parquet(everything.result)
     assert results.count() == 18
     assert {r.n_trustee for r in results.collect()} == {12}
