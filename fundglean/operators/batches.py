@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fundglean.functions.binding import let
 from fundglean.operators.lineage import cut_lineage
+from fundglean.operators.skew import salted_join
 from fundglean.schemas import FILING_KEYS
 
 FOLD_LIMIT = 50_000
@@ -61,9 +62,11 @@ def token_batches(
     if long.isEmpty():
         return _in_one_row(sized, max_tokens, max_chunks)
     return _in_one_row(
-        sized.join(long, keys, "left_anti"), max_tokens, max_chunks
+        salted_join(sized, long, keys, "left_anti"), max_tokens, max_chunks
     ).unionByName(
-        _by_segments(sized.join(long, keys, "left_semi"), max_tokens, max_chunks)
+        _by_segments(
+            salted_join(sized, long, keys, "left_semi"), max_tokens, max_chunks
+        )
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fundglean.functions.binding import let
 from fundglean.operators.relevance import PICKED
+from fundglean.operators.skew import salted_join
 from fundglean.schemas import FILING_KEYS
 
 MIN_TEXT_CHARS = 100
@@ -19,7 +20,8 @@ def candidate_texts(choices: DataFrame, chunks: DataFrame) -> DataFrame:
     ``chunks`` as it has numbers (missing or repeated chunks void it) and its
     text has at least 100 characters.
 
-    The join is on filing *and* chunk number, so one huge filing is spread. Each
+    The join is on filing *and* chunk number and salted, so neither one huge
+    filing nor a huge number of copies of one chunk meets a single task. Each
     needed text travels once, however many rules picked it. Of repeated chunks
     only as many rows are kept as are needed to see that there are too many.
     """
@@ -28,8 +30,11 @@ def candidate_texts(choices: DataFrame, chunks: DataFrame) -> DataFrame:
     wanted = choices.select(*keys, "choices", F.explode(needed).alias("chunk_num"))
     copies = Window.partitionBy(*keys, "chunk_num").orderBy("chunk_text")
     found = (
-        wanted.join(
-            chunks.select(*keys, "chunk_num", "chunk_text"), [*keys, "chunk_num"]
+        salted_join(
+            chunks.select(*keys, "chunk_num", "chunk_text"),
+            wanted,
+            [*keys, "chunk_num"],
+            "inner",
         )
         .withColumn("_copy", F.row_number().over(copies))
         .where(F.col("_copy") <= PICKED + 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundglean.operators.skew import salted_join
 from fundglean.schemas import FILING_KEYS
 
 
@@ -13,12 +14,17 @@ def numbered(df: DataFrame, items: Column, name: str, keys=FILING_KEYS) -> DataF
     return df.select(*keys, F.posexplode(items).alias("chunk_num", name))
 
 
+def of_filings(rows: DataFrame, filings: DataFrame) -> DataFrame:
+    """Rows of the given filings."""
+    kept = salted_join(rows, filings.select(*FILING_KEYS), FILING_KEYS, "left_semi")
+    return kept.select(*rows.columns)
+
+
 def several_chunks(chunks: DataFrame) -> DataFrame:
     """Rows of filings that have more than one row.
 
     Counts are combined before the shuffle and only the counts of filings meet
-    the rows again, in a semi join that adaptive execution can split on a hot
-    filing.
+    the rows again, in a salted semi join.
     """
     many = (
         chunks.groupBy(*FILING_KEYS)
@@ -26,4 +32,4 @@ def several_chunks(chunks: DataFrame) -> DataFrame:
         .where(F.col("n") > 1)
         .select(*FILING_KEYS)
     )
-    return chunks.join(many, list(FILING_KEYS), "left_semi").select(*chunks.columns)
+    return of_filings(chunks, many)

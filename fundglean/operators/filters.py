@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundglean.operators.skew import salted_join
 from fundglean.schemas import FILING_KEYS
 
 
@@ -90,7 +91,9 @@ def requested_chunks(chunks: DataFrame, requests: DataFrame) -> DataFrame:
         F.col("chunk_nums"), F.col("chunk_num")
     )
     return (
-        chunks.join(requests.select(*FILING_KEYS, "chunk_nums"), list(FILING_KEYS))
+        salted_join(
+            chunks, requests.select(*FILING_KEYS, "chunk_nums"), FILING_KEYS, "inner"
+        )
         .where(wanted)
         .select(*chunks.columns)
     )

@@ -12,6 +12,22 @@ from pyspark.sql import functions as F
 from fundglean.functions.paths import index_path
 
 SEARCH_TAG = "group1"
+
+# Columns of the given tables, so that no footer is read to infer them.
+TABLE_COLUMNS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+}
 CHUNKS_PER_FILING = 10
 
 
@@ -23,7 +39,8 @@ class Given:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(TABLE_COLUMNS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def index(self) -> DataFrame:
         cik = F.col("o_custkey").cast("string")

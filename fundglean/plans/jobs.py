@@ -12,12 +12,11 @@ from fundglean.functions.binding import let
 from fundglean.functions.chunking import DEFAULT_CHUNK_SIZE, chunk_text
 from fundglean.functions.html import html_to_text
 from fundglean.functions.paths import is_html_path
-from fundglean.functions.responses import response_view
+from fundglean.functions.responses import PROMPT, response_view
 from fundglean.functions.vectors import hash_embedding
 from fundglean.operators import calls, filters, relevance, report, sampling, search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
-from fundglean.operators.chunks import numbered, several_chunks
-from fundglean.operators.spreading import spread
+from fundglean.operators.chunks import numbered, of_filings, several_chunks
 from fundglean.sources import filings as filing_files
 from fundglean.sources import fund_lists, index_files, tables
 from fundglean.schemas import FILING_KEYS
@@ -25,6 +24,7 @@ from fundglean.schemas import FILING_KEYS
 FORM_TYPE = "485BPOS"
 DIMENSION = 768
 SEARCH_DEPTH = 20
+BROADCAST_PATHS = 500_000  # rows of keys and a path, some 100 bytes each
 
 # The built-in search phrases.
 SEARCH_PHRASES = (
@@ -133,10 +133,13 @@ def chunk(
         .select(*keys, F.col("filename").alias("path"))
     )
     pages = filing_files.read_pages(spark, f"{data}/*.htm*")
+    documents = documents.persist()
+    if documents.count() <= BROADCAST_PATHS:
+        documents = F.broadcast(documents)  # page contents then stay where they were read
     contents = filing_files.with_contents(documents, pages, "inner")
-    return tables.append_rows(
-        chunk_pages(contents, size), schemas.TEXT_CHUNKS, at.text
-    )
+    done = tables.append_rows(chunk_pages(contents, size), schemas.TEXT_CHUNKS, at.text)
+    documents.unpersist()
+    return done
 
 
 def _vector(text, embed: calls.Embed | None, dimension: int):
@@ -161,7 +164,7 @@ def embedding(
         filters.filings_of_tag(index, tag, batch_limit),
         tables.read_table(spark, schemas.CHUNK_VECTORS, at.embedding),
     )
-    chunks = _table(spark, schemas.TEXT_CHUNKS, at.text).join(todo, keys, "left_semi")
+    chunks = of_filings(_table(spark, schemas.TEXT_CHUNKS, at.text), todo)
     vectors = several_chunks(chunks).select(
         *keys, "chunk_num", _vector(F.col("chunk_text"), embed, dimension).alias("embedding")
     )
@@ -205,19 +208,19 @@ def extract(
     model: str,
     ask: calls.Ask = calls.skip_model,
     batch_limit: int = 0,
+    template: str = PROMPT,
 ) -> bool:
     """Ask about the most relevant chunks of every tagged filing and store the result."""
-    keys = list(FILING_KEYS)
     index = _table(spark, schemas.MASTER_INDEX, at.index)
     todo = filters.filings_of_tag(index, tag, batch_limit)
-    vectors = _table(spark, schemas.CHUNK_VECTORS, at.embedding).join(todo, keys, "left_semi")
+    vectors = of_filings(_table(spark, schemas.CHUNK_VECTORS, at.embedding), todo)
     candidates = candidates_of(
         vectors,
         _table(spark, schemas.TEXT_CHUNKS, at.text),
         _table(spark, schemas.SEARCH_PHRASES, at.search),
         search_tag,
     )
-    results = reduce_cascade(calls.ask_in_turn(candidates, ask)).select(
+    results = reduce_cascade(calls.ask_in_turn(candidates, ask, template)).select(
         "*",
         F.lit(model).alias("model"),
         response_view(F.col("response")).alias("comp_info"),
