@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from fundglean.functions.binding import let
@@ -16,6 +18,47 @@ BLOCK_SALTS = 64
 RANK_DIGITS = 12  # distances equal in exact arithmetic must tie
 
 
+# What is kept of one chunk: its nearest phrases as parallel arrays.
+NEAREST_TYPE = "phrase_at array<int>, rank_distance array<double>, distance array<double>"
+
+
+def _nearest(phrase_rows: list[Row], depth: int):
+    """Arrow function: vectors -> their ``depth`` nearest of the given phrases.
+
+    One matrix product for a batch of chunks. ``phrase_rows`` are in phrase
+    order, so the stable sort breaks ties by phrase.
+    """
+    asked = np.array([r.phrase_embedding for r in phrase_rows], dtype=np.float64)
+    asked_norms = np.linalg.norm(asked, axis=1)
+
+    @F.arrow_udf(NEAREST_TYPE)
+    def nearest(embedding: pa.Array) -> pa.Array:
+        vectors = np.asarray(embedding.flatten(), dtype=np.float64)
+        vectors = vectors.reshape(len(embedding), asked.shape[1])
+        sizes = np.linalg.norm(vectors, axis=1)[:, None] * asked_norms[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            distance = 1 - vectors @ asked.T / sizes
+        rank = np.round(distance, RANK_DIGITS)
+        order = np.argsort(rank, axis=1, kind="stable")[:, :depth]  # NaN goes last
+        rank = np.take_along_axis(rank, order, axis=1)
+        distance = np.take_along_axis(distance, order, axis=1)
+        kept = ~np.isnan(rank)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(kept.sum(axis=1)))), pa.int32())
+        columns = [
+            pa.ListArray.from_arrays(offsets, pa.array(values[kept], kind))
+            for values, kind in (
+                (order, pa.int32()),
+                (rank, pa.float64()),
+                (distance, pa.float64()),
+            )
+        ]
+        return pa.StructArray.from_arrays(
+            columns, names=["phrase_at", "rank_distance", "distance"]
+        )
+
+    return nearest
+
+
 def _phrase_entries(phrases: DataFrame) -> Column:
     return F.collect_list(
         F.struct(
@@ -56,32 +99,50 @@ def phrase_distances(
 ) -> DataFrame:
     """Every chunk with its ``depth`` nearest phrases.
 
-    A phrase set of one block (its size is counted first) is read once as a
-    scalar subquery and the pairs are built inside the chunk's row. A larger set
-    is cut into blocks of bounded size, which meet the chunks in an equi-join on
-    (block, salt); each row still emits no more than ``depth`` pairs.
+    A phrase set of up to one block is a parameter of the search: it is fetched
+    (never more than a block and a row) and shipped with an Arrow function that
+    scores a batch of chunks by one matrix product. A larger set is cut into
+    blocks of bounded size, which meet the chunks in an equi-join on (block,
+    salt). Either way a chunk emits no more than ``depth`` pairs for a block.
     """
     keys = [*FILING_KEYS, "chunk_num"]
-    phrases = phrases.select("phrase", "phrase_embedding")
-    size = phrases.limit(phrases_per_block + 1).count()
-    if size <= phrases_per_block:
-        entries = phrases.agg(_phrase_entries(phrases)).scalar()
-        met = vectors.select(*keys, "embedding", entries.alias("entries"))
-    else:
-        blocks = -(-phrases.count() // phrases_per_block)
-        placed = phrases.withColumn(
-            "block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int")
-        )
-        packed = placed.groupBy("block").agg(_phrase_entries(placed).alias("entries"))
-        salts = F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1))
-        met = (
-            vectors.select(*keys, "embedding")
-            .withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(BLOCK_SALTS)).cast("int"))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-            .join(packed.withColumn("salt", F.explode(salts)), ["block", "salt"])
+    phrases = phrases.select("phrase", "phrase_embedding").where(
+        F.col("phrase_embedding").isNotNull()
+    )
+    fetched = phrases.limit(phrases_per_block + 1).collect()
+    if len(fetched) <= phrases_per_block:
+        return _near_fetched(vectors.select(*keys, "embedding"), fetched, depth)
+    blocks = -(-phrases.count() // phrases_per_block)
+    placed = phrases.withColumn(
+        "block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int")
+    )
+    packed = placed.groupBy("block").agg(_phrase_entries(placed).alias("entries"))
+    salts = F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1))
+    met = (
+        vectors.select(*keys, "embedding")
+        .withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(BLOCK_SALTS)).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .join(packed.withColumn("salt", F.explode(salts)), ["block", "salt"])
+    )
+    return met.select(*keys, F.inline(_nearest_in_row(F.col("entries"), depth)))
+
+
+def _near_fetched(vectors: DataFrame, fetched: list[Row], depth: int) -> DataFrame:
+    keys = [*FILING_KEYS, "chunk_num"]
+    if not fetched:
+        nothing = vectors.where(F.lit(False)).select(*keys)
+        return nothing.select(
+            "*",
+            F.lit(0.0).alias("rank_distance"),
+            F.lit("").alias("phrase"),
+            F.lit(0.0).alias("distance"),
         )
-    return met.select(
-        *keys, F.inline(_nearest_in_row(F.col("entries"), depth))
+    in_order = sorted(fetched, key=lambda r: (r.phrase is not None, r.phrase or ""))
+    names = F.lit([r.phrase for r in in_order])
+    near = vectors.select(*keys, _nearest(in_order, depth)("embedding").alias("near"))
+    zipped = F.arrays_zip("near.phrase_at", "near.rank_distance", "near.distance")
+    return near.select(*keys, F.inline(zipped)).select(
+        *keys, "rank_distance", F.get(names, F.col("phrase_at")).alias("phrase"), "distance"
     )
 
 
