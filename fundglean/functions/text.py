@@ -26,8 +26,8 @@ def strip(text: Column) -> Column:
 def is_empty_line(line: Column) -> Column:
     """No word of three or more characters, or under five characters and no letter."""
     no_words = ~F.rlike(line, F.lit(LONG_WORD))
-    short = F.length(strip(line)) < SHORT_LINE
-    return no_words | (short & ~F.rlike(line, F.lit(r"\p{L}")))
+    no_letters = ~F.rlike(line, F.lit(r"\p{L}"))  # first: it settles most lines at once
+    return no_words | (no_letters & (F.length(strip(line)) < SHORT_LINE))
 
 
 def is_table_row(line: Column) -> Column:

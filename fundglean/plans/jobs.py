@@ -82,11 +82,11 @@ def sample(
     keep_range: tuple[str, str] = ("2003-01-01", "2004-12-31"),
     seed: str = "",
 ) -> bool:
-    """Tag the filings of a tenth of the fund companies."""
+    """Tag the filings of a tenth of the fund companies, in place of an earlier sample."""
     index = _table(spark, schemas.MASTER_INDEX, at.full_index)
     drawn = sampling.sample_ciks(index, funds, *draw_range, seed=seed)
     rows = sampling.sample_index(index, drawn, *keep_range, tag=tag)
-    return tables.append_rows(rows, schemas.MASTER_INDEX, at.index)
+    return tables.replace_rows(rows, schemas.MASTER_INDEX, at.index)
 
 
 def chunk_pages(

@@ -44,16 +44,30 @@ def conform(df: DataFrame, spec: TableSpec, dimension: int | None = None) -> Dat
 def append_rows(
     df: DataFrame, spec: TableSpec, path: str, dimension: int | None = None
 ) -> bool:
-    """Append to the table, creating it if need be; False if there was no row.
+    """Append to the table, creating it if need be; False if there was no row."""
+    return _write(df, spec, path, dimension, "append")
 
-    Rows are counted while they are written, not in a pass of their own.
-    """
+
+def _write(
+    df: DataFrame, spec: TableSpec, path: str, dimension: int | None, mode: str
+) -> bool:
+    """Rows are counted while they are written, not in a pass of their own."""
     seen = Observation()
     rows = conform(df, spec, dimension).observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("append").parquet(path)
+    rows.write.mode(mode).parquet(path)
     return seen.get["n"] > 0
 
 
+def replace_rows(
+    df: DataFrame, spec: TableSpec, path: str, dimension: int | None = None
+) -> bool:
+    """As :func:`append_rows`, in place of what the table held.
+
+    ``df`` must come from other tables than this one.
+    """
+    return _write(df, spec, path, dimension, "overwrite")
+
+
 def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame | None:
     """The table, or None while it does not exist."""
     try:
