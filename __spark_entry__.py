@@ -17,7 +17,7 @@ from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, several_chunks
 from fundglean.operators.spreading import spread
 from fundglean.plans.bindings import SEARCH_TAG, Given
-from fundglean.sources.filings import filing_headers, manifest
+from fundglean.sources.filings import filing_headers, keyed_headers_pages, manifest
 from fundglean.sources.fund_lists import columnar_rows
 from oracles import ORACLES
 
@@ -167,7 +167,7 @@ def filing_manifest(given: Given) -> DataFrame:
             F.lit("</PRE></body></html>"),
         ).alias("content"),
     )
-    return manifest(filing_headers(pages)).select(
+    return manifest(filing_headers(keyed_headers_pages(pages))).select(
         *KEYS,
         F.date_format("date_filed", "yyyy-MM-dd").alias("date_filed"),
         "type",

@@ -38,7 +38,7 @@ def _nearest(phrase_rows: list[Row], depth: int):
         sizes = np.linalg.norm(vectors, axis=1)[:, None] * asked_norms[None, :]
         with np.errstate(divide="ignore", invalid="ignore"):
             distance = 1 - vectors @ asked.T / sizes
-        rank = np.round(distance, RANK_DIGITS)
+        rank = np.round(distance, RANK_DIGITS) + 0.0  # no negative zero
         order = np.argsort(rank, axis=1, kind="stable")[:, :depth]  # NaN goes last
         rank = np.take_along_axis(rank, order, axis=1)
         distance = np.take_along_axis(distance, order, axis=1)

@@ -73,6 +73,15 @@ def load_index(
     return tables.append_rows(rows, schemas.MASTER_INDEX, to.full_index)
 
 
+def index_counts(
+    spark: SparkSession, archive: str, quarters: str, form_type: str = FORM_TYPE
+) -> DataFrame:
+    """Rows that loading would append, by year and quarter."""
+    return index_files.quarter_counts(
+        index_files.read_master_index(spark, archive, quarters, form_type)
+    )
+
+
 def sample(
     spark: SparkSession,
     at: Tables,
@@ -121,10 +130,11 @@ def chunk(
     )
     keys = list(FILING_KEYS)
     data = f"{archive}/edgar/data/*/*"
-    headers = filing_files.filing_headers(
+    headers_pages = filing_files.keyed_headers_pages(
         filing_files.read_pages(spark, f"{data}/*-index-headers.html")
     )
-    manifest = filing_files.manifest(headers.join(todo, keys, "left_semi"))
+    wanted = headers_pages.join(todo, keys, "left_semi")  # before a page is parsed
+    manifest = filing_files.manifest(filing_files.filing_headers(wanted))
     documents = (
         filters.document_of_type(
             manifest.withColumn("filename", F.col("path")), form_type

@@ -21,8 +21,20 @@ def read_pages(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def keyed_headers_pages(pages: DataFrame) -> DataFrame:
+    """Add the filing keys, which the path of an index-headers page tells."""
+    return pages.withColumns(
+        {
+            "cik": F.regexp_extract("path", r"edgar/data/(\d+)/", 1),
+            "accession_number": F.regexp_extract(
+                "path", r"([^/]+)-index-headers\.html$", 1
+            ),
+        }
+    )
+
+
 def filing_headers(pages: DataFrame) -> DataFrame:
-    """``cik, accession_number, date_filed, folder, documents`` of index-headers pages.
+    """``cik, accession_number, date_filed, folder, documents`` of keyed headers pages.
 
     A page without a header block has no date and no documents.
     """
@@ -45,8 +57,8 @@ def filing_headers(pages: DataFrame) -> DataFrame:
         ),
     )
     return pages.withColumn("sgml", text).select(
-        F.regexp_extract("path", r"edgar/data/(\d+)/", 1).alias("cik"),
-        F.regexp_extract("path", r"([^/]+)-index-headers\.html$", 1).alias("accession_number"),
+        "cik",
+        "accession_number",
         F.when(has_header, F.try_to_date(filed, "yyyyMMdd")).alias("date_filed"),
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"),
         F.when(has_header, documents).alias("documents"),

@@ -16,7 +16,10 @@ INDEX_COLUMNS = "cik string, company_name string, form_type string, date_filed s
 
 
 def quarter_glob(root: str, pattern: str) -> str:
-    """One path glob for the quarters whose ``YYYY/Q`` matches a shell pattern."""
+    """One path glob for the quarters whose ``YYYY/Q`` matches a shell pattern.
+
+    Several quarters that match but have no file are simply not read.
+    """
     chosen = [
         f"{year}/QTR{quarter}"
         for year in YEARS
@@ -25,7 +28,7 @@ def quarter_glob(root: str, pattern: str) -> str:
     ]
     if not chosen:
         raise ValueError(f"no quarter matches {pattern!r}")
-    return f"{root}/full-index/{{{','.join(chosen)}}}/master.idx"
+    return f"{root}/edgar/full-index/{{{','.join(chosen)}}}/master.idx"
 
 
 def read_master_index(

@@ -20,12 +20,12 @@ def sentences(word, n):
 
 @pytest.fixture
 def world(spark, tmp_path):
-    root = tmp_path / "edgar"
+    root = tmp_path / "archive"
     lines = [HEADER]
     for n in range(20):
         cik, accession = str(100 + n), f"0001-03-{n}"
         lines.append(f"{cik}|Fund {n}|485BPOS|2003-03-0{n % 9 + 1}|edgar/data/{cik}/{accession}.txt\n")
-        folder = page_folder(root.parent / "edgar", cik, accession)
+        folder = page_folder(root, cik, accession)
         main = "main.txt" if n == 3 else "main.htm"
         write(folder / f"{accession}-index-headers.html", sgml([("485BPOS", main), ("EX-99", "ex.htm")]))
         page = (
@@ -36,7 +36,7 @@ def world(spark, tmp_path):
         )
         write(folder / main, "<p>short</p>" if n == 4 else page)
         write(folder / "ex.htm", "<p>exhibit</p>")
-    write(root / "full-index/2003/QTR1/master.idx", "".join(lines))
+    write(root / "edgar/full-index/2003/QTR1/master.idx", "".join(lines))
     return spark, str(root), Tables.under(str(tmp_path / "tables"))
 
 

@@ -34,7 +34,7 @@ def archive(tmp_path):
         HEADER.encode() + b"100|B\xffAD|485BPOS|2004-05-01|edgar/data/100/0001-04-1.txt\n",
     )
     write(root / "full-index/2004/QTR3/master.idx", HEADER)
-    return str(root)
+    return str(tmp_path)
 
 
 def test_index_files(spark, archive):
@@ -46,7 +46,7 @@ def test_index_files(spark, archive):
         "0001-04-1": ("100", "B�AD", 2004, 2),
     }
     assert all(r.tags is None for r in rows.collect())
-    counts = {tuple(r) for r in index_files.quarter_counts(rows).collect()}
+    counts = {tuple(r) for r in jobs.index_counts(spark, archive, "200?/*").collect()}
     assert counts == {(2003, 1, 2), (2004, 2, 1)}
     everything = index_files.read_master_index(spark, archive, "2003/1")
     assert everything.count() == 3  # a row without a form type is dropped
@@ -86,7 +86,7 @@ def test_manifest_and_contents(spark, tmp_path):
         sgml([("485BPOS", "a.htm")], header=False),
     )
     pages = filings.read_pages(spark, str(tmp_path / "edgar/data/*/*/*-index-headers.html"))
-    headers = filings.filing_headers(pages)
+    headers = filings.filing_headers(filings.keyed_headers_pages(pages))
     dates = {r.cik: r.date_filed and str(r.date_filed) for r in headers.collect()}
     assert dates == {"100": "2024-04-29", "200": "2024-04-29", "300": None}
     manifest = filings.manifest(headers)
