@@ -31,10 +31,11 @@ def canonical(rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert without <= set(entry.training_data()[0])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
