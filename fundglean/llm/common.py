@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
-import zlib
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,10 +59,15 @@ def words_of(raw: bytes | None) -> list[bytes]:
 
 def word_codes(words: list[bytes]) -> np.ndarray:
     """A 64-bit code for each word, the same in every process."""
-    n = len(words)
-    low = np.fromiter(map(zlib.crc32, words), np.uint64, n)
-    high = np.fromiter(map(zlib.adler32, words), np.uint64, n)
-    return mixed(low ^ (high << np.uint64(32)))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def column(batch: pa.RecordBatch, i: int) -> list:
+    """The values of column ``i``; texts as bytes."""
+    values = batch.column(i)
+    if pa.types.is_string(values.type) or pa.types.is_large_string(values.type):
+        values = values.cast(pa.large_binary())
+    return values.to_pylist()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
