@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fundglean.llm import quality_rules
+from fundglean.llm import decontaminate, importance_resampling, language_id, quality_rules, simhash
 from fundglean.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,3 +25,29 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     sampled = quality_rules.sample(docs, table(spark, folder, "labels"))
     return quality_rules.quality_rules(docs, quality_rules.fit(sampled))
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.learn_and_predict(table(spark, folder, "documents"))
+
+
+@query
+def op4_importance_sample(spark: SparkSession, folder: str) -> DataFrame:
+    target, share = importance_resampling.labelled_target(table(spark, folder, "labels"))
+    docs = table(spark, folder, "documents")
+    return importance_resampling.importance_sample(docs, target, share)
+
+
+@query
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
