@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundglean.llm import decontaminate, importance_resampling, language_id, quality_rules, simhash
+from fundglean.llm import (
+    decontaminate,
+    importance_resampling,
+    language_id,
+    lm_scoring,
+    quality_rules,
+    simhash,
+)
 from fundglean.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +58,8 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, folder, "documents"))
