@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundglean.llm import (
+    chat_format,
     decontaminate,
     importance_resampling,
     language_id,
@@ -63,3 +64,16 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(extra)))
