@@ -13,6 +13,7 @@ from fundglean.llm import (
     importance_resampling,
     language_id,
     lm_scoring,
+    mixing,
     quality_rules,
     simhash,
 )
@@ -77,3 +78,11 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(said).alias("text"),
     )
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(extra)))
+
+
+@query
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+ORACLES["op2_mix_sources"] = mixing.sql()
