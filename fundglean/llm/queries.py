@@ -12,6 +12,7 @@ from fundglean.llm import (
     decontaminate,
     importance_resampling,
     language_id,
+    line_dedup,
     lm_scoring,
     mixing,
     quality_rules,
@@ -86,3 +87,11 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op2_mix_sources"] = mixing.sql()
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, folder, "documents"))
+
+
+ORACLES["op5_line_dedup"] = line_dedup.sql()
