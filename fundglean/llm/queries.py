@@ -15,6 +15,7 @@ from fundglean.llm import (
     line_dedup,
     lm_scoring,
     mixing,
+    personal_data,
     quality_rules,
     simhash,
 )
@@ -95,3 +96,8 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op5_line_dedup"] = line_dedup.sql()
+
+
+@query
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, folder, "documents"))
