@@ -1,25 +1,64 @@
-"""Documents from raw to training mix, in stages that call operators of fundglean.llm."""
+"""Documents from raw to training mix, in stages that call operators of fundglean.llm.
+
+Every stage takes what the one before it kept, and all but the last return the
+columns of the documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fundglean.llm import decontaminate, line_dedup, mixing, simhash
 from fundglean.llm import quality_rules as rules
 from fundglean.llm.common import fresh, table
 
-#: SQL cannot express the trained line field or the fingerprints' links.
+#: SQL cannot express the trained line field nor the closure of fingerprint links.
 ORACLE_SQL: str | None = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the rules or the line field reject."""
+    """Drop documents that the base rules or the line field reject."""
     field = rules.fit(rules.sample(docs, table(spark, sf_dir, "labels")))
     name = fresh(docs, "verdict")
     kept = rules.verdicts(docs, field, name=name)
     return kept.where(f"{name}.kept").drop(name)
 
 
-STAGES = [("quality rules", quality_rules)]
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut later copies of runs of lines with 50 words or more out of the texts.
+
+    ``n_chars`` counts the characters of what is left.
+    """
+    cut = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast("long")
+        cut = cut.withColumn("n_chars", F.when(F.col("n_deleted") > 0, length).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each SimHash group: three-word shingles, three bits."""
+    return simhash.one_of_each(docs, shingle=3, max_bits=3)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that overlap with a benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat documents so that all sources weigh the same, in shuffled order."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", dedup_lines),
+    ("SimHash near-dedup", dedup_near),
+    ("benchmark decontamination", drop_benchmark),
+    ("mixing sources to target weights", mix_sources),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
