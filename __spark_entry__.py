@@ -336,9 +336,19 @@ def html_to_text_(given: Given) -> DataFrame:
 
 @query
 def hidden_div(given: Given) -> DataFrame:
-    """Each page with a hidden div, nested divs inside, put in front of its article."""
-    hidden = '<DIV id="h" style="color:red; display: none"><div>a</div><div>b<div>c</div></div></DIV>'
-    page = F.replace("html", F.lit("<article>"), F.lit(hidden + "<article>"))
+    """Each page with one of four shapes of hidden div in front of its article.
+
+    Two shapes leave something: a second hidden div, and a div that only looks hidden.
+    """
+    inside = "><div>a</div><div>b<div>c</div></div></DIV>"
+    shapes = [
+        f'<DIV id="h" style="color:red; display: none"{inside}',
+        f"<div class=x style=display:none{inside}",
+        f"<div style='display:none'{inside}<div style='display:none'>second</div>",
+        f'<div data-style="display:none">kept</div><div style="display:none"{inside}',
+    ]
+    shape = F.get(F.lit(shapes), F.pmod("page_id", F.lit(len(shapes))).cast("int"))
+    page = F.replace("html", F.lit("<article>"), F.concat(shape, F.lit("<article>")))
     pages = spread(given.table("pages").select("page_id", "html"), "page_id")
     return pages.select("page_id", remove_hidden_div(page).alias("html"))
 

@@ -7,7 +7,7 @@ wrapped and a table row becomes one ``a | b`` line.
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,8 +22,8 @@ SILENT_PARTS = (
 
 # Links, with either kind of quotes.
 LINK_RULES = (
-    (r'(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', "[$2]($1)"),
-    (r"(?i)<a\b[^>]*?\bhref\s*=\s*'([^']*)'[^>]*>(.*?)</a\s*>", "[$2]($1)"),
+    (r'(?i)<a\b[^>]*?\shref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', "[$2]($1)"),
+    (r"(?i)<a\b[^>]*?\shref\s*=\s*'([^']*)'[^>]*>(.*?)</a\s*>", "[$2]($1)"),
 )
 
 # What the start of a tag turns into; other tags vanish.
@@ -46,6 +46,7 @@ TAG_TEXT = {
 }
 # The references most pages consist of; looked at before the full table.
 COMMON_ENTITIES = ("amp", "nbsp", "lt", "gt", "quot")
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 
 _TAG = r"</?[a-zA-Z!][^>]*(?:>|\z)"
 _TAG_START = r"^</?[a-zA-Z][a-zA-Z0-9]*"
@@ -57,11 +58,12 @@ TIDY_RULES = (
     (r" {2,}", " "),
 )
 
-# ``display:none`` in a style attribute, blanks ignored wherever they stand.
+# ``display:none`` in a style attribute, blanks ignored wherever they stand; without
+# quotes the value ends at the first blank.
 _HIDDEN_VALUE = " *".join("display:none")
 _HIDDEN_DIV = (
-    r"(?i:<div\b[^>]*?\bstyle\s*=\s*)"
-    rf"(?:\"[^\">]*?{_HIDDEN_VALUE}|'[^'>]*?{_HIDDEN_VALUE})[^>]*>"
+    r"(?i:<div\b[^>]*?\sstyle\s*=\s*)"
+    rf"(?:\"[^\">]*?{_HIDDEN_VALUE}|'[^'>]*?{_HIDDEN_VALUE}|[^\s\"'>]*?display:none)[^>]*>"
 )
 _DIV_TAG = r"(?i)</?div\b[^>]*>"
 
@@ -187,13 +189,12 @@ def replace_tags(html: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Resolve named, decimal and hexadecimal character references."""
-    table = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
-    names = F.from_json(F.lit(table), "map<string,string>")  # folded to a constant
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")  # a constant
 
     def named(ref: Column) -> Column:
         found = F.when(F.startswith(ref, F.lit("#")), numeric(ref))
         for name in COMMON_ENTITIES:
-            found = found.when(ref == name, F.lit(chr(name2codepoint[name])))
+            found = found.when(ref == name, F.lit(ENTITIES[name]))
         return found.otherwise(names[ref])
 
     reference = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
@@ -222,7 +223,7 @@ def decode_entities(text: Column) -> Column:
     )
     plain = text
     for name in reversed(COMMON_ENTITIES):  # the ampersand itself comes last
-        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(ENTITIES[name]))
     others = rf"&(?!(?:{'|'.join(COMMON_ENTITIES)});)[#A-Za-z]"
     return (
         F.when(~F.contains(text, F.lit("&")), text)

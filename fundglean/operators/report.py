@@ -20,9 +20,13 @@ def export_rows(
 
     Both sides are made distinct before the join, so repeated loads of a filing
     never multiply with repeated results; the joined rows are then distinct too.
+    Each side is dealt out by filing once; copies of a row meet in that exchange,
+    and the join needs no other.
     """
+    keys = [F.col(k) for k in FILING_KEYS]
     filings = (
         with_tag(index, index_tag)
+        .repartition(*keys)
         .select(
             *FILING_KEYS,
             "company_name",
@@ -34,6 +38,7 @@ def export_rows(
     )
     found = (
         with_tag(results, result_tag)
+        .repartition(*keys)
         .select(
             *FILING_KEYS,
             F.col("selected_chunks").alias("chunks_used"),
@@ -64,8 +69,8 @@ def table_stats(rows: DataFrame) -> DataFrame:
 def outcome_by_filing(results: DataFrame, tag: str) -> DataFrame:
     return with_tag(results, tag).agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("n_trustee") > 1).alias("yay"),
-        F.count_if(F.col("n_trustee") <= 1).alias("nay"),
+        F.count_if(F.col("n_trustee") > 1).alias("accepted"),
+        F.count_if(F.col("n_trustee") <= 1).alias("not_accepted"),
     )
 
 

@@ -267,15 +267,18 @@ ORACLES: dict[str, str] = {
         SELECT 'filing_chunks_embeddings', count(DISTINCT vec_id // 10),
           count(DISTINCT vec_id // 10), count(*) FROM embeddings""",
     "outcome_by_filing": f"""WITH {RESULTS}
-        SELECT count(*) AS total, count(CASE WHEN n_trustee > 1 THEN 1 END) AS yay,
-          count(CASE WHEN n_trustee <= 1 THEN 1 END) AS nay
+        SELECT count(*) AS total,
+          count(*) FILTER (WHERE n_trustee >= 2) AS accepted,
+          count(*) FILTER (WHERE n_trustee < 2) AS not_accepted
         FROM results WHERE tag = 'F'""",
     "outcome_by_company": f"""WITH {RESULTS},
-        by_company AS (
-          SELECT cik, sum(CASE WHEN n_trustee >= 1 THEN 1 ELSE 0 END) AS extracted
-          FROM results WHERE tag = 'F' GROUP BY cik)
-        SELECT count(*) AS total, count(CASE WHEN extracted > 0 THEN 1 END) AS extracted,
-          count(CASE WHEN extracted = 0 THEN 1 END) AS failed FROM by_company""",
+        best AS (
+          SELECT cik, max(n_trustee) AS most FROM results WHERE tag = 'F' GROUP BY cik),
+        split AS (
+          SELECT least(most, 1) AS found, count(*) AS n FROM best GROUP BY found)
+        SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total,
+          CAST(coalesce(sum(n) FILTER (WHERE found = 1), 0) AS BIGINT) AS extracted,
+          CAST(coalesce(sum(n) FILTER (WHERE found = 0), 0) AS BIGINT) AS failed FROM split""",
     "ticker_lookup": """
         WITH asked AS (
           SELECT DISTINCT upper(trim(t)) AS ticker FROM (
@@ -359,7 +362,11 @@ ORACLES: dict[str, str] = {
             ' *\n *', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' {2,}', ' ', 'g'),
             ' ' || chr(10)) AS text
         FROM decoded""",
-    "hidden_div": "SELECT page_id, html FROM pages",
+    "hidden_div": """
+        SELECT page_id, replace(html, '<article>', CASE page_id % 4
+          WHEN 2 THEN '<div style=''display:none''>second</div>'
+          WHEN 3 THEN '<div data-style="display:none">kept</div>' ELSE '' END || '<article>') AS html
+        FROM pages""",
     "get_chunks": """
         SELECT CAST(doc_id // 10 AS VARCHAR) AS cik, CAST(doc_id // 10 AS VARCHAR)
             AS accession_number, CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text

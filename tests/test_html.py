@@ -52,3 +52,20 @@ def test_entities(value):
         "plain",
         "&#55296;&#x110000;\U0001f600",
     ]
+
+
+def test_attributes_are_told_by_their_names(value):
+    pages = [
+        '<div data-style="display:none">keep</div>',
+        "<div class=a style=display:none>gone</div>rest",
+        "<div\tstyle = 'display : none'>gone</div>rest",
+        "<div style=color:red>keep</div>",
+    ]
+    assert value(remove_hidden_div, pages) == [pages[0], "rest", "rest", pages[3]]
+    links = ['<a data-href="/no">a</a>', '<a data-href="/no" href="/yes">b</a>']
+    assert value(html_to_text, links) == ["a", "[b](/yes)"]
+
+
+def test_all_named_entities(value):
+    texts = ["Fund&apos;s &NotEqualTilde; &bsol; &hellip; &apos &nosuchname;"]
+    assert value(decode_entities, texts) == ["Fund's \u2242\u0338 \\ \u2026 &apos &nosuchname;"]

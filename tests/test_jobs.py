@@ -92,7 +92,7 @@ def test_from_index_files_to_export(world, tmp_path):
     numbers = {k: v.first().asDict() for k, v in jobs.statistics(spark, everything, "batch1").items()}
     assert numbers["master_idx_sample"] == {"count": 20}
     assert numbers["filing_text_chunks"]["filings"] == 18
-    assert numbers["results_by_filing"] == {"total": 18, "yay": 18, "nay": 0}
+    assert numbers["results_by_filing"] == {"total": 18, "accepted": 18, "not_accepted": 0}
     assert numbers["results_by_company"] == {"total": 18, "extracted": 18, "failed": 0}
 
 
