@@ -52,7 +52,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "doc_id", "key", "place", "l.line", "l.words", "l.id"
     )
     often = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
-    return rows.join(often, "id", "left_semi")
+    # Written out, so that the join shuffles both sides itself and a hot line can be split.
+    return rows.join(checkpoint(often), "id", "left_semi")
 
 
 def stretches(lines: DataFrame, min_words: int) -> DataFrame:
