@@ -179,7 +179,9 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = found.groupBy("step", "n", "head", "tail").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")
     )
-    later = found.join(first.where("copies > 1"), ["step", "n", "head", "tail"])
+    # Written out for the same reason as the repeated lines.
+    first = checkpoint(first.where("copies > 1"))
+    later = found.join(first, ["step", "n", "head", "tail"])
     return later.where(place != F.col("first")).select("key", "start", "end")
 
 
