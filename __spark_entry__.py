@@ -16,7 +16,9 @@ from fundglean.operators import search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, several_chunks
 from fundglean.operators.spreading import spread
-from fundglean.plans.bindings import SEARCH_TAG, Given
+from fundglean.plans import jobs
+from fundglean.plans.bindings import SEARCH_TAG, Given, letter_counts
+from fundglean.sources import filings as filing_files
 from fundglean.sources.filings import filing_headers, keyed_headers_pages, manifest
 from fundglean.sources.fund_lists import columnar_rows
 from oracles import ORACLES
@@ -24,6 +26,7 @@ from oracles import ORACLES
 KEYS = ["cik", "accession_number"]
 DEPTH = 20
 CHUNK_SIZE = 500
+PAGE_CHUNK_SIZE = 300
 DIMENSION = 64
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -42,6 +45,11 @@ def joined(numbers: Column) -> Column:
     return F.array_join(numbers.cast("array<string>"), ",")
 
 
+def exported(given: Given, limit: int | None = None) -> DataFrame:
+    rows = report.export_rows(given.index(), given.results(), "O", "O", limit)
+    return rows.withColumn("chunks_used", joined(F.col("chunks_used")))
+
+
 # --- index -----------------------------------------------------------------
 
 
@@ -214,8 +222,13 @@ def index_page_path(given: Given) -> DataFrame:
 
 @query
 def export_left_join(given: Given) -> DataFrame:
-    rows = report.export_rows(given.index(), given.results(), "O", "O")
-    return rows.withColumn("chunks_used", joined(F.col("chunks_used")))
+    return exported(given)
+
+
+@query
+def export_limited(given: Given) -> DataFrame:
+    """The first thousand export rows."""
+    return exported(given, 1000)
 
 
 @query
@@ -353,9 +366,112 @@ def hidden_div(given: Given) -> DataFrame:
     return pages.select("page_id", remove_hidden_div(page).alias("html"))
 
 
+@query
+def chunk_pages(given: Given) -> DataFrame:
+    """Page -> text -> chunks; pages of a single chunk are left out."""
+    pages = spread(given.table("pages").select("page_id", "html"), "page_id")
+    return jobs.chunk_pages(pages, PAGE_CHUNK_SIZE, "html", ["page_id"])
+
+
+@query
+def chunk_outcomes(given: Given) -> DataFrame:
+    """What came of each order as a filing whose document, a page, has type A."""
+    pages = given.table("pages").select(
+        F.col("page_id").cast("string").alias("path"), F.col("html").alias("content")
+    )
+    kind = F.when(F.col("filename").cast("long") % 5 == 0, ".txt").otherwise(".htm")
+    documents_ = filters.document_of_type(given.manifest(), "A", ["filing"]).select(
+        "filing", "status", F.concat("filename", kind).alias("filename"),
+        F.coalesce("filename", F.lit("")).alias("path"),
+    )
+    html = documents_.where(F.endswith("filename", F.lit(".htm")))
+    contents = filing_files.with_contents(html, pages, "inner")
+    chunks = jobs.chunk_pages(contents, PAGE_CHUNK_SIZE, keys=["filing"])
+    return jobs.outcomes(documents_, pages, chunks, ["filing"])
+
+
+@query
+def html_paths(given: Given) -> DataFrame:
+    """Addresses of pages, and names made of them, that are HTML files."""
+    url = F.col("url")
+    names = F.array(url, F.concat(url, F.lit(".htm")), F.concat(url, F.lit(".HTML")),
+                    F.concat(url, F.lit(".txt")), F.concat(url, F.lit(".html.gz")))
+    rows = given.table("pages").select("page_id", F.posexplode(names).alias("n", "name"))
+    return rows.where(paths.is_html_path(F.col("name")))
+
+
 # --- chunk tables, search and relevance --------------------------------------
 
 
+@query
+def get_chunks_all(given: Given) -> DataFrame:
+    """Every third filing asks for all its chunks, by an empty list."""
+    filing = F.floor(F.col("vec_id") / 10)
+    none = F.array().cast("array<int>")
+    requests = (
+        given.table("embeddings")
+        .groupBy(filing.alias("filing"))
+        .agg(F.when(F.col("filing") % 3 == 0, none).otherwise(F.array(F.max("label"))).alias("chunk_nums"))
+        .select(F.col("filing").cast("string").alias("cik"),
+                F.col("filing").cast("string").alias("accession_number"), "chunk_nums")
+    )
+    return filters.requested_chunks(given.chunks(), requests)
+
+
+@query
+def ordered_lookup(given: Given) -> DataFrame:
+    """All chunks of one filing, numbered in the order in which they come."""
+    rows = filters.chunks_of(given.chunks(), "7", "7")
+    gathered = rows.agg(F.collect_list(F.struct("chunk_num", "chunk_text")).alias("rows"))
+    return gathered.select(F.posexplode("rows").alias("place", "r")).select("place", "r.*")
+
+
+@query
+def tags_null_and_two(given: Given) -> DataFrame:
+    """Filings by tag where some have no tags and some have two."""
+    status = F.col("tags")[0]
+    tags = (
+        F.when(status == "F", F.lit(None).cast("array<string>"))
+        .when(F.col("cik").cast("long") % 2 == 0, F.array(status, F.lit("both")))
+        .otherwise(F.array(status))
+    )
+    index = given.index().withColumn("tags", tags)
+    kept = filters.without_exact_tag(index, "P")
+    marked = kept.withColumn("two_tags", F.coalesce(F.array_contains("tags", "both"), F.lit(False)))
+    found = filters.with_tag(marked, "O").select(*KEYS, F.lit("O").alias("found"))
+    return marked.select(*KEYS, "two_tags").join(found, KEYS, "left")
+
+
+@query
+def vector_topk_many_phrases(given: Given) -> DataFrame:
+    """Every vector as a phrase too, in several passes and blocks."""
+    embeddings = given.table("embeddings")
+    phrases = embeddings.select(
+        F.lpad(F.col("vec_id").cast("string"), 9, "0").alias("phrase"),
+        F.col("embedding").alias("phrase_embedding"),
+        F.array(F.lit(SEARCH_TAG)).alias("tags"),
+    )
+    rows = search.top_pairs(given.vectors(), phrases, SEARCH_TAG, DEPTH, pass_bytes=150_000)
+    return rows.withColumn("distance", F.round("distance", 6))
+
+
+@query
+def phrase_vectors(given: Given) -> DataFrame:
+    """The phrase set of a tag: one phrase and vector for each label."""
+    rows = filters.with_tag(given.phrases(), SEARCH_TAG)
+    entries = rows.select("phrase", F.posexplode("phrase_embedding").alias("i", "x"))
+    return entries.withColumn("x", F.round(F.col("x").cast("double"), 6))
+
+
+@query
+def embedded_user_function(given: Given) -> DataFrame:
+    """A user's batch function over all chunks, in requests of neighbouring chunks."""
+    limits = calls.RequestLimits(1500, 4)
+    rows = calls.embedded_chunks(given.chunks(), "chunk_text", letter_counts, limits)
+    return rows.select(*KEYS, "chunk_num", joined(F.transform("embedding", lambda x: x.cast("long"))).alias("embedding"))
+
+
+
 @query
 def get_chunks(given: Given) -> DataFrame:
     """Each filing asks for the chunk numbers found among its vectors' labels."""
@@ -478,9 +594,8 @@ def stand_in_response(snippet: Column) -> Column:
 
 
 def result_rows(answered: DataFrame) -> DataFrame:
-    return reduce_cascade(answered).withColumn(
-        "selected_chunks", joined(F.col("selected_chunks"))
-    )
+    rows = reduce_cascade(answered).drop("error")
+    return rows.withColumn("selected_chunks", joined(F.col("selected_chunks")))
 
 
 @query
@@ -539,6 +654,19 @@ def hash_embedding_(given: Given) -> DataFrame:
     )
 
 
+@query
+def token_batches_token_limited(given: Given) -> DataFrame:
+    """The limits of models that limit tokens alone, on long token counts."""
+    tokens = F.size(F.split("chunk_text", " ")) * 20
+    return batches.token_batches(given.chunks(), tokens, *calls.TOKEN_LIMITED)
+
+
+@query
+def token_batches_count_limited(given: Given) -> DataFrame:
+    tokens = F.size(F.split("chunk_text", " ")) * 20
+    return batches.token_batches(given.chunks(), tokens, *calls.COUNT_LIMITED)
+
+
 @query
 def token_batches(given: Given) -> DataFrame:
     tokens = F.size(F.split("chunk_text", " "))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -49,31 +51,49 @@ def token_batches(
     max_tokens: int,
     max_chunks: int,
     fold_limit: int = FOLD_LIMIT,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``batch_id`` of every chunk, counted from 0 in chunk order within its filing.
 
+    Columns of ``carry`` go along.
+
     A filing of ordinary length is folded within one row. Filings of more than
     ``fold_limit`` chunks go through :func:`_by_segments`, with the same result.
+    A NULL token count is 0. Which filings are long is told by their keys alone;
+    tokens are counted once, and written out if both ways need them.
     """
     keys = list(FILING_KEYS)
-    sized = chunks.select(*keys, "chunk_num", tokens.cast("int").alias("tokens"))
-    lengths = sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    count = F.coalesce(tokens.cast("int"), F.lit(0))
+    sized = chunks.select(*keys, "chunk_num", count.alias("tokens"), *carry)
+    lengths = chunks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     long = lengths.where(F.col("n") > fold_limit).select(*keys)
     if long.isEmpty():
-        return _in_one_row(sized, max_tokens, max_chunks)
+        return _in_one_row(sized, max_tokens, max_chunks, carry)
+    sized, long = cut_lineage(sized), cut_lineage(long)
     return _in_one_row(
-        salted_join(sized, long, keys, "left_anti"), max_tokens, max_chunks
+        salted_join(sized, long, keys, "left_anti"), max_tokens, max_chunks, carry
     ).unionByName(
         _by_segments(
-            salted_join(sized, long, keys, "left_semi"), max_tokens, max_chunks
+            salted_join(sized, long, keys, "left_semi"), max_tokens, max_chunks, carry=carry
         )
     )
 
 
-def _in_one_row(sized: DataFrame, max_tokens: int, max_chunks: int) -> DataFrame:
+def requests(
+    chunks: DataFrame, text: str, tokens: Column, max_tokens: int, max_chunks: int
+) -> DataFrame:
+    """One row for each request: keys, ``batch_id``, and ``items`` (chunk_num, text) in order."""
+    batched = token_batches(chunks, tokens, max_tokens, max_chunks, carry=[text])
+    items = F.sort_array(F.collect_list(F.struct("chunk_num", F.col(text).alias("text"))))
+    return batched.groupBy(*FILING_KEYS, "batch_id").agg(items.alias("items"))
+
+
+def _in_one_row(
+    sized: DataFrame, max_tokens: int, max_chunks: int, carry: Sequence[str] = ()
+) -> DataFrame:
     keys = list(FILING_KEYS)
     filings = sized.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("chunk_num", "tokens"))).alias("items")
+        F.sort_array(F.collect_list(F.struct("chunk_num", "tokens", *carry))).alias("items")
     )
 
     def labelled(starts: Column) -> Column:
@@ -88,6 +108,7 @@ def _in_one_row(sized: DataFrame, max_tokens: int, max_chunks: int) -> DataFrame
                 lambda item: F.struct(
                     item["chunk_num"].alias("chunk_num"),
                     item["tokens"].alias("tokens"),
+                    *[item[c].alias(c) for c in carry],
                     k.alias("batch_id"),
                 ),
             ),
@@ -110,7 +131,11 @@ def _next_starts(tokens: np.ndarray, max_tokens: int, max_chunks: int) -> np.nda
 
 
 def _by_segments(
-    sized: DataFrame, max_tokens: int, max_chunks: int, segment: int = SEGMENT
+    sized: DataFrame,
+    max_tokens: int,
+    max_chunks: int,
+    segment: int = SEGMENT,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Batches of very long filings, without one task seeing a whole filing.
 
@@ -158,13 +183,13 @@ def _by_segments(
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*keys, "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     )
-    in_part = Window.partitionBy(*keys, "part").orderBy("chunk_num", "tokens")
+    in_part = Window.partitionBy(*keys, "part").orderBy("chunk_num", "tokens", *carry)
     placed = ranged.join(offsets, [*keys, "part"]).withColumn(
         "at", F.col("before") + F.row_number().over(in_part) - 1
     )
     segments = cut_lineage(
         placed.groupBy(*keys, F.floor(F.col("at") / length).alias("seg")).agg(
-            F.sort_array(F.collect_list(F.struct("at", "chunk_num", "tokens"))).alias("items")
+            F.sort_array(F.collect_list(F.struct("at", "chunk_num", "tokens", *carry))).alias("items")
         )
     )
     own = F.transform("items", lambda item: item["tokens"])
@@ -223,6 +248,7 @@ def _by_segments(
         lambda item, count: F.struct(
             item["chunk_num"].alias("chunk_num"),
             item["tokens"].alias("tokens"),
+            *[item[c].alias(c) for c in carry],
             (F.col("so_far") + count - 1).cast("int").alias("batch_id"),
         ),
     )

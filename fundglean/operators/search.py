@@ -4,146 +4,127 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundglean.functions.binding import let
-from fundglean.functions.vectors import cosine_distance, norm
 from fundglean.operators.filters import with_tag
 from fundglean.schemas import FILING_KEYS
 
 DEFAULT_DEPTH = 1000
-PHRASES_PER_BLOCK = 1024
-BLOCK_SALTS = 64
+PHRASES_PER_BLOCK = 1024  # columns of one matrix product
+CHUNKS_PER_PRODUCT = 1024  # its rows
+PASS_BYTES = 64_000_000  # phrase vectors held by a task in one pass over the chunks
 RANK_DIGITS = 12  # distances equal in exact arithmetic must tie
 
 
 # What is kept of one chunk: its nearest phrases as parallel arrays.
-NEAREST_TYPE = "phrase_at array<int>, rank_distance array<double>, distance array<double>"
+NEAREST_TYPE = "phrase array<string>, rank_distance array<double>, distance array<double>"
 
 
-def _nearest(phrase_rows: list[Row], depth: int):
-    """Arrow function: vectors -> their ``depth`` nearest of the given phrases.
+def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of a list column with where each row's begin, and how many it has (0 if NULL)."""
+    offsets = np.asarray(column.offsets, dtype=np.int64)
+    sizes = np.where(np.asarray(column.is_valid()), np.diff(offsets), 0)
+    values = np.asarray(column.values.to_numpy(zero_copy_only=False), dtype=np.float64)
+    return values, offsets[:-1], sizes
 
-    One matrix product for a batch of chunks. ``phrase_rows`` are in phrase
-    order, so the stable sort breaks ties by phrase.
+
+def _matrices(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length of vectors: the rows that have it, and their vectors as a matrix."""
+    values, starts, sizes = _vectors(column)
+    found = {}
+    for size in np.unique(sizes[sizes > 0]):
+        rows = np.flatnonzero(sizes == size)
+        found[int(size)] = rows, values[starts[rows][:, None] + np.arange(size)]
+    return found
+
+
+def _nearest(names: list[str | None], asked: dict[int, tuple[np.ndarray, np.ndarray]], depth: int):
+    """Arrow function: vectors -> their ``depth`` nearest of the phrases given in order.
+
+    Chunks and phrases meet by length, in matrix products of bounded size; what
+    is nearest so far stands before the next block, so the stable sort breaks
+    ties by phrase. A vector that is NULL, holds a NULL, or is all zeros has no
+    distance to anything, and neither have vectors of different lengths.
     """
-    asked = np.array([r.phrase_embedding for r in phrase_rows], dtype=np.float64)
-    asked_norms = np.linalg.norm(asked, axis=1)
+
+    def merged(vectors: np.ndarray, at: np.ndarray, matrix: np.ndarray, block: int):
+        sizes = np.linalg.norm(vectors, axis=1)[:, None]
+        best = None
+        for first in range(0, len(at), block):
+            part = matrix[first : first + block]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                distance = 1 - vectors @ part.T / (sizes * np.linalg.norm(part, axis=1)[None, :])
+            here = np.broadcast_to(at[first : first + block], distance.shape)
+            rank = np.round(distance, RANK_DIGITS) + 0.0  # no negative zero
+            if best is not None:
+                rank, distance, here = (
+                    np.concatenate(x, axis=1) for x in zip(best, (rank, distance, here))
+                )
+            order = np.argsort(rank, axis=1, kind="stable")[:, :depth]  # NaN goes last
+            best = [np.take_along_axis(x, order, axis=1) for x in (rank, distance, here)]
+        return best
 
     @F.arrow_udf(NEAREST_TYPE)
     def nearest(embedding: pa.Array) -> pa.Array:
-        vectors = np.asarray(embedding.flatten(), dtype=np.float64)
-        vectors = vectors.reshape(len(embedding), asked.shape[1])
-        sizes = np.linalg.norm(vectors, axis=1)[:, None] * asked_norms[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            distance = 1 - vectors @ asked.T / sizes
-        rank = np.round(distance, RANK_DIGITS) + 0.0  # no negative zero
-        order = np.argsort(rank, axis=1, kind="stable")[:, :depth]  # NaN goes last
-        rank = np.take_along_axis(rank, order, axis=1)
-        distance = np.take_along_axis(distance, order, axis=1)
-        kept = ~np.isnan(rank)
-        offsets = pa.array(np.concatenate(([0], np.cumsum(kept.sum(axis=1)))), pa.int32())
+        lists: list[tuple] = [((), (), ())] * len(embedding)
+        for size, (rows, vectors) in _matrices(embedding).items():
+            if size not in asked:
+                continue
+            at, matrix = asked[size]
+            for first in range(0, len(rows), CHUNKS_PER_PRODUCT):
+                some = slice(first, first + CHUNKS_PER_PRODUCT)
+                rank, distance, here = merged(vectors[some], at, matrix, PHRASES_PER_BLOCK)
+                kept = (~np.isnan(rank)).sum(axis=1)
+                for i, row in enumerate(rows[some]):
+                    n = kept[i]
+                    lists[row] = here[i, :n], rank[i, :n], distance[i, :n]
+        counts = [len(x[0]) for x in lists]
+        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+        flat = [np.concatenate([np.zeros(0), *(x[k] for x in lists)]) for k in range(3)]
+        said = pa.array([names[int(i)] for i in flat[0]], pa.string())
         columns = [
-            pa.ListArray.from_arrays(offsets, pa.array(values[kept], kind))
-            for values, kind in (
-                (order, pa.int32()),
-                (rank, pa.float64()),
-                (distance, pa.float64()),
-            )
+            pa.ListArray.from_arrays(offsets, values)
+            for values in (said, pa.array(flat[1]), pa.array(flat[2]))
         ]
-        return pa.StructArray.from_arrays(
-            columns, names=["phrase_at", "rank_distance", "distance"]
-        )
+        return pa.StructArray.from_arrays(columns, names=["phrase", "rank_distance", "distance"])
 
     return nearest
 
 
-def _phrase_entries(phrases: DataFrame) -> Column:
-    return F.collect_list(
-        F.struct(
-            "phrase",
-            F.col("phrase_embedding").alias("vector"),
-            norm(F.col("phrase_embedding")).alias("norm"),
-        )
-    )
-
-
-def _nearest_in_row(entries: Column, depth: int) -> Column:
-    """Distances of one chunk to all ``entries``, at most ``depth`` of them, near first."""
-
-    def scored(length: Column) -> Column:
-        return F.transform(
-            entries,
-            lambda p: let(
-                cosine_distance(F.col("embedding"), p["vector"], length, p["norm"]),
-                lambda d: F.struct(
-                    F.round(d, RANK_DIGITS).alias("rank_distance"),
-                    p["phrase"].alias("phrase"),
-                    d.alias("distance"),
-                ),
-            ),
-        )
-
-    pairs = F.filter(
-        let(norm(F.col("embedding")), scored), lambda pair: pair["distance"].isNotNull()
-    )
-    return F.slice(F.array_sort(pairs), 1, depth)
-
-
 def phrase_distances(
-    vectors: DataFrame,
-    phrases: DataFrame,
-    depth: int,
-    phrases_per_block: int = PHRASES_PER_BLOCK,
+    vectors: DataFrame, phrases: DataFrame, depth: int, pass_bytes: int = PASS_BYTES
 ) -> DataFrame:
-    """Every chunk with its ``depth`` nearest phrases.
+    """Every chunk with its ``depth`` nearest phrases, however many phrases there are.
 
-    A phrase set of up to one block is a parameter of the search: it is fetched
-    (never more than a block and a row) and shipped with an Arrow function that
-    scores a batch of chunks by one matrix product. A larger set is cut into
-    blocks of bounded size, which meet the chunks in an equi-join on (block,
-    salt). Either way a chunk emits no more than ``depth`` pairs for a block.
+    Vectors stay where they are read. The phrases' number and longest vector are
+    looked up first; as many passes over the chunks are made as keep the phrase
+    vectors of one pass within ``pass_bytes``, and a phrase's pass is told by its
+    hash. A chunk emits no more than ``depth`` pairs in a pass.
     """
     keys = [*FILING_KEYS, "chunk_num"]
+    chunks = vectors.select(*keys, "embedding")
     phrases = phrases.select("phrase", "phrase_embedding").where(
         F.col("phrase_embedding").isNotNull()
     )
-    fetched = phrases.limit(phrases_per_block + 1).collect()
-    if len(fetched) <= phrases_per_block:
-        return _near_fetched(vectors.select(*keys, "embedding"), fetched, depth)
-    blocks = -(-phrases.count() // phrases_per_block)
-    placed = phrases.withColumn(
-        "block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int")
-    )
-    packed = placed.groupBy("block").agg(_phrase_entries(placed).alias("entries"))
-    salts = F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1))
-    met = (
-        vectors.select(*keys, "embedding")
-        .withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(BLOCK_SALTS)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .join(packed.withColumn("salt", F.explode(salts)), ["block", "salt"])
-    )
-    return met.select(*keys, F.inline(_nearest_in_row(F.col("entries"), depth)))
-
-
-def _near_fetched(vectors: DataFrame, fetched: list[Row], depth: int) -> DataFrame:
-    keys = [*FILING_KEYS, "chunk_num"]
-    if not fetched:
-        nothing = vectors.where(F.lit(False)).select(*keys)
-        return nothing.select(
-            "*",
-            F.lit(0.0).alias("rank_distance"),
-            F.lit("").alias("phrase"),
-            F.lit(0.0).alias("distance"),
-        )
-    in_order = sorted(fetched, key=lambda r: (r.phrase is not None, r.phrase or ""))
-    names = F.lit([r.phrase for r in in_order])
-    near = vectors.select(*keys, _nearest(in_order, depth)("embedding").alias("near"))
-    zipped = F.arrays_zip("near.phrase_at", "near.rank_distance", "near.distance")
-    return near.select(*keys, F.inline(zipped)).select(
-        *keys, "rank_distance", F.get(names, F.col("phrase_at")).alias("phrase"), "distance"
-    )
+    n, longest = phrases.agg(F.count(F.lit(1)), F.max(F.size("phrase_embedding"))).first()
+    passes = max(1, -(-n * 8 * (longest or 0) // pass_bytes))
+    place = F.pmod(F.xxhash64("phrase", "phrase_embedding"), F.lit(passes))
+    found = None
+    for number in range(passes):
+        table = phrases.where(place == number).toArrow()
+        names = table.column("phrase").to_pylist()
+        order = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] or ""))
+        table = table.take(pa.array(order, pa.int64())).combine_chunks()
+        asked = {}
+        if len(table):
+            asked = _matrices(table.column("phrase_embedding").chunk(0))
+        names = [names[i] for i in order]
+        near = chunks.select(*keys, _nearest(names, asked, depth)("embedding").alias("near"))
+        zipped = F.arrays_zip("near.rank_distance", "near.phrase", "near.distance")
+        pairs = near.select(*keys, F.inline(zipped))
+        found = pairs if found is None else found.unionAll(pairs)
+    return found
 
 
 def top_pairs(
@@ -151,7 +132,7 @@ def top_pairs(
     phrases: DataFrame,
     tag: str,
     depth: int = DEFAULT_DEPTH,
-    phrases_per_block: int = PHRASES_PER_BLOCK,
+    pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """Per filing the ``depth`` nearest pairs: keys, phrase, chunk_num, distance.
 
@@ -159,7 +140,7 @@ def top_pairs(
     applies it before the exchange as well (WindowGroupLimit), hence a filing
     with very many chunks sends only ``depth`` rows from each input partition.
     """
-    pairs = phrase_distances(vectors, with_tag(phrases, tag), depth, phrases_per_block)
+    pairs = phrase_distances(vectors, with_tag(phrases, tag), depth, pass_bytes)
     return limit_per_group(
         pairs, FILING_KEYS, ("rank_distance", "chunk_num", "phrase"), depth
     ).select(*FILING_KEYS, "phrase", "chunk_num", "distance")

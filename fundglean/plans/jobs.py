@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundglean import schemas
@@ -16,12 +17,14 @@ from fundglean.functions.responses import PROMPT, response_view
 from fundglean.functions.vectors import hash_embedding
 from fundglean.operators import calls, filters, relevance, report, sampling, search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
-from fundglean.operators.chunks import numbered, of_filings, several_chunks
+from fundglean.operators.chunks import numbered, of_filings
+from fundglean.operators.lineage import cut_lineage
 from fundglean.sources import filings as filing_files
 from fundglean.sources import fund_lists, index_files, tables
 from fundglean.schemas import FILING_KEYS
 
 FORM_TYPE = "485BPOS"
+FULL_INDEX = replace(schemas.MASTER_INDEX, partitions=schemas.QUARTER)
 DIMENSION = 768
 SEARCH_DEPTH = 20
 BROADCAST_PATHS = 500_000  # rows of keys and a path, some 100 bytes each
@@ -37,10 +40,12 @@ SEARCH_PHRASES = (
 
 @dataclass(frozen=True)
 class Tables:
-    """Paths of the pipeline's tables."""
+    """Paths of the pipeline's tables; the names below are fixed values."""
 
     full_index: str
     index: str
+    pages: str
+    outcomes: str
     text: str
     embedding: str
     search: str
@@ -51,6 +56,8 @@ class Tables:
         return cls(
             full_index=f"{root}/master_idx",
             index=f"{root}/master_idx_sample",
+            pages=f"{root}/filing_pages",
+            outcomes=f"{root}/filing_outcomes",
             text=f"{root}/filing_text_chunks",
             embedding=f"{root}/filing_chunks_embeddings",
             search=f"{root}/search_phrase_embeddings",
@@ -67,10 +74,16 @@ def _table(spark: SparkSession, spec: schemas.TableSpec, path: str) -> DataFrame
 
 def load_index(
     spark: SparkSession, archive: str, quarters: str, to: Tables, form_type: str = FORM_TYPE
-) -> bool:
-    """Append the index rows of the chosen quarters."""
+) -> dict[tuple[int, int], int]:
+    """Append the index rows of the chosen quarters; rows of each quarter that was read."""
+    existing = index_files.existing_quarters(spark, archive)
+    read, _ = index_files.wanted_quarters(existing, quarters)
     rows = index_files.read_master_index(spark, archive, quarters, form_type)
-    return tables.append_rows(rows, schemas.MASTER_INDEX, to.full_index)
+    groups = {
+        f"{y}/{q}": (F.col("year") == y) & (F.col("quarter") == q) for y, q in read
+    }
+    counts = tables.append_counted(rows, FULL_INDEX, to.full_index, groups)
+    return {(y, q): counts[f"{y}/{q}"] for y, q in read}
 
 
 def index_counts(
@@ -82,6 +95,16 @@ def index_counts(
     )
 
 
+def _index_between(spark: SparkSession, at: Tables, *ranges: tuple[str, str]) -> DataFrame:
+    """Index rows of the years of the date ranges; other quarters' files are not read."""
+    index = tables.read_table(spark, FULL_INDEX, at.full_index, layout=True)
+    if index is None:
+        raise ValueError(f"no table at {at.full_index}")
+    first, last = min(r[0] for r in ranges), max(r[1] for r in ranges)
+    years = F.col("year").between(int(first[:4]), int(last[:4]))
+    return index.where(years).select(*schemas.MASTER_INDEX.schema.fieldNames())
+
+
 def sample(
     spark: SparkSession,
     at: Tables,
@@ -92,14 +115,17 @@ def sample(
     seed: str = "",
 ) -> bool:
     """Tag the filings of a tenth of the fund companies, in place of an earlier sample."""
-    index = _table(spark, schemas.MASTER_INDEX, at.full_index)
+    index = _index_between(spark, at, draw_range, keep_range)
     drawn = sampling.sample_ciks(index, funds, *draw_range, seed=seed)
     rows = sampling.sample_index(index, drawn, *keep_range, tag=tag)
     return tables.replace_rows(rows, schemas.MASTER_INDEX, at.index)
 
 
 def chunk_pages(
-    pages: DataFrame, size: int = DEFAULT_CHUNK_SIZE, page_column: str = "content"
+    pages: DataFrame,
+    size: int = DEFAULT_CHUNK_SIZE,
+    page_column: str = "content",
+    keys=FILING_KEYS,
 ) -> DataFrame:
     """HTML pages with filing keys -> numbered chunks; no shuffle.
 
@@ -110,52 +136,111 @@ def chunk_pages(
         chunk_text(html_to_text(F.col(page_column)), size),
         lambda found: F.when(F.size(found) > 1, found),
     )
-    return numbered(pages, chunks, "chunk_text")
+    return numbered(pages, chunks, "chunk_text", keys)
+
+
+def ingest_pages(spark: SparkSession, archive: str, to: Tables, ciks: str = "*") -> bool:
+    """Copy pages of the archive that are not there yet into the page table.
+
+    The table is laid out by kind of page and hash of the filing, so that later
+    jobs read the pages of their filings and never list the archive. ``ciks`` is a
+    path pattern.
+    """
+    found = filing_files.read_pages(spark, f"{archive}/edgar/data/{ciks}/*/*.htm*")
+    there = tables.read_table(spark, schemas.PAGES, to.pages)
+    if there is not None:
+        found = found.join(there.select("path"), "path", "left_anti")
+    return tables.append_rows(filing_files.laid_out(found), schemas.PAGES, to.pages)
+
+
+def pages_of(spark: SparkSession, at: Tables, filings: DataFrame, kind: str) -> DataFrame:
+    """Pages of a kind in the buckets of the given filings; other files are not read."""
+    bucket = filing_files.page_bucket(F.col("cik"), F.col("accession_number"))
+    buckets = [r[0] for r in filings.select(bucket).distinct().collect()]
+    pages = tables.read_table(spark, schemas.PAGES, at.pages, layout=True)
+    if pages is None:
+        raise ValueError(f"no table at {at.pages}")
+    return pages.where((F.col("kind") == kind) & F.col("bucket").isin(buckets))
+
+
+def outcomes(
+    documents: DataFrame, pages: DataFrame, chunks: DataFrame, keys=FILING_KEYS
+) -> DataFrame:
+    """What came of each filing: keys, ``status`` and ``n_chunks``.
+
+    ``documents`` has the keys, ``filename``, ``path`` and a status: ``ok``,
+    ``missing`` or ``ambiguous``. An ok document may turn out ``not_html``,
+    ``no_content`` (no page at its path) or ``single`` (one chunk or none).
+    """
+    there = pages.where(F.col("content").isNotNull()).select("path", F.lit(True).alias("there"))
+    counts = chunks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    status = (
+        F.when(F.col("status") != "ok", F.col("status"))
+        .when(~is_html_path(F.col("filename")), "not_html")
+        .when(F.col("there").isNull(), "no_content")
+        .when(F.col("n").isNull(), "single")
+        .otherwise("ok")
+    )
+    return (
+        documents.join(there.distinct(), "path", "left")
+        .join(counts, list(keys), "left")
+        .select(*keys, status.alias("status"), F.coalesce("n", F.lit(0)).alias("n_chunks"))
+    )
 
 
 def chunk(
     spark: SparkSession,
     at: Tables,
-    archive: str,
     tag: str,
     form_type: str = FORM_TYPE,
     batch_limit: int = 0,
     size: int = DEFAULT_CHUNK_SIZE,
+    retry: Sequence[str] = (),
 ) -> bool:
-    """Chunk the tagged filings that are not chunked yet."""
-    index = _table(spark, schemas.MASTER_INDEX, at.index)
-    todo = filters.not_yet_in(
-        filters.filings_of_tag(index, tag, batch_limit),
-        tables.read_table(spark, schemas.TEXT_CHUNKS, at.text),
-    )
+    """Chunk the tagged filings that are not settled yet, and note what came of each.
+
+    A filing is settled once it has an outcome, whatever it is, unless that is one
+    of ``retry``; its last outcome counts.
+    """
     keys = list(FILING_KEYS)
-    data = f"{archive}/edgar/data/*/*"
-    headers_pages = filing_files.keyed_headers_pages(
-        filing_files.read_pages(spark, f"{data}/*-index-headers.html")
+    index = _table(spark, schemas.MASTER_INDEX, at.index)
+    settled = tables.read_table(spark, schemas.OUTCOMES, at.outcomes)
+    if settled is not None and retry:
+        again = settled.groupBy(*keys).agg(F.bool_and(F.col("status").isin(*retry)).alias("again"))
+        settled = again.where(~F.col("again"))
+    todo = cut_lineage(
+        filters.not_yet_in(filters.filings_of_tag(index, tag, batch_limit), settled)
     )
-    wanted = headers_pages.join(todo, keys, "left_semi")  # before a page is parsed
+    if todo.isEmpty():
+        return False
+    headers = filing_files.keyed_headers_pages(pages_of(spark, at, todo, filing_files.HEADERS))
+    wanted = headers.join(todo, keys, "left_semi")  # before a page is parsed
     manifest = filing_files.manifest(filing_files.filing_headers(wanted))
-    documents = (
-        filters.document_of_type(
-            manifest.withColumn("filename", F.col("path")), form_type
+    found = filters.document_of_type(manifest.withColumn("filename", F.col("path")), form_type)
+    documents = cut_lineage(
+        todo.join(found, keys, "left").select(
+            *keys,
+            "filename",
+            F.coalesce(F.col("filename"), F.lit("")).alias("path"),
+            F.coalesce("status", F.lit("missing")).alias("status"),
         )
-        .where((F.col("status") == "ok") & is_html_path(F.col("filename")))
-        .select(*keys, F.col("filename").alias("path"))
     )
-    pages = filing_files.read_pages(spark, f"{data}/*.htm*")
-    documents = documents.persist()
+    # Chunks of an earlier run that ended before it noted outcomes are not made again.
+    readable = filters.not_yet_in(
+        documents.where((F.col("status") == "ok") & is_html_path(F.col("filename"))),
+        tables.read_table(spark, schemas.TEXT_CHUNKS, at.text),
+    ).select(*keys, "path")
     if documents.count() <= BROADCAST_PATHS:
-        documents = F.broadcast(documents)  # page contents then stay where they were read
-    contents = filing_files.with_contents(documents, pages, "inner")
+        readable = F.broadcast(readable)  # page contents then stay where they were read
+    pages = pages_of(spark, at, todo, filing_files.DOCUMENT).select("path", "content")
+    contents = filing_files.with_contents(readable, pages, "inner")
     done = tables.append_rows(chunk_pages(contents, size), schemas.TEXT_CHUNKS, at.text)
-    documents.unpersist()
+    written = tables.read_table(spark, schemas.TEXT_CHUNKS, at.text)
+    chunks = of_filings(written.select(*keys), todo)
+    tables.append_rows(outcomes(documents, pages, chunks), schemas.OUTCOMES, at.outcomes)
     return done
 
 
-def _vector(text, embed: calls.Embed | None, dimension: int):
-    return hash_embedding(text, dimension) if embed is None else calls.embedded(text, embed)
-
-
 def embedding(
     spark: SparkSession,
     at: Tables,
@@ -163,10 +248,14 @@ def embedding(
     embed: calls.Embed | None = None,
     dimension: int = DIMENSION,
     batch_limit: int = 0,
+    limits: calls.RequestLimits = calls.COUNT_LIMITED,
+    count_tokens: Callable[[Column], Column] = calls.word_count,
 ) -> bool:
     """Vectors for the chunks of tagged filings that have none yet.
 
-    Without a function of the user, hashed word counts serve as vectors.
+    Without a function of the user, hashed word counts serve as vectors. With one,
+    each request holds neighbouring chunks of one filing within ``limits``. Filings
+    of a single chunk never reach the text table, so there is none to leave out.
     """
     keys = list(FILING_KEYS)
     index = _table(spark, schemas.MASTER_INDEX, at.index)
@@ -175,9 +264,11 @@ def embedding(
         tables.read_table(spark, schemas.CHUNK_VECTORS, at.embedding),
     )
     chunks = of_filings(_table(spark, schemas.TEXT_CHUNKS, at.text), todo)
-    vectors = several_chunks(chunks).select(
-        *keys, "chunk_num", _vector(F.col("chunk_text"), embed, dimension).alias("embedding")
-    )
+    if embed is None:
+        vector = hash_embedding(F.col("chunk_text"), dimension).alias("embedding")
+        vectors = chunks.select(*keys, "chunk_num", vector)
+    else:
+        vectors = calls.embedded_chunks(chunks, "chunk_text", embed, limits, count_tokens)
     return tables.append_rows(vectors, schemas.CHUNK_VECTORS, at.embedding, dimension)
 
 
@@ -190,9 +281,12 @@ def init_search_phrases(
     phrases: tuple[str, ...] = SEARCH_PHRASES,
 ) -> None:
     """Replace the phrases of a tag."""
-    rows = spark.createDataFrame([(p,) for p in phrases], "phrase string").withColumn(
-        "phrase_embedding", _vector(F.col("phrase"), embed, dimension)
-    )
+    rows = spark.createDataFrame([(p,) for p in phrases], "phrase string")
+    if embed is None:
+        rows = rows.withColumn("phrase_embedding", hash_embedding(F.col("phrase"), dimension))
+    else:
+        answer = F.get(calls.embedded(F.array("phrase"), embed), 0)
+        rows = rows.withColumn("phrase_embedding", answer)
     tables.replace_phrases(filters.assign_tag(rows, search_tag), at.search, dimension)
 
 
@@ -219,6 +313,7 @@ def extract(
     ask: calls.Ask = calls.skip_model,
     batch_limit: int = 0,
     template: str = PROMPT,
+    parallelism: int | None = None,
 ) -> bool:
     """Ask about the most relevant chunks of every tagged filing and store the result."""
     index = _table(spark, schemas.MASTER_INDEX, at.index)
@@ -230,7 +325,7 @@ def extract(
         _table(spark, schemas.SEARCH_PHRASES, at.search),
         search_tag,
     )
-    results = reduce_cascade(calls.ask_in_turn(candidates, ask, template)).select(
+    results = reduce_cascade(calls.ask_in_turn(candidates, ask, template, parallelism)).select(
         "*",
         F.lit(model).alias("model"),
         response_view(F.col("response")).alias("comp_info"),

@@ -35,6 +35,8 @@ class TableSpec:
     required: tuple[str, ...]
     max_length: dict[str, int] = field(default_factory=dict)
     vector: str | None = None
+    #: Columns of the rows that the files are laid out by; without any, by load.
+    partitions: tuple[str, ...] = ()
 
 
 MASTER_INDEX = TableSpec(
@@ -63,6 +65,26 @@ MASTER_INDEX = TableSpec(
     },
 )
 
+QUARTER = ("year", "quarter")
+
+PAGES = TableSpec(
+    schema=T.StructType()
+    .add("cik", T.StringType())
+    .add("path", T.StringType())
+    .add("content", T.StringType()),
+    required=("cik", "path"),
+    partitions=("kind", "bucket"),
+)
+
+OUTCOMES = TableSpec(
+    schema=T.StructType()
+    .add("cik", T.StringType())
+    .add("accession_number", T.StringType())
+    .add("status", T.StringType())
+    .add("n_chunks", T.LongType()),
+    required=("cik", "accession_number", "status"),
+)
+
 TEXT_CHUNKS = TableSpec(
     schema=T.StructType()
     .add("cik", T.StringType())
@@ -104,7 +126,8 @@ RESULTS = TableSpec(
     .add("response", T.StringType())
     .add("comp_info", RESPONSE)
     .add("n_trustee", T.IntegerType())
-    .add("tags", T.ArrayType(T.StringType())),
+    .add("tags", T.ArrayType(T.StringType()))
+    .add("error", T.StringType()),
     required=(
         "cik",
         "accession_number",
@@ -113,5 +136,6 @@ RESULTS = TableSpec(
         "selected_text",
         "response",
     ),
+    # Fixed values, here and above: lengths of the text columns.
     max_length={"cik": 10, "accession_number": 20, "model": 32},
 )

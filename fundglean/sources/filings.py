@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundglean.functions.html import decode_entities
@@ -11,6 +11,8 @@ from fundglean.functions.text import strip
 _HEADER = r"(?is)<SEC-HEADER>(.*?)(?:</SEC-HEADER>|<DOCUMENT>|\z)"
 _DOCUMENT = r"(?is)<DOCUMENT>.*?</DOCUMENT>"
 _ARCHIVE_PATH = r"(edgar/data/.*)$"
+HEADERS, DOCUMENT = "headers", "document"
+PAGE_BUCKETS = 64
 
 
 def read_pages(spark: SparkSession, *paths: str) -> DataFrame:
@@ -21,6 +23,25 @@ def read_pages(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def page_bucket(cik: Column, accession_number: Column) -> Column:
+    """Where the page table keeps a filing; an accession number counts without dashes."""
+    folder = F.replace(accession_number, F.lit("-"), F.lit(""))
+    return F.pmod(F.xxhash64(cik, folder), F.lit(PAGE_BUCKETS)).cast("int")
+
+
+def laid_out(pages: DataFrame) -> DataFrame:
+    """Pages with ``cik``, ``kind`` and ``bucket``, as the page table is laid out."""
+    headers = F.endswith("path", F.lit("-index-headers.html"))
+    named = pages.withColumn("cik", F.regexp_extract("path", r"edgar/data/([^/]+)/", 1))
+    folder = F.regexp_extract("path", r"edgar/data/[^/]+/([^/]+)/", 1)
+    return named.withColumns(
+        {
+            "kind": F.when(headers, HEADERS).otherwise(DOCUMENT),
+            "bucket": page_bucket(F.col("cik"), folder),
+        }
+    )
+
+
 def keyed_headers_pages(pages: DataFrame) -> DataFrame:
     """Add the filing keys, which the path of an index-headers page tells."""
     return pages.withColumns(

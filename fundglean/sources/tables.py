@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,13 +11,16 @@ from pyspark.sql import functions as F
 from fundglean.schemas import SEARCH_PHRASES, TableSpec
 
 TAG_KEY = "tag_key"
+LOAD = "loaded"
 
 
 def _checked(column: Column, bad: Column, message: str) -> Column:
     return F.when(bad, F.raise_error(F.lit(message))).otherwise(column)
 
 
-def conform(df: DataFrame, spec: TableSpec, dimension: int | None = None) -> DataFrame:
+def conform(
+    df: DataFrame, spec: TableSpec, dimension: int | None = None, layout: tuple[str, ...] = ()
+) -> DataFrame:
     """Columns of the table in order and type; a row that breaks a rule fails the write.
 
     Columns the rows do not have are NULL. The rules are column expressions and
@@ -38,24 +43,50 @@ def conform(df: DataFrame, spec: TableSpec, dimension: int | None = None) -> Dat
         if name in spec.required:
             column = _checked(column, column.isNull(), f"{name} must not be NULL")
         columns.append(column.alias(name))
-    return df.select(*columns)
+    return df.select(*columns, *layout)
 
 
 def append_rows(
     df: DataFrame, spec: TableSpec, path: str, dimension: int | None = None
 ) -> bool:
     """Append to the table, creating it if need be; False if there was no row."""
-    return _write(df, spec, path, dimension, "append")
+    return _write(df, spec, path, dimension, "append", {})[ROWS] > 0
+
+
+def append_counted(
+    df: DataFrame, spec: TableSpec, path: str, groups: dict[str, Column]
+) -> dict[str, int]:
+    """As :func:`append_rows`; the rows of each group are counted by the write itself."""
+    counts = _write(df, spec, path, None, "append", groups)
+    return {name: counts[name] for name in groups}
+
+
+ROWS = "rows"
 
 
 def _write(
-    df: DataFrame, spec: TableSpec, path: str, dimension: int | None, mode: str
-) -> bool:
-    """Rows are counted while they are written, not in a pass of their own."""
+    df: DataFrame,
+    spec: TableSpec,
+    path: str,
+    dimension: int | None,
+    mode: str,
+    groups: dict[str, Column],
+) -> dict[str, int]:
+    """Rows are counted while they are written, not in a pass of their own.
+
+    Files are laid out by the table's own columns or by load; a layout also means
+    that no rows leave no file.
+    """
     seen = Observation()
-    rows = conform(df, spec, dimension).observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.write.mode(mode).parquet(path)
-    return seen.get["n"] > 0
+    layout = spec.partitions
+    rows = conform(df, spec, dimension, layout)
+    if not layout:
+        layout = (LOAD,)
+        rows = rows.withColumn(LOAD, F.lit(datetime.now(UTC).strftime("%Y%m%dT%H%M%S.%f")))
+    counts = [F.count_if(column).alias(name) for name, column in groups.items()]
+    rows = rows.observe(seen, F.count(F.lit(1)).alias(ROWS), *counts)
+    rows.write.mode(mode).partitionBy(*layout).parquet(path)
+    return seen.get
 
 
 def replace_rows(
@@ -65,13 +96,17 @@ def replace_rows(
 
     ``df`` must come from other tables than this one.
     """
-    return _write(df, spec, path, dimension, "overwrite")
+    return _write(df, spec, path, dimension, "overwrite", {})[ROWS] > 0
 
 
-def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame | None:
-    """The table, or None while it does not exist."""
+def read_table(
+    spark: SparkSession, spec: TableSpec, path: str, layout: bool = False
+) -> DataFrame | None:
+    """The table, or None while it does not exist; with ``layout``, also what it is laid out by."""
     try:
-        return spark.read.schema(spec.schema).parquet(path)
+        rows = spark.read.schema(spec.schema).parquet(path)
+        names = [c for c in rows.columns if layout or c in spec.schema.fieldNames()]
+        return rows.select(*names)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

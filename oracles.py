@@ -187,6 +187,85 @@ unwrapped AS (
     CASE WHEN length(response) > 20 AND json_valid(inside) THEN inside ELSE response END AS response
   FROM inner_text)"""
 
+
+def greedy_chunks(size: int) -> str:
+    return f"""WITH {LINES},
+        listed AS (
+          SELECT doc_id, list(piece ORDER BY chunk_num) AS p,
+            list({{'filled': length(piece), 'at': 0::BIGINT, 'starts': []::BIGINT[]}}
+                 ORDER BY chunk_num) AS states
+          FROM pieces GROUP BY doc_id),
+        folded AS (
+          SELECT doc_id, p, list_concat([0::BIGINT], list_reduce(states, lambda s, x:
+            {{'filled': CASE WHEN s.filled + x.filled > {size} THEN x.filled
+                            ELSE s.filled + x.filled END,
+              'at': s.at + 1,
+              'starts': CASE WHEN s.filled + x.filled > {size}
+                            THEN list_append(s.starts, s.at + 1) ELSE s.starts END}}).starts) AS b
+          FROM listed),
+        cut AS (
+          SELECT doc_id, unnest(range(len(b))) AS k,
+            unnest(list_transform(range(1, len(b) + 1), lambda i: array_to_string(
+              p[b[i] + 1 : coalesce(b[i + 1], len(p))], chr(10) || chr(10)))) AS chunk_text
+          FROM folded)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER)
+            AS chunk_num, chunk_text
+        FROM cut WHERE length({strip("chunk_text")}) > 100"""
+
+
+def token_batches(factor: int, used: int, most: int) -> str:
+    return f"""
+        WITH sized AS (
+          SELECT CAST(doc_id // 10 AS VARCHAR) AS f, CAST(doc_id % 10 AS INTEGER) AS chunk_num,
+            {factor} * len(string_split(text, ' ')) AS tokens FROM documents),
+        folded AS (
+          SELECT f, list(chunk_num ORDER BY chunk_num) AS c, list(tokens ORDER BY chunk_num) AS t,
+            list_reduce(list({{'used': tokens, 'count': 1::BIGINT, 'ids': [0::BIGINT]}}
+              ORDER BY chunk_num), lambda s, x: CASE
+                WHEN s.count >= {most} OR s.used + x.used > {used}
+                THEN {{'used': x.used, 'count': 1::BIGINT,
+                      'ids': list_append(s.ids, s.ids[-1] + 1)}}
+                ELSE {{'used': s.used + x.used, 'count': s.count + 1,
+                      'ids': list_append(s.ids, s.ids[-1])}} END).ids AS b
+          FROM sized GROUP BY f)
+        SELECT f AS cik, f AS accession_number, unnest(c) AS chunk_num,
+          CAST(unnest(t) AS INTEGER) AS tokens, CAST(unnest(b) AS INTEGER) AS batch_id
+        FROM folded"""
+
+
+HTML_TEXT = r"""
+        WITH plain AS (
+          SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            regexp_replace(html, '(?s)<!--.*?(-->|\z)', '', 'g'),
+            '(?is)<head\b.*?(</head\s*>|\z)', '', 'g'),
+            '(?is)<script\b.*?(</script\s*>|\z)', '', 'g'),
+            '(?is)<style\b.*?(</style\s*>|\z)', '', 'g'),
+            '[ \t\r\n\f]+', ' ', 'g') AS h FROM pages),
+        links AS (
+          SELECT page_id, regexp_replace(h,
+            '(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', '[\2](\1)', 'g') AS h
+          FROM plain),
+        blocks AS (
+          SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            regexp_replace(h, '(?i)<br\b[^>]*>', chr(10), 'g'),
+            '(?i)<h1\b[^>]*>', chr(10) || chr(10) || '# ', 'g'),
+            '(?i)<li\b[^>]*>', chr(10) || '* ', 'g'),
+            '(?i)</?(p|div|h1|ul|article|footer|nav|body)\b[^>]*>', chr(10) || chr(10), 'g'),
+            '</?[a-zA-Z!][^>]*(>|\z)', '', 'g') AS h FROM links),
+        decoded AS (
+          SELECT page_id, replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'),
+            '&quot;', '"'), '&amp;', '&') AS h FROM blocks)
+        SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(h,
+            ' *\n *', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' {2,}', ' ', 'g'),
+            ' ' || chr(10)) AS text
+        FROM decoded"""
+
+# The text of pages takes the place of the documents' text.
+PAGE_CHUNKS = f"""WITH documents AS (SELECT page_id AS doc_id, text FROM ({HTML_TEXT})),
+page_chunks AS (
+  SELECT doc_id AS page_id, chunk_num, chunk_text FROM ({greedy_chunks(300)})
+  QUALIFY count(*) OVER (PARTITION BY doc_id) > 1)"""
+
 ORACLES: dict[str, str] = {
     "index_quarter_counts": f"""WITH {INDEX}
         SELECT CAST(year(date_filed) AS INTEGER) AS year,
@@ -314,54 +393,9 @@ ORACLES: dict[str, str] = {
                   unnest(range(len(string_split(text, chr(10))))) AS line_num FROM documents))""",
     "text_pieces": f"""WITH {LINES}
         SELECT doc_id, CAST(chunk_num AS INTEGER) AS chunk_num, piece FROM pieces""",
-    "greedy_chunks": f"""WITH {LINES},
-        listed AS (
-          SELECT doc_id, list(piece ORDER BY chunk_num) AS p,
-            list({{'filled': length(piece), 'at': 0::BIGINT, 'starts': []::BIGINT[]}}
-                 ORDER BY chunk_num) AS states
-          FROM pieces GROUP BY doc_id),
-        folded AS (
-          SELECT doc_id, p, list_concat([0::BIGINT], list_reduce(states, lambda s, x:
-            {{'filled': CASE WHEN s.filled + x.filled > 500 THEN x.filled
-                            ELSE s.filled + x.filled END,
-              'at': s.at + 1,
-              'starts': CASE WHEN s.filled + x.filled > 500
-                            THEN list_append(s.starts, s.at + 1) ELSE s.starts END}}).starts) AS b
-          FROM listed),
-        cut AS (
-          SELECT doc_id, unnest(range(len(b))) AS k,
-            unnest(list_transform(range(1, len(b) + 1), lambda i: array_to_string(
-              p[b[i] + 1 : coalesce(b[i + 1], len(p))], chr(10) || chr(10)))) AS chunk_text
-          FROM folded)
-        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER)
-            AS chunk_num, chunk_text
-        FROM cut WHERE length({strip("chunk_text")}) > 100""",
-    "html_to_text": r"""
-        WITH plain AS (
-          SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-            regexp_replace(html, '(?s)<!--.*?(-->|\z)', '', 'g'),
-            '(?is)<head\b.*?(</head\s*>|\z)', '', 'g'),
-            '(?is)<script\b.*?(</script\s*>|\z)', '', 'g'),
-            '(?is)<style\b.*?(</style\s*>|\z)', '', 'g'),
-            '[ \t\r\n\f]+', ' ', 'g') AS h FROM pages),
-        links AS (
-          SELECT page_id, regexp_replace(h,
-            '(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>', '[\2](\1)', 'g') AS h
-          FROM plain),
-        blocks AS (
-          SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-            regexp_replace(h, '(?i)<br\b[^>]*>', chr(10), 'g'),
-            '(?i)<h1\b[^>]*>', chr(10) || chr(10) || '# ', 'g'),
-            '(?i)<li\b[^>]*>', chr(10) || '* ', 'g'),
-            '(?i)</?(p|div|h1|ul|article|footer|nav|body)\b[^>]*>', chr(10) || chr(10), 'g'),
-            '</?[a-zA-Z!][^>]*(>|\z)', '', 'g') AS h FROM links),
-        decoded AS (
-          SELECT page_id, replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'),
-            '&quot;', '"'), '&amp;', '&') AS h FROM blocks)
-        SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(h,
-            ' *\n *', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' {2,}', ' ', 'g'),
-            ' ' || chr(10)) AS text
-        FROM decoded""",
+    "greedy_chunks": greedy_chunks(500),
+    "html_to_text": HTML_TEXT,
+    "chunk_pages": f"{PAGE_CHUNKS} SELECT page_id, chunk_num, chunk_text FROM page_chunks",
     "hidden_div": """
         SELECT page_id, replace(html, '<article>', CASE page_id % 4
           WHEN 2 THEN '<div style=''display:none''>second</div>'
@@ -451,21 +485,68 @@ ORACLES: dict[str, str] = {
           round(CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 5)
             AS x
         FROM buckets""",
-    "token_batches": """
-        WITH sized AS (
-          SELECT CAST(doc_id // 10 AS VARCHAR) AS f, CAST(doc_id % 10 AS INTEGER) AS chunk_num,
-            len(string_split(text, ' ')) AS tokens FROM documents),
-        folded AS (
-          SELECT f, list(chunk_num ORDER BY chunk_num) AS c, list(tokens ORDER BY chunk_num) AS t,
-            list_reduce(list({'used': tokens, 'count': 1::BIGINT, 'ids': [0::BIGINT]}
-              ORDER BY chunk_num), lambda s, x: CASE
-                WHEN s.count >= 4 OR s.used + x.used > 1500
-                THEN {'used': x.used, 'count': 1::BIGINT,
-                      'ids': list_append(s.ids, s.ids[-1] + 1)}
-                ELSE {'used': s.used + x.used, 'count': s.count + 1,
-                      'ids': list_append(s.ids, s.ids[-1])} END).ids AS b
-          FROM sized GROUP BY f)
-        SELECT f AS cik, f AS accession_number, unnest(c) AS chunk_num,
-          CAST(unnest(t) AS INTEGER) AS tokens, CAST(unnest(b) AS INTEGER) AS batch_id
-        FROM folded""",
+    "token_batches": token_batches(1, 1500, 4),
+    "token_batches_token_limited": token_batches(20, 8191, 99999),
+    "token_batches_count_limited": token_batches(20, 12000, 250),
+    "chunk_outcomes": f"""{PAGE_CHUNKS},
+        filed AS (
+          SELECT l_orderkey AS filing, count(*) FILTER (WHERE l_returnflag = 'A') AS n,
+            max(CAST(l_partkey AS VARCHAR)) FILTER (WHERE l_returnflag = 'A') AS name
+          FROM lineitem GROUP BY l_orderkey),
+        counts AS (SELECT page_id, count(*) AS chunks FROM page_chunks GROUP BY page_id),
+        judged AS (
+          SELECT filing, chunks, CASE
+            WHEN n = 0 THEN 'missing' WHEN n > 1 THEN 'ambiguous'
+            WHEN CAST(name AS BIGINT) % 5 = 0 THEN 'not_html'
+            WHEN p.page_id IS NULL THEN 'no_content'
+            WHEN chunks IS NULL THEN 'single' ELSE 'ok' END AS status
+          FROM filed LEFT JOIN pages p ON n = 1 AND CAST(p.page_id AS VARCHAR) = name
+          LEFT JOIN counts c ON c.page_id = p.page_id)
+        SELECT filing, status, CASE WHEN status = 'ok' THEN chunks ELSE 0 END AS n_chunks
+        FROM judged""",
+    "html_paths": """
+        SELECT page_id, CAST(n AS INTEGER) AS n, name FROM (
+          SELECT page_id, unnest([0, 1, 2, 3, 4]) AS n,
+            unnest([url, url || '.htm', url || '.HTML', url || '.txt', url || '.html.gz']) AS name
+          FROM pages)
+        WHERE name LIKE '%.htm' OR name LIKE '%.html'""",
+    "get_chunks_all": """
+        WITH asked AS (
+          SELECT vec_id // 10 AS f, max(label) AS top FROM embeddings GROUP BY f)
+        SELECT CAST(f AS VARCHAR) AS cik, CAST(f AS VARCHAR) AS accession_number,
+          CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text
+        FROM documents JOIN asked ON doc_id // 10 = f WHERE f % 3 = 0 OR doc_id % 10 = top""",
+    "ordered_lookup": """
+        SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS place,
+          CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text
+        FROM documents WHERE doc_id // 10 = 7""",
+    "tags_null_and_two": f"""WITH {INDEX},
+        marked AS (SELECT *, tag <> 'F' AND CAST(cik AS BIGINT) % 2 = 0 AS two_tags FROM idx)
+        SELECT cik, accession_number, two_tags, CASE WHEN tag = 'O' THEN 'O' END AS found
+        FROM marked WHERE two_tags OR tag <> 'P'""",
+    "vector_topk_many_phrases": """
+        WITH vecs AS (
+          SELECT vec_id, embedding::DOUBLE[] AS v, lpad(CAST(vec_id AS VARCHAR), 9, '0') AS phrase
+          FROM embeddings),
+        scored AS (
+          SELECT a.vec_id // 10 AS f, CAST(a.vec_id % 10 AS INTEGER) AS chunk_num, b.phrase,
+            list_cosine_distance(a.v, b.v) AS distance FROM vecs a CROSS JOIN vecs b)
+        SELECT CAST(f AS VARCHAR) AS cik, CAST(f AS VARCHAR) AS accession_number, phrase,
+          chunk_num, round(distance, 6) AS distance
+        FROM scored QUALIFY row_number() OVER (
+          PARTITION BY f ORDER BY round(distance, 12), chunk_num, phrase) <= 20""",
+    "phrase_vectors": """
+        SELECT phrase, CAST(unnest(range(len(q))) AS INTEGER) AS i,
+          round(CAST(unnest(q) AS DOUBLE), 6) AS x
+        FROM (SELECT CAST(label AS VARCHAR) AS phrase, arg_min(embedding, vec_id) AS q
+              FROM embeddings GROUP BY label)""",
+    "embedded_user_function": """
+        SELECT CAST(doc_id // 10 AS VARCHAR) AS cik, CAST(doc_id // 10 AS VARCHAR)
+            AS accession_number, CAST(doc_id % 10 AS INTEGER) AS chunk_num,
+          length(text) || ',' || len(string_split(text, 'e')) - 1 || ','
+            || len(string_split(text, ' ')) - 1 AS embedding
+        FROM documents""",
 }
+ORACLES["export_limited"] = (
+    ORACLES["export_left_join"] + " ORDER BY i.cik, i.accession_number LIMIT 1000"
+)

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundglean.operators import batches
-from fundglean.operators.calls import request_batches
 
 
 def expected(sizes, max_tokens, max_chunks):
@@ -56,9 +55,20 @@ def test_only_long_filings_are_cut(spark):
     assert ids(got) == {f: expected(s, 50, 5) for f, s in data.items()}
 
 
-def test_requests_are_never_empty():
-    sizes = {"a": 50, "b": 3, "c": 3, "d": 3}
-    got = list(request_batches(list("abcd"), 6, 9, sizes.get))
-    assert got == [["a"], ["b", "c"], ["d"]]
-    assert list(request_batches(list("bcd"), 99, 2, sizes.get)) == [["b", "c"], ["d"]]
-    assert list(request_batches([], 1, 1, len)) == []
+def test_unknown_token_counts_are_zero(spark):
+    data = {"0": [5, None, 5, 5, None, None, 9], "1": [None] * 12}
+    df = frame(spark, data)
+    want = {f: expected([t or 0 for t in s], 9, 4) for f, s in data.items()}
+    for limit in (3, 100):  # by segments and within a row
+        assert ids(batches.token_batches(df, F.col("tokens"), 9, 4, fold_limit=limit)) == want
+
+
+def test_requests_hold_texts_in_order(spark):
+    data = filings(5, [1, 9, 30])
+    df = frame(spark, data).withColumn("t", F.concat_ws("/", "cik", "chunk_num"))
+    rows = batches.requests(df, "t", F.col("tokens"), 40, 3).collect()
+    for cik, sizes in data.items():
+        own = sorted((r for r in rows if r.cik == cik), key=lambda r: r.batch_id)
+        want = expected(sizes, 40, 3)
+        assert [r.batch_id for r in own for _ in r["items"]] == want
+        assert [i.text for r in own for i in r["items"]] == [f"{cik}/{3 * n}" for n in range(len(sizes))]

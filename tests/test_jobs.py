@@ -41,17 +41,21 @@ def world(spark, tmp_path):
 
 
 def make_answer():
+    def answers(prompts):
+        return [answer(p) for p in prompts]
+
     def answer(prompt):
         names = [f"Trustee Number {i}" for i in range(12) if f"Trustee Number {i} |" in prompt]
         body = {"compensation_info_present": bool(names), "trustees": [{"name": n} for n in names]}
         return "```json\n" + json.dumps(body) + "\n```"
 
-    return answer
+    return answers
 
 
 def test_from_index_files_to_export(world, tmp_path):
     spark, archive, at = world
-    assert jobs.load_index(spark, archive, "2003/*", at)
+    assert jobs.load_index(spark, archive, "2003/*", at) == {(2003, 1): 20}
+    assert jobs.ingest_pages(spark, archive, at) and not jobs.ingest_pages(spark, archive, at)
     funds = spark.range(100, 120).select(F.col("id").cast("string").alias("cik"))
     assert jobs.sample(
         spark, at, funds, draw_range=("2003-01-01", "2003-12-31"), keep_range=("2003-01-01", "2003-12-31")
@@ -62,7 +66,7 @@ def test_from_index_files_to_export(world, tmp_path):
     rows = spark.read.parquet(at.full_index).withColumn("tags", F.array(F.lit("all")))
     rows.write.parquet(everything.index)
 
-    assert jobs.chunk(spark, everything, archive, "all", size=1000)
+    assert jobs.chunk(spark, everything, "all", size=1000)
     chunks = spark.read.parquet(everything.text)
     ciks = {r.cik for r in chunks.select("cik").distinct().collect()}
     assert ciks == {str(100 + n) for n in range(20)} - {"103", "104"}
@@ -70,7 +74,12 @@ def test_from_index_files_to_export(world, tmp_path):
     whole = chunks.where("cik = '100'").orderBy("chunk_num").collect()
     assert [r.chunk_num for r in whole] == list(range(len(whole)))
     assert sum("Trustee Number 0 | 0,000" in r.chunk_text and "Trustee Number 11 |" in r.chunk_text for r in whole) == 1
-    assert jobs.chunk(spark, everything, archive, "all", size=1000) is False  # nothing left to do
+    files = sorted(glob.glob(f"{everything.text}/**/*.parquet", recursive=True))
+    assert jobs.chunk(spark, everything, "all", size=1000) is False  # nothing left to do
+    assert sorted(glob.glob(f"{everything.text}/**/*.parquet", recursive=True)) == files
+    settled = {r.cik: (r.status, r.n_chunks) for r in spark.read.parquet(at.outcomes).collect()}
+    assert settled.pop("103") == ("not_html", 0) and settled.pop("104") == ("single", 0)
+    assert {s for s, _ in settled.values()} == {"ok"} and settled["100"][1] == len(whole)
 
     assert jobs.embedding(spark, everything, "all", dimension=256)
     assert jobs.embedding(spark, everything, "all", dimension=256) is False
@@ -99,9 +108,10 @@ def test_from_index_files_to_export(world, tmp_path):
 def test_skipped_model_calls_store_the_last_try(world):
     spark, archive, at = world
     jobs.load_index(spark, archive, "2003/1", at)
+    jobs.ingest_pages(spark, archive, at)
     rows = spark.read.parquet(at.full_index).withColumn("tags", F.array(F.lit("all")))
     rows.write.parquet(at.index)
-    assert jobs.chunk(spark, at, archive, "all", batch_limit=2, size=1000)
+    assert jobs.chunk(spark, at, "all", batch_limit=2, size=1000)
     embed = lambda texts: [[float(len(t) % 7), float(len(t)), 1.0] for t in texts]
     assert jobs.embedding(spark, at, "all", embed, dimension=3)
     jobs.init_search_phrases(spark, at, "g", embed, dimension=3)
@@ -110,3 +120,31 @@ def test_skipped_model_calls_store_the_last_try(world):
     assert len(results) == 2
     assert {(r.n_trustee, r.response) for r in results} == {(0, "")}
     assert all(len(r.selected_chunks) > 0 and len(r.selected_text) >= 100 for r in results)
+
+
+def test_only_wanted_pages_are_read(world):
+    """Kind and bucket of the wanted filings reach the scan as partition filters."""
+    spark, archive, at = world
+    jobs.ingest_pages(spark, archive, at)
+    one = spark.createDataFrame([("100", "0001-03-0")], "cik string, accession_number string")
+    pages = jobs.pages_of(spark, at, one, "document")
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    filters_ = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "kind" in filters_ and "bucket" in filters_
+    assert {r.path.split("/")[2] for r in pages.collect()} >= {"100"}
+    assert pages.count() < 40
+
+
+def test_settled_filings_can_be_tried_again(world):
+    spark, archive, at = world
+    jobs.load_index(spark, archive, "2003/1", at)
+    rows = spark.read.parquet(at.full_index).withColumn("tags", F.array(F.lit("all")))
+    rows.where("cik in ('100', '105')").write.parquet(at.index)
+    jobs.ingest_pages(spark, archive, at, ciks="100")
+    assert jobs.chunk(spark, at, "all", size=1000)
+    last = lambda: {r.cik: r.status for r in spark.read.parquet(at.outcomes).orderBy("loaded").collect()}
+    assert last() == {"100": "ok", "105": "missing"}
+    jobs.ingest_pages(spark, archive, at, ciks="105")
+    assert jobs.chunk(spark, at, "all", size=1000) is False
+    assert jobs.chunk(spark, at, "all", size=1000, retry=["missing"])
+    assert last() == {"100": "ok", "105": "ok"}

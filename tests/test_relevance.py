@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundglean.operators import relevance, search
+from fundglean.operators.filters import with_tag
 from fundglean.schemas import CHUNK_VECTORS, SEARCH_PHRASES
 
 
@@ -78,14 +79,14 @@ def brute_force(vectors, phrases, tag, k):
     return {(cik, *pair[1:]): pair[0] for cik, ps in out.items() for pair in sorted(ps)[:k]}
 
 
-@pytest.mark.parametrize("k, block, threshold", [(7, 1024, 1000), (7, 2, 1000), (9, 1024, 5), (1000, 3, 1000)])
-def test_search_matches_brute_force(spark, k, block, threshold):
-    """All ways through: one block, several blocks, and a depth past the group limit."""
+@pytest.mark.parametrize("k, size, threshold", [(7, 10**8, 1000), (7, 100, 1000), (9, 10**8, 5), (1000, 150, 1000)])
+def test_search_matches_brute_force(spark, k, size, threshold):
+    """All ways through: one pass, several passes, and a depth past the group limit."""
     vectors, phrases = make_search(spark)
     old = spark.conf.get(search.GROUP_LIMIT_CONF)
     spark.conf.set(search.GROUP_LIMIT_CONF, str(threshold))
     try:
-        rows = search.top_pairs(vectors, phrases, "g", k, phrases_per_block=block).collect()
+        rows = search.top_pairs(vectors, phrases, "g", k, pass_bytes=size).collect()
     finally:
         spark.conf.set(search.GROUP_LIMIT_CONF, old)
     got = {(r.cik, r.chunk_num, r.phrase): round(r.distance, 9) for r in rows}
@@ -106,3 +107,30 @@ def test_search_limits_before_it_shuffles(spark):
 def test_no_tagged_phrase_finds_nothing(spark):
     vectors, phrases = make_search(spark)
     assert search.top_pairs(vectors, phrases.where(F.lit(True)), "none", 5).count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+@pytest.mark.parametrize("size", [10**8, 60])
+def test_odd_vectors_meet_nothing(spark, monkeypatch, size, block):
+    """NULL, zero, short and long vectors, whatever the number of passes and blocks."""
+    monkeypatch.setattr(search, "PHRASES_PER_BLOCK", block)
+    monkeypatch.setattr(search, "CHUNKS_PER_PRODUCT", 2)
+    one, two = [1.0, 0.0], [0.6, 0.8]
+    odd = [None, [], [0.0, 0.0], [1.0], [1.0, 0.0, 0.0], [None, 1.0]]
+    chunks = [("1", "a", n, v) for n, v in enumerate([one, *odd, two, one])]
+    asked = [("p", one, ["g"]), ("q", two, ["g"]), ("p", one, ["g"]), (None, two, ["g"])]
+    asked += [(f"odd{i}", v, ["g"]) for i, v in enumerate(odd)]
+    vectors = spark.createDataFrame(chunks, CHUNK_VECTORS.schema)
+    phrases = spark.createDataFrame(asked, SEARCH_PHRASES.schema)
+    pairs = search.phrase_distances(vectors, with_tag(phrases, "g"), 100, pass_bytes=size).collect()
+    got = sorted((r.chunk_num, r.phrase or "", round(r.distance, 6)) for r in pairs)
+    near = [(one, "p"), (one, "p"), (two, "q"), (two, "")]
+    want = [(n, p, round(1 - (v[0] * u[0] + v[1] * u[1]), 6)) for n, v in ((0, one), (7, two), (8, one)) for u, p in near]
+    want += [(4, "odd3", 0.0), (5, "odd4", 0.0)]  # vectors of one and of three numbers meet their like
+    assert got == sorted(want)
+
+
+def test_vectors_are_not_shuffled(spark):
+    vectors, phrases = make_search(spark)
+    found = search.phrase_distances(vectors, phrases, 5, pass_bytes=100)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()

@@ -51,7 +51,22 @@ def test_index_files(spark, archive):
     everything = index_files.read_master_index(spark, archive, "2003/1")
     assert everything.count() == 3  # a row without a form type is dropped
     with pytest.raises(ValueError):
-        index_files.quarter_glob(archive, "1901/*")
+        index_files.quarter_glob(spark, archive, "1901/*")
+    with pytest.raises(ValueError):
+        index_files.quarter_glob(spark, archive, "2003/4")
+
+
+def test_quarters_are_those_there(spark, archive, tmp_path):
+    """Any year loads; a gap among the wanted quarters is reported."""
+    for name in ("2025/QTR1", "1993/QTR4"):
+        write(tmp_path / "edgar/full-index" / name / "master.idx", HEADER + f"1|N|10-K|{name[:4]}-01-02|edgar/data/1/a.txt\n")
+    with pytest.warns(UserWarning, match="2004/4.*"):
+        rows = index_files.read_master_index(spark, archive, "*")
+    years = {r.year for r in rows.collect()}
+    assert {1993, 2025} <= years
+    assert index_files.read_master_index(spark, archive, "2025/*").count() == 1
+    assert index_files.wanted_quarters([(2003, 1), (2003, 4)], "2003/[14]") == ([(2003, 1), (2003, 4)], [])
+    assert index_files.wanted_quarters([(2003, 1), (2003, 4)], "2003/?")[1] == [(2003, 2), (2003, 3)]
 
 
 def sgml(documents, date="20240429", header=True):
