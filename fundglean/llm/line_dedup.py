@@ -1,9 +1,10 @@
 """Line deduplication by a suffix array over line ids.
 
 Every document is a sequence of lines; lines without a word are passed over. A line's
-id is a 64-bit hash of it. Suffixes are ranked by prefix doubling: ranks by the first
-2**j lines, made of pairs of ranks by half as many, are numbers in the sorted order of
-the distinct pairs, spread over tasks by range. Suffixes that start with a line that
+id is a 96-bit hash of it. Suffixes are ranked by prefix doubling: ranks by one line are
+numbers in the sorted order of the ids, ranks by the first 2**j lines, made of pairs of
+ranks by half as many, are numbers in the sorted order of the distinct pairs; both are
+spread over tasks by range. Suffixes that start with a line that
 occurs once are never ranked, and a stretch of repeated lines stops being ranked when
 no run that matters is that long. Suffixes that share a prefix form an interval of the
 suffix array; the interval cut at ``min_words`` words, the first n lines of each of its
@@ -37,23 +38,39 @@ def n_words(line: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """Lines that occur more than once: ``doc_id``, ``key``, ``place``, ``line``, ``words``, ``id``.
+    """Lines that occur more than once: ``doc_id``, ``key``, ``place``, ``line``, ``words``, ``rank``.
 
     ``place`` numbers the document's lines that have words, ``line`` all of its lines.
     """
     each = docs.select("doc_id", row_key("doc_id", "text").alias("key"), F.split("text", "\n", -1).alias("lines"))
     with_words = F.filter(
         F.transform(
-            "lines", lambda x, i: F.struct(i.alias("line"), n_words(x).alias("words"), F.xxhash64(x).alias("id"))
+            "lines",
+            lambda x, i: F.struct(
+                i.alias("line"),
+                n_words(x).alias("words"),
+                F.xxhash64(x).alias("id"),
+                F.hash(x).alias("more"),
+            ),
         ),
         lambda x: x["words"] > 0,
     )
     rows = each.select("doc_id", "key", F.posexplode(with_words).alias("place", "l")).select(
-        "doc_id", "key", "place", "l.line", "l.words", "l.id"
+        "doc_id", "key", "place", "l.line", "l.words", "l.id", "l.more"
     )
-    often = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
-    # Written out, so that the join shuffles both sides itself and a hot line can be split.
-    return rows.join(checkpoint(often), "id", "left_semi")
+    often = rows.groupBy("id", "more").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(ranked(often, "id", "more"), ["id", "more"]).drop("id", "more")
+
+
+def ranked(rows: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values of the columns with ``rank``, a number that grows in their order.
+
+    Written out: ranks stay what they are when a task is run again, and a join with
+    them shuffles both of its sides itself, so that a hot value can be split.
+    """
+    order = rows.select(*columns).distinct().repartitionByRange(*columns)
+    rank = F.monotonically_increasing_id().alias("rank")
+    return checkpoint(order.sortWithinPartitions(*columns).select(*columns, rank))
 
 
 def stretches(lines: DataFrame, min_words: int) -> DataFrame:
@@ -67,7 +84,7 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
         "before IS NULL OR before <> place"
     )
     part = F.col("place") - F.row_number().over(w)
-    item = F.struct("place", "line", "words", "id", "upto")
+    item = F.struct("place", "line", "words", "rank", "upto")
     grouped = (
         once.withColumn("part", part)
         .withColumn("upto", F.sum("words").over(w))
@@ -79,7 +96,7 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
         "doc_id",
         "key",
         F.col("items.line").alias("at"),
-        F.col("items.id").alias("ranks"),
+        F.col("items.rank").alias("ranks"),
         # words before each line, and of all at the end
         F.concat(F.array(head["upto"] - head["words"]), F.col("items.upto")).alias("total"),
     ).where(F.element_at("total", -1) - F.element_at("total", 1) >= min_words)
@@ -141,16 +158,9 @@ def doubled(rows: DataFrame, step: int) -> DataFrame:
         F.col("ranks"),
     ).select("key", "first", "i", "head", F.get("ranks", F.col("i") + step).alias("tail"))
     pairs = pairs.where("head IS NOT NULL AND tail IS NOT NULL")
-    order = checkpoint(
-        pairs.select("head", "tail")
-        .distinct()
-        .repartitionByRange("head", "tail")
-        .sortWithinPartitions("head", "tail")
-        .select("head", "tail", F.monotonically_increasing_id().alias("rank"))
-    )
-    ranked = pairs.join(order, ["head", "tail"])
+    found = pairs.join(ranked(pairs, "head", "tail"), ["head", "tail"])
     # Starts without enough lines are the last ones, so the ranks found fill the front.
-    lists = ranked.groupBy("key", "first").agg(
+    lists = found.groupBy("key", "first").agg(
         F.sort_array(F.collect_list(F.struct("i", "rank"))).alias("found")
     )
     joined = kept.withColumn("first", F.element_at("at", 1)).join(lists, ["key", "first"])

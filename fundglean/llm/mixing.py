@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundglean.functions.binding import let
-from fundglean.llm.common import fresh
+from fundglean.llm.common import checkpoint, fresh
 
 MAX_SOURCES = 10_000
 SALTS = 64
@@ -40,16 +40,17 @@ def hashed(digits: int, seed: int, *columns: Column) -> Column:
 
 def rates(docs: DataFrame, weights: Mapping[str, float] | None, other: float, epochs: float) -> DataFrame:
     """``source``, ``rate``: mean repetitions of a row of each source."""
-    sizes = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    sizes = checkpoint(docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
     weight = F.lit(float(other))
     for name, value in (weights or {}).items():
         weight = F.when(F.col("source") == name, float(value)).otherwise(weight)
     weighed = sizes.withColumn("weight", weight)
-    whole = weighed.agg(F.sum("weight").alias("weights"), F.sum("n").alias("rows"))
-    rate = F.col("weight") / F.col("weights") * F.lit(float(epochs)) * F.col("rows") / F.col("n")
-    return weighed.join(F.broadcast(whole)).select(
-        "source", F.coalesce(rate, F.lit(0.0)).alias("rate")
-    )
+    weights_sum, rows = weighed.agg(F.sum("weight"), F.sum("n")).first()
+    if not weights_sum:
+        return weighed.select("source", F.lit(0.0).alias("rate"))
+    share = F.col("weight") / F.lit(weights_sum)
+    rate = share * F.lit(float(epochs)) * F.lit(rows) / F.col("n")
+    return weighed.select("source", rate.alias("rate"))
 
 
 def cumulative(rate: Column) -> Column:
