@@ -37,7 +37,7 @@ PIECE = 1 << 16
 #: Which two of the third, fourth and fifth segment of a chain join its key.
 PICKS = ((2, 3), (2, 4), (3, 4))
 #: Pairs of a bucket compared at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def bit_sums(hashes: np.ndarray) -> np.ndarray:
@@ -91,34 +91,27 @@ def chain_holds(differing: np.ndarray, start: int, max_bits: int) -> np.ndarray:
     """Whether the chain from segment ``start`` stays within its proportional budgets."""
     ring = np.concatenate([differing, differing], axis=1)[:, start : start + SEGMENTS]
     budget = np.arange(1, SEGMENTS + 1) * max_bits // SEGMENTS
-    return (np.cumsum(ring, axis=1) <= budget).all(axis=1)
+    return (np.cumsum(ring, axis=1, dtype=np.uint8) <= budget).all(axis=1)
 
 
 def forest(members: np.ndarray, start: int, max_bits: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of the members of one bucket that link in this chain."""
     n = len(members)
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    tree = np.arange(n)
     links = []
     rows = max(1, BLOCK // n)
     for first in range(0, n, rows):
         block = members[first : first + rows]
         differing = np.bitwise_count(segments((block[:, None] ^ members[None, :]).reshape(-1)))
-        holds = chain_holds(differing, start, max_bits)
-        near = holds & (differing.sum(axis=1) <= max_bits)
-        for pair in np.flatnonzero(near):
-            i, j = first + int(pair) // n, int(pair) % n
-            if i < j:
-                a, b = find(i), find(j)
-                if a != b:
-                    root[b] = a
-                    links.append((i, j))
+        near = differing.sum(axis=1, dtype=np.uint8) <= max_bits
+        near[near] = chain_holds(differing[near], start, max_bits)
+        for i, row in enumerate(near.reshape(-1, n), first):
+            others = i + 1 + np.flatnonzero(row[i + 1 :])
+            others = others[tree[others] != tree[i]]
+            if len(others):
+                roots, at = np.unique(tree[others], return_index=True)
+                links.extend((i, int(j)) for j in others[at])
+                tree[np.isin(tree, roots)] = tree[i]
     return links
 
 
