@@ -43,8 +43,13 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def row_key(*columns: str) -> Column:
-    """One long for the given columns, nulls included; equal rows have equal keys."""
-    return F.xxhash64(*[F.struct(F.isnull(F.col(c)), F.col(c)) for c in columns])
+    """16 bytes for the given columns, nulls included; equal rows have equal keys.
+
+    Two 64-bit hashes of different seeds, so that different rows do not share a key.
+    """
+    parts = [F.struct(F.isnull(F.col(c)), F.col(c)) for c in columns]
+    hashes = [F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in (1, 2)]
+    return F.unhex(F.concat(*hashes))
 
 
 def fold(doc_id: str, modulus: int) -> Column:

@@ -71,7 +71,7 @@ def hit_batch(ids: list, keys: list, kinds: list, hashes: list, at: list, around
     return pa.RecordBatch.from_arrays(
         [
             pa.array([i for i, k in zip(ids, sizes, strict=True) for _ in range(k)], pa.int64()),
-            pa.array([i for i, k in zip(keys, sizes, strict=True) for _ in range(k)], pa.int64()),
+            pa.array([i for i, k in zip(keys, sizes, strict=True) for _ in range(k)], pa.binary()),
             pa.array(np.repeat(np.array(kinds, np.int32), sizes) if n else np.zeros(0, np.int32)),
             pa.array(joined(hashes, np.uint64).view(np.int64)),
             pa.array(joined(at, np.int64)),
@@ -81,7 +81,7 @@ def hit_batch(ids: list, keys: list, kinds: list, hashes: list, at: list, around
     )
 
 
-HIT_SCHEMA = "id long, row_key long, kind int, hash long, at long, around array<long>"
+HIT_SCHEMA = "id long, row_key binary, kind int, hash long, at long, around array<long>"
 
 
 def item_seeds(benchmark: DataFrame) -> DataFrame:
