@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fundglean.llm import decontaminate, line_dedup, mixing, simhash
 from fundglean.llm import quality_rules as rules
-from fundglean.llm.common import fresh, table
+from fundglean.llm.common import checkpoint, fresh, table
 
 #: SQL cannot express the trained line field nor the closure of fingerprint links.
 ORACLE_SQL: str | None = None
@@ -62,7 +62,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what each one kept is written before the next, which reads it repeatedly."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = checkpoint(docs)
     return docs

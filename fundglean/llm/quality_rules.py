@@ -207,6 +207,9 @@ def fit(sampled: list[tuple], steps: int = 150, rate: float = 0.1, ridge: float
     y = np.array([label for label, _ in sampled])
     for i, (_, rows) in enumerate(sampled):
         x[i, : len(rows)], on[i, : len(rows)] = rows, True
+    lengths = on.sum(1)
+    # Documents are sorted by length: those with more than i lines come last.
+    longer = np.searchsorted(lengths, np.arange(longest), "right")
     lines, pairs = on.sum(), max(1, (on[:, 1:]).sum())
     w, t = np.zeros(FEATURES), np.zeros((2, 2))
     state = [np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(FEATURES), np.zeros((2, 2))]
@@ -220,14 +223,16 @@ def fit(sampled: list[tuple], steps: int = 150, rate: float = 0.1, ridge: float
         behind = np.zeros((n, longest, 2))
         ahead[:, 0] = unary[:, 0]
         for i in range(1, longest):
-            step_on = np.logaddexp(ahead[:, i - 1, :1] + t[0], ahead[:, i - 1, 1:] + t[1])
-            ahead[:, i] = np.where(on[:, i, None], step_on + unary[:, i], ahead[:, i - 1])
+            own = slice(longer[i], None)
+            before = ahead[own, i - 1]
+            ahead[own, i] = unary[own, i] + np.logaddexp(before[:, :1] + t[0], before[:, 1:] + t[1])
         for i in range(longest - 2, -1, -1):
-            after = unary[:, i + 1] + behind[:, i + 1]
-            step_on = np.logaddexp(after[:, :1] + t[:, 0], after[:, 1:] + t[:, 1])
-            behind[:, i] = np.where(on[:, i + 1, None], step_on, 0.0)
-        total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        content = np.exp(ahead[:, :, 1] + behind[:, :, 1] - total[:, None]) * on
+            own = slice(longer[i + 1], None)
+            after = unary[own, i + 1] + behind[own, i + 1]
+            behind[own, i] = np.logaddexp(after[:, :1] + t[:, 0], after[:, 1:] + t[:, 1])
+        last = ahead[np.arange(n), lengths - 1]
+        total = np.logaddexp(last[:, 0], last[:, 1])
+        content = np.exp(np.minimum(ahead[:, :, 1] + behind[:, :, 1] - total[:, None], 0.0)) * on
         got_pairs = np.zeros((2, 2))
         for a in (0, 1):
             for b in (0, 1):
