@@ -252,3 +252,21 @@ def test_last_symbol_wins(spark):
     asked = spark.createDataFrame([("aaaa ",), ("bbb",), ("bbbb",)], "ticker string")
     got = {tuple(r) for r in tickers.lookup_tickers(mapping, asked).collect()}
     assert got == {("AAAA", "2"), ("BBBB", "XXXX")}
+
+
+def test_no_rows_leave_no_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("1", "a", 0, "x")], schemas.TEXT_CHUNKS.schema)
+    for _ in range(2):
+        assert tables.append_rows(rows.limit(0), schemas.TEXT_CHUNKS, path) is False
+    assert glob.glob(f"{path}/**/*.parquet", recursive=True) == []
+    assert tables.append_rows(rows, schemas.TEXT_CHUNKS, path) is True
+    assert tables.read_table(spark, schemas.TEXT_CHUNKS, path).collect() == rows.collect()
+
+
+def test_index_is_laid_out_by_quarter(spark, archive, tmp_path):
+    at = jobs.Tables.under(str(tmp_path / "tables"))
+    assert jobs.load_index(spark, archive, "200?/*", at) == {(2003, 1): 2, (2004, 2): 1, (2004, 3): 0}
+    plan = jobs._index_between(spark, at, ("2004-01-01", "2004-12-31"))
+    assert "PartitionFilters: [isnotnull(year" in plan._jdf.queryExecution().executedPlan().toString()
+    assert [r.accession_number for r in plan.collect()] == ["0001-04-1"]
