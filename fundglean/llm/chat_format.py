@@ -47,18 +47,20 @@ def reconstruct(events: DataFrame) -> DataFrame:
     )
     ordered = F.sort_array(F.collect_list(event))
     folded = events.groupBy("conv_id", "message").agg(ordered.alias("events"))
-    text = F.aggregate(
-        "events",
-        F.lit(""),
-        lambda said, e: F.when(e["kind"] == "edit", e["text"])
-        .when(e["kind"] == "regenerate", F.lit(""))
-        .otherwise(F.concat(said, e["text"])),
+    # What counts begins at the last event that starts the message anew.
+    start = F.array_max(
+        F.transform("events", lambda e, i: F.when(e["kind"].isin("edit", "regenerate"), i))
     )
-    role = F.aggregate(
-        "events", F.lit(None).cast("string"), lambda last, e: F.coalesce(e["role"], last)
+    counting = F.slice("events", F.coalesce(start, F.lit(0)) + 1, F.size("events"))
+    said = F.transform(
+        counting, lambda e: F.when(e["kind"] == "regenerate", "").otherwise(e["text"])
     )
+    roles = F.filter("events.role", lambda r: r.isNotNull())
     return folded.select(
-        "conv_id", "message", F.coalesce(role, F.lit("")).alias("role"), text.alias("text")
+        "conv_id",
+        "message",
+        F.coalesce(F.get(roles, F.size(roles) - 1), F.lit("")).alias("role"),
+        F.array_join(said, "").alias("text"),
     )
 
 
