@@ -3,7 +3,8 @@
 Each source gets a target share of the mix. Its mean repetition rate is the target
 number of its rows over the number it has; each document's count is drawn by
 inverting the Poisson distribution of that mean at a uniform number hashed from the
-document and the seed. Documents are exploded by their counts, and the copies are
+document and the seed. A mean over ``MAX_RATE`` is drawn in equal parts, whose sum has
+the same distribution. Documents are exploded by their counts, and the copies are
 laid out in the order of a hash of document and copy: a global shuffle.
 
 Only per-source figures are collected, ``MAX_SOURCES`` rows at most; with more sources
@@ -27,6 +28,9 @@ from fundglean.llm.common import checkpoint, fresh
 
 MAX_SOURCES = 10_000
 SALTS = 64
+#: Largest mean that is inverted at once, and copies in one row before the last explode.
+MAX_RATE = 256.0
+BLOCK = 4096
 DIGITS = 13  # hex digits of a hash that make a uniform number
 KEY_DIGITS = 15
 
@@ -81,10 +85,14 @@ def mix(
 
     The mix has about ``epochs`` times as many rows as ``docs``, shared out by weight.
     """
-    per_source = rates(docs, weights, other, epochs).withColumn("chances", cumulative(F.col("rate")))
+    rated = rates(docs, weights, other, epochs)
+    parts = F.greatest(F.ceil(F.col("rate") / MAX_RATE), F.lit(1)).cast("int")
+    per_source = rated.withColumn("parts", parts).withColumn(
+        "draw", F.struct("parts", cumulative(F.col("rate") / F.col("parts")).alias("chances"))
+    )
     own = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
-    source, chances, salt = (fresh(docs, x) for x in ("mix_source", "mix_chances", "mix_salt"))
-    lookup = per_source.select(F.col("source").alias(source), F.col("chances").alias(chances))
+    source, draw, salt = (fresh(docs, x) for x in ("mix_source", "mix_draw", "mix_salt"))
+    lookup = per_source.select(F.col("source").alias(source), F.col("draw").alias(draw))
     if per_source.select("source").limit(MAX_SOURCES + 1).count() <= MAX_SOURCES:
         joined = docs.join(F.broadcast(lookup), F.col("source").eqNullSafe(F.col(source)))
     else:
@@ -98,18 +106,27 @@ def mix(
         F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "text")
     ]))
     who, u = fresh(docs, "mix_identity"), fresh(docs, "mix_count")
-    drawn = hashed(DIGITS, seed, F.col(who)) / F.lit(float(16**DIGITS))
-    # How many of the sums the number reaches: the count whose chance interval it lies in.
-    count = let(drawn, lambda x: F.size(F.filter(chances, lambda c: c <= x)))
+
+    def one(part: Column) -> Column:
+        """How many of the sums a number reaches: the count whose chance interval it lies in."""
+        number = hashed(DIGITS, seed, F.col(who), part) / F.lit(float(16**DIGITS))
+        return let(number, lambda x: F.size(F.filter(F.col(draw)["chances"], lambda c: c <= x)))
+
+    every_part = F.sequence(F.lit(1), F.col(draw)["parts"])
+    count = F.aggregate(every_part, F.lit(0), lambda n, part: n + one(part))
     copies = joined.withColumn(who, identity).withColumn(u, count).where(F.col(u) > 0)
-    exploded = copies.select(*own, who, F.explode(F.sequence(F.lit(1), F.col(u))).alias("copy"))
+    first = fresh(docs, "mix_first")
+    blocks = F.explode(F.sequence(F.lit(1), F.col(u), F.lit(BLOCK))).alias(first)
+    upto = F.least(F.col(first) + (BLOCK - 1), F.col(u))
+    numbers = F.explode(F.sequence(F.col(first), upto)).alias("copy")
+    exploded = copies.select(*own, who, u, blocks).select(*own, who, numbers)
     key = hashed(KEY_DIGITS, seed, F.col(who), F.col("copy")).alias("shuffle_key")
     laid_out = exploded.select(*own, "copy", key).repartitionByRange("shuffle_key")
     return laid_out.sortWithinPartitions("shuffle_key")
 
 
 def sql(seed: int = 11) -> str:
-    """SQL for ``mix(documents)`` with equal weights and one epoch."""
+    """SQL for ``mix(documents)`` with equal weights, one epoch and no mean over ``MAX_RATE``."""
     return f"""
 WITH sizes AS (
     SELECT source, count(*) AS n FROM documents GROUP BY source
@@ -132,7 +149,7 @@ WITH sizes AS (
         coalesce(text, ''))) AS who
     FROM documents
 ), drawn AS (
-    SELECT *, CAST('0x' || substr(md5('{seed}|' || who), 1, {DIGITS}) AS BIGINT) / {float(16**DIGITS)} AS u
+    SELECT *, CAST('0x' || substr(md5('{seed}|' || who || '|1'), 1, {DIGITS}) AS BIGINT) / {float(16**DIGITS)} AS u
     FROM named
 ), counted AS (
     SELECT d.*, (SELECT count(*) FROM chances c

@@ -39,6 +39,16 @@ def test_shares_follow_weights(spark):
     assert {r["copy"] for r in out if r["doc_id"] == max(each, key=each.get)} == set(range(1, max(each.values()) + 1))
 
 
+def test_large_means_are_drawn_in_parts(spark):
+    """A source of three rows fills half of a mix; counts go on over blocks of copies."""
+    rows = [(i, "t", "big") for i in range(30_000)] + [(50_000 + i, "t", "small") for i in range(3)]
+    out = mixing.mix(frame(spark, rows))
+    n = Counter(r["doc_id"] for r in out.where("source = 'small'").collect())
+    assert len(n) == 3 and all(4_600 < v < 5_400 for v in n.values())
+    copies = out.where("doc_id = 50000").select("copy").collect()
+    assert sorted(r["copy"] for r in copies) == list(range(1, n[50_000] + 1))
+
+
 def test_many_sources_are_joined_alike(spark, monkeypatch):
     rows = [(i, "t", f"s{i % 7}" if i % 9 else None) for i in range(500)]
     few = sorted(map(str, mixing.mix(frame(spark, rows)).collect()))
