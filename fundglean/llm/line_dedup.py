@@ -151,12 +151,13 @@ def doubled(rows: DataFrame, step: int) -> DataFrame:
     """
     need = F.exists(F.transform("last", lambda e, i: e - i), lambda n: n >= 2 * step)
     kept = rows.where(need)
-    pairs = kept.select(
-        "key",
-        F.element_at("at", 1).alias("first"),
-        F.posexplode("ranks").alias("i", "head"),
-        F.col("ranks"),
-    ).select("key", "first", "i", "head", F.get("ranks", F.col("i") + step).alias("tail"))
+    both = F.transform(
+        "ranks", lambda head, i: F.struct(head.alias("head"), F.get("ranks", i + step).alias("tail"))
+    )
+    first = F.element_at("at", 1).alias("first")
+    pairs = kept.select("key", first, F.posexplode(both).alias("i", "p")).select(
+        "key", "first", "i", "p.head", "p.tail"
+    )
     pairs = pairs.where("head IS NOT NULL AND tail IS NOT NULL")
     found = pairs.join(ranked(pairs, "head", "tail"), ["head", "tail"])
     # Starts without enough lines are the last ones, so the ranks found fill the front.
@@ -232,7 +233,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Column ``n_deleted`` (replaced if there) counts the deleted lines.
     """
-    key, gone, lines = (fresh(docs, x) for x in ("dedup_key", "dedup_gone", "dedup_lines"))
+    key, gone = fresh(docs, "dedup_key"), fresh(docs, "dedup_gone")
     cuts = merged(later_copies(docs.select("doc_id", "text"), min_words))
     cuts = cuts.select(F.col("key").alias(key), F.col("gone").alias(gone))
     joined = docs.withColumn(key, row_key("doc_id", "text")).join(cuts.hint("shuffle_hash"), key, "left")
