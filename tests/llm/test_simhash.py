@@ -81,6 +81,26 @@ def test_every_pair_within_three_bits_meets():
         assert keys
 
 
+def test_dense_buckets_give_a_forest(monkeypatch):
+    """Thousands of near fingerprints of one bucket: fewer links than members, same groups."""
+    rng = random.Random(2)
+    base = rng.getrandbits(64)
+    low = sorted({sum(1 << b for b in rng.sample(range(16), rng.randint(0, 8))) for _ in range(300)})
+    members = np.array([simhash.signed(base ^ x) for x in low])
+    wanted = len(set(plain_components(low)))
+    for block in (1, 1000, 1 << 18):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        group = list(range(len(low)))
+        for start in range(8):
+            links = simhash.forest(members, start, 3)
+            assert len(links) < len(members)
+            for i, j in links:
+                assert bin(low[i] ^ low[j]).count("1") <= 3
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+        assert len(set(group)) == wanted
+
+
 def test_too_many_bits(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.range(1).withColumnRenamed("id", "fingerprint"), 4)
