@@ -10,9 +10,11 @@ no run that matters is that long. Suffixes that share a prefix form an interval
 suffix array; the interval cut at ``min_words`` words, the first n lines of each of its
 suffixes, is told from others by the ranks of the first and the last 2**j of those n
 lines. In each such interval the run that comes first (by document id, then text hash,
-then line) stays, and the lines of all others are deleted. Runs that overlap join, so
-whole maximal repeated runs go. A run needs at most ``min_words`` lines, hence
-log2(min_words) doublings are enough for any input.
+then line) stays, and the lines of all others are deleted. For each line the shortest
+run that starts there is taken, and the shortest that ends there. Every line of a
+maximal repeated run is in one of those inside it, and runs that overlap join, so
+whole maximal repeated runs go and nothing else. A run needs at most ``min_words``
+lines, or two, hence log2(min_words) doublings are enough for any input.
 
 Edge cases: a null text stays null; a text without repeated runs stays as it is; copies
 of a row (same id and text) count as one document and are treated alike; documents
@@ -78,6 +80,10 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
 
     ``at`` (line number), ``last`` for each start the index (from 1) of the last line
     of the shortest run with ``min_words`` words, 0 if there is none, and ``ranks``.
+    ``more`` has, for each line at which none of those ends, the shortest run with
+    ``min_words`` words that ends there, from ``low`` (from 0) to ``e`` (from 1). If one
+    of those ends at a line, the shortest that ends there is among them. It also has
+    neighbours that are long enough each, so that lines without words between them go.
     """
     w = Window.partitionBy("key").orderBy("place")
     once = lines.withColumn("before", F.lag("place").over(w)).where(
@@ -123,24 +129,53 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
             F.element_at("total", -1) - F.get("total", i) >= min_words, halve(i)
         ).otherwise(0),
     )
-    return summed.withColumn("last", last).drop("total")
+
+    def back(e: Column) -> Column:
+        """The last start from which the words up to line ``e`` are enough."""
+
+        def step(s: Column, _: Column) -> Column:
+            middle = F.ceil((s["low"] + s["high"]) / 2).cast("int")
+            enough = F.get("total", e) - F.get("total", middle) >= min_words
+            done = s["low"] >= s["high"]
+            return F.struct(
+                F.when(~done & enough, middle).otherwise(s["low"]).alias("low"),
+                F.when(done | enough, s["high"]).otherwise(middle - 1).alias("high"),
+            )
+
+        start = F.struct(F.lit(0).alias("low"), (e - 1).alias("high"))
+        return F.aggregate(steps, start, step, lambda s: s["low"])
+
+    ends = F.filter(
+        F.array_except(F.sequence(F.lit(1), size), "last"),
+        lambda e: F.get("total", e) - F.element_at("total", 1) >= min_words,
+    )
+    two = F.transform(
+        "last", lambda e, i: F.when((e - i == 1) & (F.get("last", i + 1) - i == 2), i)
+    )
+    more = F.concat(
+        F.transform(ends, lambda e: F.struct(back(e).alias("low"), e.alias("e"))),
+        F.transform(F.array_compact(two), lambda i: F.struct(i.alias("low"), (i + 2).alias("e"))),
+    )
+    return summed.withColumn("last", last).withColumn("more", more).drop("total")
 
 
 def runs(rows: DataFrame, step: int) -> DataFrame:
     """Runs of ``step`` up to ``2 * step - 1`` lines, with the ranks that tell them apart."""
-    pick = F.filter(
-        F.transform(
-            "last",
-            lambda e, i: F.struct(
-                F.get("at", i).alias("start"),
-                F.get("at", e - 1).alias("end"),
-                (e - i).alias("n"),
-                F.get("ranks", i).alias("head"),
-                F.get("ranks", e - F.lit(step)).alias("tail"),
-            ),
-        ),
-        lambda r: (r["n"] >= step) & (r["n"] < 2 * step),
+
+    def run(i: Column, e: Column) -> Column:
+        return F.struct(
+            F.get("at", i).alias("start"),
+            F.get("at", e - 1).alias("end"),
+            (e - i).alias("n"),
+            F.get("ranks", i).alias("head"),
+            F.get("ranks", e - F.lit(step)).alias("tail"),
+        )
+
+    both = F.concat(
+        F.transform("last", lambda e, i: run(i, e)),
+        F.transform("more", lambda m: run(m["low"], m["e"])),
     )
+    pick = F.filter(both, lambda r: (r["n"] >= step) & (r["n"] < 2 * step))
     return rows.select("doc_id", "key", F.explode(pick).alias("r")).select("doc_id", "key", "r.*")
 
 
@@ -150,7 +185,7 @@ def doubled(rows: DataFrame, step: int) -> DataFrame:
     Starts with fewer lines left get no rank; no run that matters starts there.
     """
     need = F.exists(F.transform("last", lambda e, i: e - i), lambda n: n >= 2 * step)
-    kept = rows.where(need)
+    kept = rows.where(need | F.exists("more", lambda m: m["e"] - m["low"] >= 2 * step))
     both = F.transform(
         "ranks", lambda head, i: F.struct(head.alias("head"), F.get("ranks", i + step).alias("tail"))
     )
@@ -165,7 +200,7 @@ def doubled(rows: DataFrame, step: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("i", "rank"))).alias("found")
     )
     joined = kept.withColumn("first", F.element_at("at", 1)).join(lists, ["key", "first"])
-    return joined.select("doc_id", "key", "at", F.col("found.rank").alias("ranks"), "last")
+    return joined.select("doc_id", "key", "at", F.col("found.rank").alias("ranks"), "last", "more")
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -176,13 +211,14 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = checkpoint(stretches(repeated_lines(docs), min_words))
     found = None
     step = 1
-    while step <= min_words:
+    longest = max(min_words, 2)
+    while step <= longest:
         here = runs(rows, step)
         same = ["n", "head", "tail"]
         here = here.select("doc_id", "key", "start", "end", F.lit(step).alias("step"), *same)
         found = here if found is None else found.unionAll(here)
         step *= 2
-        if step <= min_words:
+        if step <= longest:
             rows = checkpoint(doubled(rows, step // 2))
             if rows.isEmpty():
                 break
