@@ -6,7 +6,10 @@ positions. Any 13 words of which at most two are substituted agree under one of
 the masks somewhere, so no such overlap is missed. Hash hits are joined, and around
 each hit the words of both sides are compared without gaps: 13 neighbouring words
 with at least 0.8 of them equal make the document contaminated. Items of 8 to 12
-words must occur whole and unchanged; shorter ones prove nothing and are left out.
+words must occur whole, with at least 0.8 of their words equal; their masks leave out
+every choice of so many words, by blocks, so no such overlap is missed either. Shorter
+ones prove nothing and are left out: ``item_status`` names them, and a warning says how
+many there are.
 
 A filter of fixed size (2**24 bits) over the benchmark's hashes keeps hits out of
 the shuffle that cannot join; a large benchmark fills it and only lets more pass.
@@ -19,6 +22,8 @@ and ``text`` are read.
 
 from __future__ import annotations
 
+import itertools
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +41,8 @@ LEAD = WINDOW - SPAN  # how far before a hit a window may begin
 CONTEXT = LEAD + WINDOW
 FILTER_BITS = 24
 FACTORS = np.array([2 * i + 1 for i in range(WINDOW)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: Blocks of a short item, one or two of which its masks leave out: as many as may differ.
+BLOCKS = 4
 PUNCTUATION = b".,;:!?\"'()[]{}*_-"
 
 
@@ -43,10 +50,34 @@ def codes_of(raw: bytes | None) -> np.ndarray:
     return word_codes([w.strip(PUNCTUATION) for w in words_of(raw)])
 
 
+def enough(size: int) -> int:
+    """How many of an item's neighbouring words must be equal: 0.8, rounded up."""
+    return -(-4 * min(size, WINDOW) // 5)
+
+
+def short_masks(size: int) -> list[list[int]]:
+    """Word offsets that each mask of an item of 8 to 12 words looks at.
+
+    Each leaves out as many blocks of neighbouring words as words may differ, so that
+    wherever these are, one mask does not look at them.
+    """
+    blocks = np.array_split(np.arange(size), BLOCKS)
+    left_out = itertools.combinations(range(BLOCKS), size - enough(size))
+    return [[int(i) for b in range(BLOCKS) if b not in out for i in blocks[b]] for out in left_out]
+
+
+def short_kinds(size: int) -> list[int]:
+    """Kinds of the masks of a short item: its size and the mask's number."""
+    return [size * 16 + i for i in range(len(short_masks(size)))]
+
+
 def seed_hashes(codes: np.ndarray, kind: int) -> np.ndarray:
-    """Hashes at every position: kinds 0 and 1 are masks, 8 to 12 whole runs of so many words."""
-    offsets = [i for i, c in enumerate(MASKS[kind]) if c == "1"] if kind < 2 else list(range(kind))
-    n = len(codes) - (SPAN if kind < 2 else kind) + 1
+    """Hashes at every position: kinds 0 and 1 are masks of windows, others of short items."""
+    if kind < 2:
+        offsets = [i for i, c in enumerate(MASKS[kind]) if c == "1"]
+    else:
+        offsets = short_masks(kind // 16)[kind % 16]
+    n = len(codes) - (SPAN if kind < 2 else kind // 16) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     total = np.full(n, kind + 1, np.uint64)
@@ -94,7 +125,7 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
                 codes = codes_of(raw)
                 if len(codes) < SPAN:
                     continue
-                for kind in (0, 1) if len(codes) >= WINDOW else (len(codes),):
+                for kind in (0, 1) if len(codes) >= WINDOW else short_kinds(len(codes)):
                     hashes = seed_hashes(codes, kind)
                     at = np.arange(len(hashes))
                     for x, v in zip(
@@ -109,6 +140,22 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     return rows.mapInArrow(seeds, HIT_SCHEMA)
 
 
+def item_status(benchmark: DataFrame) -> DataFrame:
+    """``item_id``, ``n_words`` and ``status``: ``windows``, ``whole`` or ``too short`` to look for."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [len(words_of(raw)) for raw in column(batch, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int32())], ["item_id", "n_words"]
+            )
+
+    rows = benchmark.select(F.col("item_id").cast("long"), "text")
+    n = F.col("n_words")
+    status = F.when(n < SPAN, "too short").when(n < WINDOW, "whole").otherwise("windows")
+    return rows.mapInArrow(counted, "item_id long, n_words int").withColumn("status", status)
+
+
 def filter_of(seeds: DataFrame) -> tuple[np.ndarray, list[int]]:
     """The bit filter over the seeds' hashes (2 MB), and the kinds that occur."""
     bit = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
@@ -154,6 +201,9 @@ def document_hits(docs: DataFrame, words: np.ndarray, kinds: list[int]) -> DataF
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Verified hits: ``row_key`` of the document, ``item_id``, positions, equal words."""
     seeds = item_seeds(benchmark)
+    short = item_status(benchmark).where("status = 'too short'").count()
+    if short:
+        warnings.warn(f"{short} benchmark items have fewer than {SPAN} words and are not looked for")
     words, kinds = filter_of(seeds)
     d = document_hits(docs, words, kinds)
     b = seeds.select(
@@ -164,11 +214,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     joined = d.join(b, ["kind", "hash"]).withColumn("same", same)
     count = "aggregate(slice(same, {first}, {n}), 0, (a, x) -> a + x)"
     best = F.greatest(*[F.expr(count.format(first=i + 1, n=WINDOW)) for i in range(LEAD + 1)])
-    whole = F.expr(count.format(first=LEAD + 1, n="kind"))
+    size = F.shiftright("kind", 4)
+    whole = F.expr(count.format(first=LEAD + 1, n="shiftright(kind, 4)"))
     equal = F.when(F.col("kind") < 2, best).otherwise(whole)
+    needed = F.when(F.col("kind") < 2, ENOUGH).otherwise(F.ceil(4 * size / 5))
     return (
         joined.withColumn("equal", equal)
-        .where(F.col("equal") >= F.when(F.col("kind") < 2, ENOUGH).otherwise(F.col("kind")))
+        .where(F.col("equal") >= needed)
         .select("row_key", "item_id", "at", "item_at", "equal")
     )
 
