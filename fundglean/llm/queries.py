@@ -14,6 +14,7 @@ from fundglean.llm import (
     language_id,
     line_dedup,
     lm_scoring,
+    merkle_manifest,
     mixing,
     personal_data,
     quality_rules,
@@ -101,3 +102,13 @@ ORACLES["op5_line_dedup"] = line_dedup.sql()
 @query
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.personal_data(table(spark, folder, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tree = merkle_manifest.manifest(docs, merkle_manifest.without_newlines())
+    return merkle_manifest.proofs(tree)
+
+
+ORACLES["op13_merkle_manifest"] = merkle_manifest.sql()
