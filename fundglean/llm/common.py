@@ -17,13 +17,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder that the cluster names, and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it.
 
     A session without that setting, as in tests, gets a folder of its own if it is
     a local one; on a cluster a missing setting is an error.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get(CHECKPOINT_CONF)
         if folder is None:
@@ -31,6 +31,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise ValueError(f"set {CHECKPOINT_CONF} to a shared folder")
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder, and read it from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

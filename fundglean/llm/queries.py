@@ -19,6 +19,7 @@ from fundglean.llm import (
     personal_data,
     quality_rules,
     simhash,
+    token_files,
 )
 from fundglean.llm.common import table
 
@@ -112,3 +113,9 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op13_merkle_manifest"] = merkle_manifest.sql()
+
+
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_files.round_trip(table(spark, folder, "documents"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
