@@ -37,9 +37,9 @@ from fundglean.llm.tokenizing import Encoder, bpe_words, public_path, slices
 VOCABULARY = "word_bpe_49k.json"
 IDS = 49_408  # of that vocabulary; symbols from here on are rules
 END = 1  # fixed value: ends each document
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 MIN_COUNT = 6  # fewer occurrences cost more than their rule saves
-ROUND_GAIN = 0.004  # a round that shortens a shard by less is the last one
+ROUND_GAIN = 0.02  # a round that shortens a shard by less is the last one
 ROWS_SENT = 1_000_000  # shards whose places (24 bytes each) may be broadcast
 
 
@@ -78,6 +78,15 @@ def chosen(keys: np.ndarray, shift: int, most: int) -> tuple[np.ndarray, np.ndar
     return np.array(two, keys.dtype), np.array(same, keys.dtype)
 
 
+def numbered(places: np.ndarray, keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places whose keys are among ``pairs``, and which of them each is."""
+    order = np.argsort(pairs)
+    ordered, found = pairs[order], keys[places]
+    near = np.minimum(np.searchsorted(ordered, found), len(ordered) - 1)
+    hit = ordered[near] == found
+    return places[hit], order[near[hit]]
+
+
 def compressed(ids: np.ndarray, doc_tokens: np.ndarray, first_rule: int = IDS) -> Grammar:
     """The grammar of the ids of neighbouring documents; every document has an id at least."""
     narrow = symbol_type(first_rule)
@@ -87,6 +96,7 @@ def compressed(ids: np.ndarray, doc_tokens: np.ndarray, first_rule: int = IDS) -
     last = np.zeros(len(ids), bool)
     last[np.cumsum(doc_tokens) - 1] = True
     rules, next_rule = [], first_rule
+    lengths = np.ones(first_rule, np.int64)
     while room > 0 and len(symbols) > 1:
         keys = (symbols[:-1] << key_type(shift)) | symbols[1:]
         inside = ~last[:-1]
@@ -94,31 +104,30 @@ def compressed(ids: np.ndarray, doc_tokens: np.ndarray, first_rule: int = IDS) -
         two, same = two[:room], same[: room - len(two[:room])]
         at, said = [], []
         if len(two):
-            order = np.argsort(two)
-            left = np.zeros(next_rule, bool)
-            right = np.zeros(next_rule, bool)
+            left, right = np.zeros(next_rule, bool), np.zeros(next_rule, bool)
             left[two >> key_type(shift)] = True
             right[two & key_type((1 << shift) - 1)] = True
             places = np.flatnonzero(left[symbols[:-1]] & right[symbols[1:]] & inside)
-            found = keys[places]
-            near = np.minimum(np.searchsorted(two[order], found), len(two) - 1)
-            hit = two[order][near] == found
-            at.append(places[hit])
-            said.append(order[near[hit]] + next_rule)
+            places, number = numbered(places, keys, two)
+            at.append(places)
+            said.append(number + next_rule)
         if len(same):
             equal = (symbols[:-1] == symbols[1:]) & inside
-            here = np.arange(len(equal))
-            begins = np.concatenate(([True], ~equal[:-1]))
-            run = here - np.maximum.accumulate(np.where(begins, here, 0))
-            order = np.argsort(same)
-            places = np.flatnonzero(equal & (run % 2 == 0) & np.isin(keys, same))
+            places = np.flatnonzero(equal)
+            # every other place of a run of equals
+            begins = np.flatnonzero(np.diff(places, prepend=-2) != 1)
+            place = np.arange(len(places))
+            run = place - np.repeat(begins, np.diff(np.append(begins, len(places))))
+            places, number = numbered(places[run % 2 == 0], keys, same)
             at.append(places)
-            said.append(order[np.searchsorted(same[order], keys[places])] + next_rule + len(two))
+            said.append(number + next_rule + len(two))
         taken = sum(map(len, at))
         if taken == 0:
             break
         pairs = np.concatenate((two, same))
-        rules.append(np.stack((pairs >> key_type(shift), pairs & key_type((1 << shift) - 1)), axis=1))
+        halves = np.stack((pairs >> key_type(shift), pairs & key_type((1 << shift) - 1)), axis=1)
+        rules.append(halves)
+        lengths = np.concatenate((lengths, lengths[halves].sum(axis=1)))
         next_rule, room = next_rule + len(pairs), room - len(pairs)
         places = np.concatenate(at)
         symbols[places] = np.concatenate(said).astype(key_type)
@@ -132,17 +141,10 @@ def compressed(ids: np.ndarray, doc_tokens: np.ndarray, first_rule: int = IDS) -
     made = np.concatenate(rules).astype("<u4") if rules else np.zeros((0, 2), "<u4")
     ends = np.flatnonzero(last)
     return Grammar(
-        symbols.astype(narrow), made, expansion_lengths(made, first_rule), np.diff(ends, prepend=-1)
+        symbols.astype(narrow), made, lengths[first_rule:].astype("<u4"), np.diff(ends, prepend=-1)
     )
 
 
-def expansion_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
-    lengths: list[int] = []
-    for left, right in rules.tolist():
-        lengths.append(sum(1 if s < first_rule else lengths[s - first_rule] for s in (left, right)))
-    return np.array(lengths, "<u4")
-
-
 class Decoder:
     """Ids of any symbols of a shard."""
 
@@ -202,17 +204,17 @@ def write(
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load(path)
-        part, number, held, doc_ids, size = None, 0, [], [], 0
+        part, number, held, doc_ids, sizes, size = None, 0, [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            doc_tokens = np.array([len(x) for x in held], np.int64)
+            doc_tokens = np.concatenate(sizes)
             grammar = compressed(np.concatenate(held), doc_tokens, first_rule)
             row = {
                 "part": part,
                 "shard": number,
                 "n_tokens": int(doc_tokens.sum()),
                 "first_rule": first_rule,
-                "doc_ids": doc_ids,
+                "doc_ids": [i for some in doc_ids for i in some.to_pylist()],
                 "doc_tokens": doc_tokens,
                 "doc_symbols": grammar.doc_symbols,
                 "rules": grammar.rules.tobytes(),
@@ -232,16 +234,25 @@ def write(
                 continue
             type_of["doc_ids"] = pa.list_(batch.column(0).type)
             part = batch.column(2)[0].as_py()
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = [t or "" for t in texts]
-            for some in slices([len(t) for t in texts]):
-                for doc_id, found in zip(ids[some], encode(texts[some]), strict=True):
-                    held.append(np.append(found, np.int32(end)))
-                    doc_ids.append(doc_id)
-                    size += len(found) + 1
+            for some in slices(batch.column(1)):
+                ids, texts = (batch.column(c)[some.start : some.stop] for c in (0, 1))
+                found = encode(texts)
+                upto = np.asarray(found.offsets).astype(np.int64)
+                # the end id after each document
+                tokens = np.insert(np.asarray(found.values), upto[1:], end)
+                upto += np.arange(len(upto))
+                first = 0
+                while first < len(ids):
+                    reached = np.searchsorted(upto, upto[first] + shard_tokens - size)
+                    last = min(max(int(reached), first + 1), len(ids))
+                    held.append(tokens[upto[first] : upto[last]])
+                    doc_ids.append(ids[first:last])
+                    sizes.append(np.diff(upto[first : last + 1]))
+                    size += int(upto[last] - upto[first])
+                    first = last
                     if size >= shard_tokens:
                         yield out()
-                        number, held, doc_ids, size = number + 1, [], [], 0
+                        number, held, doc_ids, sizes, size = number + 1, [], [], [], 0
         if held:
             yield out()
 

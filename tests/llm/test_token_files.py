@@ -3,13 +3,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fundglean.llm import token_files as tf
 from fundglean.llm.queries import QUERIES
-from fundglean.llm.tokenizing import Encoder, blank_separated, bpe_words, public_path
+from fundglean.llm.tokenizing import Encoder, bpe_words, public_path
 
 SCHEMA = "doc_id long, text string, part int, tie string, ids string"
 ODD = [
@@ -24,6 +25,10 @@ def library_ids(texts):
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [tf.END] for t in texts]
 
 
+def lists(encode, texts):
+    return encode(pa.array(texts, pa.string())).to_pylist()
+
+
 def rows_of(docs, spark, folder, **options):
     df = spark.createDataFrame([(*d, 0, "x", None) for d in docs], SCHEMA).repartition(3)
     tf.write(df, folder, **options)
@@ -32,16 +37,20 @@ def rows_of(docs, spark, folder, **options):
 
 def test_ids_of_pieces_are_those_of_whole_texts():
     encode = bpe_words(public_path(tf.VOCABULARY))
-    texts = [*ODD, *[" ".join(random.Random(i).sample(ODD, 6)) for i in range(30)]]
-    assert [[*x.tolist(), tf.END] for x in encode(texts)] == library_ids(texts)
+    odd_words = ["İstanbul", "T̈ a", "İ", "Word.", "word,", "word..", "É.", "a's.", "ﬁ.", "Straße!", "Ǆ", "x." * 3, "<|", "<|END."]
+    texts = [*odd_words, " ".join(odd_words), " ".join(f"w{i}ord Word{'abc'[i % 3] * i}." for i in range(40))]
+    texts += [*ODD, *[" ".join(random.Random(i).sample(ODD, 6)) for i in range(30)]]
+    assert [[*x, tf.END] for x in lists(encode, texts)] == library_ids(texts)
 
 
 def test_memory_is_bounded():
+    rules = bpe_words(public_path(tf.VOCABULARY))._rules
     asked = []
-    encoder = Encoder(lambda new: asked.extend(new) or [[len(p)] for p in new], blank_separated, held_bytes=1000)
+    encoder = Encoder(rules._replace(encode=lambda new: asked.extend(new) or rules.encode(new)), held_bytes=300)
     for i in range(50):
-        assert encoder([f"a{i} bb a{i}"])[0].tolist() == [len(f"a{i}"), 2, len(f"a{i}")]
-    assert 2 <= asked.count("bb") < 50
+        text = f"a{'x' * i} bb, a{'x' * i}"
+        assert lists(encoder, [text]) == [x[:-1] for x in library_ids([text])]
+    assert 2 <= sum("bb" in x for x in asked) < 50
 
 
 @pytest.mark.parametrize("seed", range(12))
