@@ -19,6 +19,7 @@ from fundglean.llm import (
     personal_data,
     quality_rules,
     simhash,
+    token_alignment,
     token_files,
 )
 from fundglean.llm.common import table
@@ -105,6 +106,11 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.personal_data(table(spark, folder, "documents"))
 
 
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, folder, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
