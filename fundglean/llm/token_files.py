@@ -39,7 +39,7 @@ IDS = 49_408  # of that vocabulary; symbols from here on are rules
 END = 1  # fixed value: ends each document
 SHARD_TOKENS = 1 << 21
 MIN_COUNT = 6  # fewer occurrences cost more than their rule saves
-ROUND_GAIN = 0.02  # a round that shortens a shard by less is the last one
+ROUND_GAIN = 0.03  # a round that shortens a shard by less is the last one
 ROWS_SENT = 1_000_000  # shards whose places (24 bytes each) may be broadcast
 
 

@@ -20,13 +20,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-HELD_BYTES = 48_000_000  # of the pieces in memory and their ids
+HELD_BYTES = 64_000_000  # of the pieces in memory and their ids
 WORDS_JOINED = 1000  # pieces given to the library as one text
 SLICE_BYTES = 8_000_000  # of the texts encoded at a time
 
 #: White space, a superset of what any of the tokenizers takes for it.
 _WHITE = r"\s\v\x{1c}-\x{1f}\x{85}\p{Z}"
 _ODD = f"[{_WHITE}] | [{_WHITE}]|^[{_WHITE}]|[{_WHITE}]$"
+#: ASCII marks apart from apostrophes, and from what special tokens are written with.
+_MARKS = r"[!-&(-/:;=?@\[-`{}~]"
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -66,10 +68,10 @@ def by_single_spaces(texts: pa.Array) -> pa.Array:
 def by_blanks(texts: pa.Array) -> pa.Array:
     """Pieces between blanks, tabs and line ends, for tokenizers that drop white space.
 
-    A mark that stands between a letter and white space is a piece of its own, as it is a
-    word of its own.
+    Marks that stand between a letter and white space are a piece of their own, as they are
+    a word of their own.
     """
-    parted = pc.replace_substring_regex(texts, r"(\pL)([.,;:!?])([ \n\t\r]|$)", r"\1 \2\3")
+    parted = pc.replace_substring_regex(texts, rf"(\pL)({_MARKS}+)([ \n\t\r]|$)", r"\1 \2\3")
     return pc.split_pattern(pc.replace_substring_regex(parted, r"[\n\t\r]", " "), " ")
 
 

@@ -37,7 +37,7 @@ def rows_of(docs, spark, folder, **options):
 
 def test_ids_of_pieces_are_those_of_whole_texts():
     encode = bpe_words(public_path(tf.VOCABULARY))
-    odd_words = ["İstanbul", "T̈ a", "İ", "Word.", "word,", "word..", "É.", "a's.", "ﬁ.", "Straße!", "Ǆ", "x." * 3, "<|", "<|END."]
+    odd_words = ["İstanbul", "T̈ a", "İ", "Word.", "word,", "word..", "É.", "a's.", "ﬁ.", "Straße!", "Ǆ", "x." * 3, "<|", "<|END.", "Raci***", "then,###", "a<|endoftext|>", "é!’", "a'!", "ñ. e.́ x"]
     texts = [*odd_words, " ".join(odd_words), " ".join(f"w{i}ord Word{'abc'[i % 3] * i}." for i in range(40))]
     texts += [*ODD, *[" ".join(random.Random(i).sample(ODD, 6)) for i in range(30)]]
     assert [[*x, tf.END] for x in lists(encode, texts)] == library_ids(texts)
