@@ -289,40 +289,47 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def sql(min_words: int = MIN_WORDS) -> str:
-    """SQL for ``dedup_lines(documents)``, comparing the runs' texts themselves."""
+    """SQL for ``dedup_lines(documents)``, comparing all pairs of equal lines.
+
+    Pairs of equal lines of two documents (or of one) with the same distance between their
+    places lie on one diagonal; neighbours on it are a maximal common run, which goes from
+    the later side if it has ``min_words`` words.
+    """
     return f"""
-WITH split AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
+WITH rows AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS doc
+    FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)
+), split AS (
+    SELECT doc, unnest(string_split(text, chr(10))) AS l,
         unnest(range(0, len(string_split(text, chr(10))))) AS line
-    FROM documents
+    FROM rows
 ), counted AS (
     SELECT *, len(regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+')) AS words FROM split
 ), placed AS (
-    SELECT *, row_number() OVER w AS place, sum(words) OVER w AS upto
-    FROM counted WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY line)
-), spans AS (
-    SELECT a.doc_id, a.line AS start_line, a.place AS p, min(b.place) AS q
-    FROM placed a JOIN placed b ON a.doc_id = b.doc_id
-        AND b.place BETWEEN a.place AND a.place + {min_words - 1}
-        AND b.upto - a.upto + a.words >= {min_words}
-    GROUP BY ALL
+    SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line) AS place
+    FROM counted WHERE words > 0
+), often AS (
+    SELECT * FROM placed WHERE l IN (SELECT l FROM placed GROUP BY l HAVING count(*) > 1)
+), pairs AS (
+    SELECT a.doc, a.line, a.words, a.place, b.doc AS other, a.place - b.place AS apart,
+        a.place - row_number() OVER (
+            PARTITION BY a.doc, b.doc, a.place - b.place ORDER BY a.place) AS island
+    FROM often a JOIN often b ON a.l = b.l AND (b.doc < a.doc OR b.doc = a.doc AND b.place < a.place)
 ), runs AS (
-    SELECT s.doc_id, s.start_line, max(b.line) AS end_line,
-        string_agg(b.l, chr(10) ORDER BY b.place) AS run
-    FROM spans s JOIN placed b ON s.doc_id = b.doc_id AND b.place BETWEEN s.p AND s.q
-    GROUP BY s.doc_id, s.start_line
-), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, start_line) AS r FROM runs
+    SELECT doc, min(line) AS first, max(line) AS last
+    FROM pairs GROUP BY doc, other, apart, island HAVING sum(words) >= {min_words}
 ), gone AS (
-    SELECT DISTINCT s.doc_id, s.line FROM split s JOIN ranked k ON s.doc_id = k.doc_id
-        AND k.r > 1 AND s.line BETWEEN k.start_line AND k.end_line
+    SELECT DISTINCT s.doc, s.line FROM split s
+    JOIN (SELECT DISTINCT * FROM runs) r ON s.doc = r.doc AND s.line BETWEEN r.first AND r.last
 ), kept AS (
-    SELECT doc_id, string_agg(l, chr(10) ORDER BY line) AS text
-    FROM split ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id
+    SELECT doc, string_agg(l, chr(10) ORDER BY line) AS text
+    FROM split ANTI JOIN gone USING (doc, line) GROUP BY doc
 ), deleted AS (
-    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+    SELECT doc, count(*) AS n FROM gone GROUP BY doc
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
     d.lang, d.source, d.n_chars, coalesce(g.n, 0) AS n_deleted
-FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN deleted g USING (doc_id)
+FROM documents d
+    LEFT JOIN rows r ON r.doc_id IS NOT DISTINCT FROM d.doc_id AND r.text = d.text
+    LEFT JOIN kept k USING (doc) LEFT JOIN deleted g USING (doc)
 """

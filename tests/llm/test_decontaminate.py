@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import pytest
@@ -21,7 +22,7 @@ def plain(text, items):
         size = min(13, len(b))
         if size < 8:
             continue
-        need = 11 if size == 13 else size
+        need = math.ceil(0.8 * size)
         for i, j in itertools.product(range(len(codes) - size + 1), range(len(b) - size + 1)):
             if sum(x == y for x, y in zip(codes[i : i + size], b[j : j + size], strict=True)) >= need:
                 found.add(item)

@@ -9,22 +9,27 @@ SCHEMA = "doc_id long, text string, n_deleted string, dedup_key string"
 
 
 def plain(docs, min_words):
-    """What is left of each (id, text), by comparing the shortest runs that are long enough."""
+    """What is left of each (id, text), by extending every pair of equal lines as far as it goes.
+
+    Rows with the same id and text are one document.
+    """
     keys = sorted({d for d in docs if d[1] is not None}, key=lambda d: (d[0] is not None, d[0] or 0))
-    seen, gone = set(), {}
+    full = []
     for doc in keys:
         lines = doc[1].split("\n")
-        full = [k for k, x in enumerate(lines) if x.split()]
-        for a in range(len(full)):
-            n = 0
-            for b in range(a, len(full)):
-                n += len(lines[full[b]].split())
-                if n >= min_words:
-                    run = tuple(lines[k] for k in full[a : b + 1])
-                    if run in seen:
-                        gone.setdefault(doc, set()).update(range(full[a], full[b] + 1))
-                    seen.add(run)
-                    break
+        full.append((doc, [(k, x, len(x.split())) for k, x in enumerate(lines) if x.split()]))
+    gone = {}
+    for later, (doc, own) in enumerate(full):
+        for _, other in full[: later + 1]:
+            same = other is own
+            for i in range(len(own)):
+                for j in range(i if same else len(other)):
+                    n = words = 0
+                    while i + n < len(own) and j + n < len(other) and own[i + n][1] == other[j + n][1]:
+                        words += own[i + n][2]
+                        n += 1
+                    if n and words >= min_words:
+                        gone.setdefault(doc, set()).update(range(own[i][0], own[i + n - 1][0] + 1))
     return {
         d: None if d[1] is None else "\n".join(x for k, x in enumerate(d[1].split("\n")) if k not in gone.get(d, ()))
         for d in docs

@@ -3,33 +3,11 @@ import random
 import pytest
 
 from fundglean.llm import line_dedup
+from test_line_dedup import plain
 
 SCHEMA = "doc_id long, text string"
 
 
-def plain(docs, min_words):
-    """What is left of each document, by extending every pair of equal lines as far as it goes."""
-    full = []
-    for doc_id, text in sorted(docs):
-        lines = text.split("\n")
-        full.append((doc_id, [(k, x, len(x.split())) for k, x in enumerate(lines) if x.split()]))
-    gone = {}
-    for later, (doc_id, own) in enumerate(full):
-        for _, other in full[: later + 1]:
-            same = other is own
-            for i in range(len(own)):
-                for j in range(i if same else len(other)):
-                    n = words = 0
-                    while i + n < len(own) and j + n < len(other) and own[i + n][1] == other[j + n][1]:
-                        words += own[i + n][2]
-                        n += 1
-                    if n and words >= min_words:
-                        gone.setdefault(doc_id, set()).update(range(own[i][0], own[i + n - 1][0] + 1))
-    return {
-        d: "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone.get(d, ())) for d, text in docs
-    }
-
-
 @pytest.mark.parametrize("min_words", [1, 3, 5, 12])
 def test_maximal_runs_go_whole(spark, min_words):
     rng = random.Random(min_words)
@@ -40,7 +18,7 @@ def test_maximal_runs_go_whole(spark, min_words):
     ]
     docs.append((99, docs[5][1]))
     got = line_dedup.dedup_lines(spark.createDataFrame(docs, SCHEMA), min_words).collect()
-    assert {r["doc_id"]: r["text"] for r in got} == plain(docs, min_words)
+    assert {(r["doc_id"], r["text"]) for r in got} == {(d[0], left) for d, left in plain(docs, min_words).items()}
 
 
 def test_the_tail_of_a_run_goes_too(spark):
