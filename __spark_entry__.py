@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fundglean import schemas
 from fundglean.functions import paths, responses, text
 from fundglean.functions.chunking import chunk_text, text_pieces
 from fundglean.functions.html import html_to_text, remove_hidden_div
@@ -15,10 +18,12 @@ from fundglean.operators import batches, calls, filters, relevance, report, samp
 from fundglean.operators import search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, several_chunks
+from fundglean.operators.lineage import shared_folder
 from fundglean.operators.spreading import spread
 from fundglean.plans import jobs
 from fundglean.plans.bindings import SEARCH_TAG, Given, letter_counts
 from fundglean.sources import filings as filing_files
+from fundglean.sources import loads, tables
 from fundglean.sources.filings import filing_headers, keyed_headers_pages, manifest
 from fundglean.sources.fund_lists import columnar_rows
 from oracles import ORACLES
@@ -377,7 +382,9 @@ def chunk_pages(given: Given) -> DataFrame:
 def chunk_outcomes(given: Given) -> DataFrame:
     """What came of each order as a filing whose document, a page, has type A."""
     pages = given.table("pages").select(
-        F.col("page_id").cast("string").alias("path"), F.col("html").alias("content")
+        F.col("page_id").cast("string").alias("path"),
+        F.col("html").alias("content"),
+        F.length("html").alias("n_chars"),
     )
     kind = F.when(F.col("filename").cast("long") % 5 == 0, ".txt").otherwise(".htm")
     documents_ = filters.document_of_type(given.manifest(), "A", ["filing"]).select(
@@ -390,6 +397,58 @@ def chunk_outcomes(given: Given) -> DataFrame:
     return jobs.outcomes(documents_, pages, chunks, ["filing"])
 
 
+@query
+def pages_by_key(given: Given) -> DataFrame:
+    """Pages that are documents of orders, from a table laid out by filing.
+
+    Every page is written to a page table, as the document of a filing of its number.
+    """
+    number = F.col("page_id").cast("string")
+    path = F.concat(F.lit("edgar/data/"), number, F.lit("/1"), number, F.lit("/page.htm"))
+    pages = given.table("pages").select(path.alias("path"), F.col("html").alias("content"))
+    table = f"{shared_folder(given.spark)}/pages-{uuid.uuid4().hex}"
+    tables.append_rows(filing_files.laid_out(pages), schemas.PAGES, table)
+    named = filters.document_of_type(given.manifest(), "A", ["filing"]).where("status = 'ok'")
+    wanted = named.select(
+        F.col("filename").alias("cik"), F.concat(F.lit("1"), "filename").alias("accession_number")
+    ).distinct()
+    written = tables.read_table(given.spark, schemas.PAGES, table, layout=True)
+    found = filing_files.pages_of_filings(written, wanted, filing_files.DOCUMENT)
+    key = filing_files.filing_key(F.col("cik"), F.col("accession_number"))
+    return found.join(wanted.select(key.alias("filing")), "filing", "left_semi").select(
+        F.col("cik").cast("long").alias("page_id"), "n_chars", F.md5("content").alias("content")
+    )
+
+
+@query
+def committed_loads(given: Given) -> DataFrame:
+    """Rows by tag in each state of an index table loaded tag by tag, one load twice.
+
+    Another load fails after some of its rows are written.
+    """
+    index = given.index()
+    table = f"{shared_folder(given.spark)}/index-{uuid.uuid4().hex}"
+
+    def load(rows: DataFrame, name: str) -> None:
+        tables.append_rows(rows, schemas.MASTER_INDEX, table, load_id=name)
+
+    load(filters.with_tag(index, "O"), "O")
+    load(filters.with_tag(index, "F"), "F")
+    load(filters.with_tag(index, "O"), "O")
+    broken = F.when(F.xxhash64("accession_number") % 3 != 0, F.col("company_name"))
+    try:
+        load(filters.with_tag(index, "P").withColumn("company_name", broken), "P")
+    except PySparkException:  # a name is NULL; what has been written is not published
+        load(filters.with_tag(index, "P"), "P")
+    states = None
+    for version in loads.snapshots(given.spark, table):
+        rows = tables.read_table(given.spark, schemas.MASTER_INDEX, table, version=version)
+        counts = rows.groupBy(joined(F.col("tags")).alias("tag")).agg(F.count(F.lit(1)).alias("n"))
+        state = counts.select(F.lit(version).alias("version"), "tag", "n")
+        states = state if states is None else states.unionAll(state)
+    return states
+
+
 @query
 def html_paths(given: Given) -> DataFrame:
     """Addresses of pages, and names made of them, that are HTML files."""
@@ -420,10 +479,10 @@ def get_chunks_all(given: Given) -> DataFrame:
 
 @query
 def ordered_lookup(given: Given) -> DataFrame:
-    """All chunks of one filing, numbered in the order in which they come."""
-    rows = filters.chunks_of(given.chunks(), "7", "7")
-    gathered = rows.agg(F.collect_list(F.struct("chunk_num", "chunk_text")).alias("rows"))
-    return gathered.select(F.posexplode("rows").alias("place", "r")).select("place", "r.*")
+    """All chunks of every filing, numbered in order."""
+    in_order = Window.partitionBy(*KEYS).orderBy("chunk_num")
+    place = (F.row_number().over(in_order) - 1).alias("place")
+    return given.chunks().select(*KEYS, place, "chunk_num", "chunk_text")
 
 
 @query

@@ -73,16 +73,24 @@ def _table(spark: SparkSession, spec: schemas.TableSpec, path: str) -> DataFrame
 
 
 def load_index(
-    spark: SparkSession, archive: str, quarters: str, to: Tables, form_type: str = FORM_TYPE
+    spark: SparkSession,
+    archive: str,
+    quarters: str,
+    to: Tables,
+    form_type: str = FORM_TYPE,
+    load_id: str | None = None,
 ) -> dict[tuple[int, int], int]:
-    """Append the index rows of the chosen quarters; rows of each quarter that was read."""
+    """Append the index rows of the chosen quarters; rows of each quarter that was read.
+
+    A load with the id of an earlier one is not repeated.
+    """
     existing = index_files.existing_quarters(spark, archive)
     read, _ = index_files.wanted_quarters(existing, quarters)
     rows = index_files.read_master_index(spark, archive, quarters, form_type)
     groups = {
         f"{y}/{q}": (F.col("year") == y) & (F.col("quarter") == q) for y, q in read
     }
-    counts = tables.append_counted(rows, FULL_INDEX, to.full_index, groups)
+    counts = tables.append_counted(rows, FULL_INDEX, to.full_index, groups, load_id)
     return {(y, q): counts[f"{y}/{q}"] for y, q in read}
 
 
@@ -142,25 +150,24 @@ def chunk_pages(
 def ingest_pages(spark: SparkSession, archive: str, to: Tables, ciks: str = "*") -> bool:
     """Copy pages of the archive that are not there yet into the page table.
 
-    The table is laid out by kind of page and hash of the filing, so that later
-    jobs read the pages of their filings and never list the archive. ``ciks`` is a
-    path pattern.
+    Files are listed by path and held against the table's paths; only new ones are read. The
+    table is laid out by kind of page and filing, so that later jobs read the pages
+    of their filings and never list the archive. ``ciks`` is a path pattern.
     """
-    found = filing_files.read_pages(spark, f"{archive}/edgar/data/{ciks}/*/*.htm*")
+    listed = filing_files.list_pages(spark, f"{archive}/edgar/data/{ciks}/*/*.htm*")
     there = tables.read_table(spark, schemas.PAGES, to.pages)
-    if there is not None:
-        found = found.join(there.select("path"), "path", "left_anti")
-    return tables.append_rows(filing_files.laid_out(found), schemas.PAGES, to.pages)
+    done = False
+    for found in filing_files.unread_pages(listed, there):
+        done |= tables.append_rows(filing_files.laid_out(found), schemas.PAGES, to.pages)
+    return done
 
 
 def pages_of(spark: SparkSession, at: Tables, filings: DataFrame, kind: str) -> DataFrame:
-    """Pages of a kind in the buckets of the given filings; other files are not read."""
-    bucket = filing_files.page_bucket(F.col("cik"), F.col("accession_number"))
-    buckets = [r[0] for r in filings.select(bucket).distinct().collect()]
+    """Pages of a kind of the given filings."""
     pages = tables.read_table(spark, schemas.PAGES, at.pages, layout=True)
     if pages is None:
         raise ValueError(f"no table at {at.pages}")
-    return pages.where((F.col("kind") == kind) & F.col("bucket").isin(buckets))
+    return filing_files.pages_of_filings(pages, filings, kind)
 
 
 def outcomes(
@@ -170,9 +177,10 @@ def outcomes(
 
     ``documents`` has the keys, ``filename``, ``path`` and a status: ``ok``,
     ``missing`` or ``ambiguous``. An ok document may turn out ``not_html``,
-    ``no_content`` (no page at its path) or ``single`` (one chunk or none).
+    ``no_content`` (no page at its path) or ``single`` (one chunk or none). Of ``pages``
+    (``path``, ``n_chars``) no content is read.
     """
-    there = pages.where(F.col("content").isNotNull()).select("path", F.lit(True).alias("there"))
+    there = pages.where(F.col("n_chars").isNotNull()).select("path", F.lit(True).alias("there"))
     counts = chunks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     status = (
         F.when(F.col("status") != "ok", F.col("status"))
@@ -202,6 +210,19 @@ def chunk(
     A filing is settled once it has an outcome, whatever it is, unless that is one
     of ``retry``; its last outcome counts.
     """
+    with filing_files.pushing_keys(spark):
+        return _chunk(spark, at, tag, form_type, batch_limit, size, retry)
+
+
+def _chunk(
+    spark: SparkSession,
+    at: Tables,
+    tag: str,
+    form_type: str,
+    batch_limit: int,
+    size: int,
+    retry: Sequence[str],
+) -> bool:
     keys = list(FILING_KEYS)
     index = _table(spark, schemas.MASTER_INDEX, at.index)
     settled = tables.read_table(spark, schemas.OUTCOMES, at.outcomes)
@@ -232,7 +253,7 @@ def chunk(
     ).select(*keys, "path")
     if documents.count() <= BROADCAST_PATHS:
         readable = F.broadcast(readable)  # page contents then stay where they were read
-    pages = pages_of(spark, at, todo, filing_files.DOCUMENT).select("path", "content")
+    pages = pages_of(spark, at, todo, filing_files.DOCUMENT).select("path", "n_chars", "content")
     contents = filing_files.with_contents(readable, pages, "inner")
     done = tables.append_rows(chunk_pages(contents, size), schemas.TEXT_CHUNKS, at.text)
     written = tables.read_table(spark, schemas.TEXT_CHUNKS, at.text)

@@ -37,6 +37,8 @@ class TableSpec:
     vector: str | None = None
     #: Columns of the rows that the files are laid out by; without any, by load.
     partitions: tuple[str, ...] = ()
+    #: Options of the files, such as filters on keys.
+    write_options: dict[str, str] = field(default_factory=dict)
 
 
 MASTER_INDEX = TableSpec(
@@ -70,10 +72,18 @@ QUARTER = ("year", "quarter")
 PAGES = TableSpec(
     schema=T.StructType()
     .add("cik", T.StringType())
+    .add("filing", T.StringType())
     .add("path", T.StringType())
+    .add("n_chars", T.LongType())
     .add("content", T.StringType()),
-    required=("cik", "path"),
+    required=("cik", "filing", "path"),
     partitions=("kind", "bucket"),
+    # Pages are large, so few make a row group, and a filter on filings can leave many out.
+    write_options={
+        "parquet.bloom.filter.enabled#filing": "true",
+        "parquet.bloom.filter.expected.ndv#filing": "16",
+        "parquet.block.row.count.limit": "8",
+    },
 )
 
 OUTCOMES = TableSpec(

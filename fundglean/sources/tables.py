@@ -1,17 +1,15 @@
-"""Typed Parquet tables: checked appends, replacement by tag, JSON-lines export."""
+"""Typed Parquet tables: checked loads, replacement by tag, JSON-lines export."""
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fundglean.schemas import SEARCH_PHRASES, TableSpec
+from fundglean.sources import loads
 
 TAG_KEY = "tag_key"
-LOAD = "loaded"
 
 
 def _checked(column: Column, bad: Column, message: str) -> Column:
@@ -47,46 +45,60 @@ def conform(
 
 
 def append_rows(
-    df: DataFrame, spec: TableSpec, path: str, dimension: int | None = None
+    df: DataFrame,
+    spec: TableSpec,
+    path: str,
+    dimension: int | None = None,
+    load_id: str | None = None,
 ) -> bool:
-    """Append to the table, creating it if need be; False if there was no row."""
-    return _write(df, spec, path, dimension, "append", {})[ROWS] > 0
+    """Append a load to the table, creating it if need be; False if there was no row.
+
+    A load whose id was published before is not repeated.
+    """
+    return _load(df, spec, path, dimension, load_id)[ROWS] > 0
 
 
 def append_counted(
-    df: DataFrame, spec: TableSpec, path: str, groups: dict[str, Column]
+    df: DataFrame,
+    spec: TableSpec,
+    path: str,
+    groups: dict[str, Column],
+    load_id: str | None = None,
 ) -> dict[str, int]:
-    """As :func:`append_rows`; the rows of each group are counted by the write itself."""
-    counts = _write(df, spec, path, None, "append", groups)
-    return {name: counts[name] for name in groups}
+    """As :func:`append_rows`; the rows of each group are counted by the write itself.
+
+    A repeated load counts nothing.
+    """
+    counts = _load(df, spec, path, None, load_id, groups=groups)
+    return {name: counts.get(name, 0) for name in groups}
 
 
 ROWS = "rows"
 
 
-def _write(
+def _load(
     df: DataFrame,
     spec: TableSpec,
     path: str,
     dimension: int | None,
-    mode: str,
-    groups: dict[str, Column],
+    load_id: str | None = None,
+    replace: bool = False,
+    groups: dict[str, Column] | None = None,
 ) -> dict[str, int]:
-    """Rows are counted while they are written, not in a pass of their own.
+    """Rows are counted while they are written, not in a pass of their own."""
+    seen: dict[str, int] = {}
 
-    Files are laid out by the table's own columns or by load; a layout also means
-    that no rows leave no file.
-    """
-    seen = Observation()
-    layout = spec.partitions
-    rows = conform(df, spec, dimension, layout)
-    if not layout:
-        layout = (LOAD,)
-        rows = rows.withColumn(LOAD, F.lit(datetime.now(UTC).strftime("%Y%m%dT%H%M%S.%f")))
-    counts = [F.count_if(column).alias(name) for name, column in groups.items()]
-    rows = rows.observe(seen, F.count(F.lit(1)).alias(ROWS), *counts)
-    rows.write.mode(mode).partitionBy(*layout).parquet(path)
-    return seen.get
+    def write(folder: str) -> int:
+        counted = Observation()
+        counts = [F.count_if(column).alias(name) for name, column in (groups or {}).items()]
+        rows = conform(df, spec, dimension, spec.partitions)
+        rows = rows.observe(counted, F.count(F.lit(1)).alias(ROWS), *counts)
+        rows.write.options(**spec.write_options).partitionBy(*spec.partitions).parquet(folder)
+        seen.update(counted.get)
+        return seen[ROWS]
+
+    rows = loads.load(df.sparkSession, path, write, load_id, replace)
+    return {**seen, ROWS: rows}
 
 
 def replace_rows(
@@ -94,23 +106,43 @@ def replace_rows(
 ) -> bool:
     """As :func:`append_rows`, in place of what the table held.
 
-    ``df`` must come from other tables than this one.
+    ``df`` may come from the table itself: what it held stays readable by its snapshot.
     """
-    return _write(df, spec, path, dimension, "overwrite", {})[ROWS] > 0
+    return _load(df, spec, path, dimension, replace=True)[ROWS] > 0
 
 
 def read_table(
-    spark: SparkSession, spec: TableSpec, path: str, layout: bool = False
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    layout: bool = False,
+    version: int | None = None,
+    only: set[str] | None = None,
 ) -> DataFrame | None:
-    """The table, or None while it does not exist; with ``layout``, also what it is laid out by."""
+    """The table as last published, or None while it does not exist.
+
+    With ``layout`` also what it is laid out by and the folder of the load; ``version`` is
+    the number of an earlier snapshot, ``only`` the ids of some loads. A folder of files
+    without snapshots is read as it is.
+    """
+    found = loads.snapshot(spark, path, version)
+    reader = spark.read.schema(spec.schema)
     try:
-        rows = spark.read.schema(spec.schema).parquet(path)
-        names = [c for c in rows.columns if layout or c in spec.schema.fieldNames()]
-        return rows.select(*names)
+        if found is None:
+            rows = reader.parquet(path)
+        else:
+            folders = [
+                f"{path}/{x.folder}" for x in found.loads if x.folder and (only is None or x.id in only)
+            ]
+            if not folders:
+                return spark.createDataFrame([], spec.schema)
+            rows = reader.option("basePath", path).parquet(*folders)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    names = [c for c in rows.columns if layout or c in spec.schema.fieldNames()]
+    return rows.select(*names)
 
 
 def replace_phrases(df: DataFrame, path: str, dimension: int | None = None) -> None:

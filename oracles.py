@@ -517,9 +517,24 @@ ORACLES: dict[str, str] = {
           CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text
         FROM documents JOIN asked ON doc_id // 10 = f WHERE f % 3 = 0 OR doc_id % 10 = top""",
     "ordered_lookup": """
-        SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS place,
+        SELECT CAST(doc_id // 10 AS VARCHAR) AS cik, CAST(doc_id // 10 AS VARCHAR)
+            AS accession_number,
+          CAST(row_number() OVER (PARTITION BY doc_id // 10 ORDER BY doc_id) - 1 AS INTEGER)
+            AS place,
           CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text
-        FROM documents WHERE doc_id // 10 = 7""",
+        FROM documents""",
+    "pages_by_key": """
+        WITH named AS (
+          SELECT max(l_partkey) AS page_id FROM lineitem WHERE l_returnflag = 'A'
+          GROUP BY l_orderkey HAVING count(*) = 1)
+        SELECT page_id, length(html) AS n_chars, md5(html) AS content
+        FROM pages WHERE page_id IN (SELECT page_id FROM named)""",
+    "committed_loads": f"""WITH {INDEX},
+        loaded AS (SELECT * FROM (VALUES (1, 'O'), (2, 'F'), (3, 'P')) v(first, tag)),
+        versions AS (SELECT unnest([1, 2, 3]) AS version)
+        SELECT CAST(version AS INTEGER) AS version, tag, count(*) AS n
+        FROM idx JOIN loaded USING (tag) JOIN versions ON version >= first
+        GROUP BY 1, 2""",
     "tags_null_and_two": f"""WITH {INDEX},
         marked AS (SELECT *, tag <> 'F' AND CAST(cik AS BIGINT) % 2 = 0 AS two_tags FROM idx)
         SELECT cik, accession_number, two_tags, CASE WHEN tag = 'O' THEN 'O' END AS found

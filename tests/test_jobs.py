@@ -4,8 +4,11 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from fundglean import schemas
 from fundglean.plans import jobs
 from fundglean.plans.jobs import Tables
+from fundglean.sources import filings as filing_files
+from fundglean.sources import tables
 from test_tables_and_sources import HEADER, page_folder, sgml, write
 
 TABLE = "".join(
@@ -135,6 +138,53 @@ def test_only_wanted_pages_are_read(world):
     assert pages.count() < 40
 
 
+def rows_scanned(df):
+    """Rows that the scans of the plan gave out, run whole."""
+    executed = df._jdf.queryExecution()
+    executed.toRdd().count()
+    leaves = executed.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_row_groups_without_a_wanted_filing_are_skipped(spark, tmp_path):
+    """A thousand filings over all buckets, of fifty companies; most others are not read."""
+    path = F.format_string("edgar/data/%d/%d/p.htm", F.col("id") % 1000, F.col("id"))
+    pages = spark.range(20_000).select(path.alias("path"), F.repeat(F.lit("x"), 50).alias("content"))
+    table = str(tmp_path / "pages")
+    tables.append_rows(filing_files.laid_out(pages), schemas.PAGES, table)
+    wanted = spark.range(20_000).where("id % 1000 < 50").select(
+        (F.col("id") % 1000).cast("string").alias("cik"), F.col("id").cast("string").alias("accession_number")
+    )
+    written = tables.read_table(spark, schemas.PAGES, table, layout=True)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with filing_files.pushing_keys(spark):
+            found = filing_files.pages_of_filings(written, wanted, "document").select("filing", "content")
+            scanned = rows_scanned(found)
+        assert found.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert written.select("bucket").distinct().count() == filing_files.PAGE_BUCKETS
+    assert 1000 <= scanned < 8000
+
+
+def test_known_pages_are_not_read_again(world, monkeypatch):
+    spark, archive, at = world
+    read = []
+    original = filing_files.read_pages
+    monkeypatch.setattr(
+        filing_files, "read_pages", lambda spark, *paths: read.append(len(paths)) or original(spark, *paths)
+    )
+    assert jobs.ingest_pages(spark, archive, at, ciks="10[0-4]") and read == [14]
+    monkeypatch.setattr(filing_files, "PATHS_PER_READ", 40)
+    assert jobs.ingest_pages(spark, archive, at) and read == [14, 40, 5]
+    assert not jobs.ingest_pages(spark, archive, at) and len(read) == 3
+    pages = tables.read_table(spark, schemas.PAGES, at.pages)
+    assert pages.count() == pages.select("path").distinct().count() == 59
+    listed = filing_files.list_pages(spark, f"{archive}/edgar/data/*/*/*.htm*")
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+
+
 def test_settled_filings_can_be_tried_again(world):
     spark, archive, at = world
     jobs.load_index(spark, archive, "2003/1", at)
