@@ -14,11 +14,11 @@ from fundglean.functions import paths, responses, text
 from fundglean.functions.chunking import chunk_text, text_pieces
 from fundglean.functions.html import html_to_text, remove_hidden_div
 from fundglean.functions.vectors import cosine_distance, hash_embedding
-from fundglean.operators import batches, calls, filters, relevance, report, sampling
+from fundglean.operators import abbreviations, batches, calls, filters, journal, relevance, report, sampling
 from fundglean.operators import search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, several_chunks
-from fundglean.operators.lineage import shared_folder
+from fundglean.operators.lineage import cut_lineage, shared_folder
 from fundglean.operators.spreading import spread
 from fundglean.plans import jobs
 from fundglean.plans.bindings import SEARCH_TAG, Given, letter_counts
@@ -334,6 +334,24 @@ def sentences(given: Given) -> DataFrame:
     )
 
 
+@query
+def abbreviation_scores(given: Given) -> DataFrame:
+    """Words of all documents that belong together with their period."""
+    found = abbreviations.scores(documents(given), "text")
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query
+def learned_sentences(given: Given) -> DataFrame:
+    """Sentences that do not end after abbreviations learned from the same documents."""
+    known = abbreviations.learned(documents(given), "text")
+    lines = documents(given).select(
+        "doc_id", F.posexplode(F.split("text", "\n")).alias("line_num", "line")
+    )
+    cut = text.sentences(F.col("line"), known)
+    return lines.select("doc_id", "line_num", F.posexplode(cut).alias("n", "sentence"))
+
+
 @query
 def text_pieces_(given: Given) -> DataFrame:
     return numbered(documents(given), text_pieces(F.col("text")), "piece", ["doc_id"])
@@ -352,6 +370,21 @@ def html_to_text_(given: Given) -> DataFrame:
     return pages.select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
+@query
+def page_structure(given: Given) -> DataFrame:
+    """Each page with one of four pieces in front of its article: lists, quotes, rows, links."""
+    pieces = [
+        "<ol><li>one</li><li>two<ul><li>deep</li><li><p>para</p></li></ul></li><li>three</li></ol>",
+        '<blockquote><p>quoted</p><p>again <a href="/u">link</a></p></blockquote>',
+        "<table><tr><th>h1</th><th>h2</th></tr><tr><td>a</td><td>b</td></tr></table>",
+        '<div><a href="/q"><p>across</p><p>blocks</p></a></div>',
+    ]
+    piece = F.get(F.lit(pieces), F.pmod("page_id", F.lit(len(pieces))).cast("int"))
+    page = F.replace("html", F.lit("<article>"), F.concat(F.lit("<article>"), piece))
+    pages = spread(given.table("pages").select("page_id", "html"), "page_id")
+    return pages.select("page_id", html_to_text(page).alias("text"))
+
+
 @query
 def hidden_div(given: Given) -> DataFrame:
     """Each page with one of four shapes of hidden div in front of its article.
@@ -503,14 +536,14 @@ def tags_null_and_two(given: Given) -> DataFrame:
 
 @query
 def vector_topk_many_phrases(given: Given) -> DataFrame:
-    """Every vector as a phrase too, in several passes and blocks."""
+    """Every vector as a phrase too, which stream by parts of the chunks."""
     embeddings = given.table("embeddings")
     phrases = embeddings.select(
         F.lpad(F.col("vec_id").cast("string"), 9, "0").alias("phrase"),
         F.col("embedding").alias("phrase_embedding"),
         F.array(F.lit(SEARCH_TAG)).alias("tags"),
     )
-    rows = search.top_pairs(given.vectors(), phrases, SEARCH_TAG, DEPTH, pass_bytes=150_000)
+    rows = search.top_pairs(given.vectors(), phrases, SEARCH_TAG, DEPTH, shipped_bytes=0)
     return rows.withColumn("distance", F.round("distance", 6))
 
 
@@ -662,6 +695,28 @@ def cascade_result(given: Given) -> DataFrame:
     return result_rows(calls.answer_all(candidates(given), stand_in_response))
 
 
+def stand_in_model(prompts: list[str]) -> list[str]:
+    """As :func:`stand_in_response`, as a model that is sent prompts."""
+    people = [",".join(f'{{"name":"T{i}"}}' for i in range(1, len(p) % 4 + 1)) for p in prompts]
+    return [f'```json{{"trustees":[{some}]}}```' for some in people]
+
+
+def no_model(prompts: list[str]) -> list[str]:
+    """Stands where nothing may be sent."""
+    raise RuntimeError(f"{len(prompts)} prompts sent again")
+
+
+@query
+def recorded_answers(given: Given) -> DataFrame:
+    """The cascade once with a model, and again from the answers kept of it alone."""
+    kept = f"{shared_folder(given.spark)}/answers-{uuid.uuid4().hex}"
+    tries = cut_lineage(candidates(given))
+    template = "{SEC_FILING_SNIPPET}"
+    journal.ask_in_turn(tries, stand_in_model, kept, "model", "first", template, calls_per_task=64)
+    again = journal.ask_in_turn(tries, no_model, kept, "model", "second", template)
+    return reduce_cascade(again).withColumn("selected_chunks", joined(F.col("selected_chunks")))
+
+
 @query
 def dummy_extract(given: Given) -> DataFrame:
     """Prompts go through the model call; the stand-in model always finds nothing."""

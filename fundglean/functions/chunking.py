@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fundglean.functions.binding import let
-from fundglean.functions.text import is_empty_line, is_table_row, sentences, strip
+from fundglean.functions.text import is_empty_line, is_table_row, sentences, slices, strip
 
 DEFAULT_CHUNK_SIZE = 3500
 MIN_CHUNK_CHARS = 100  # chunks of this length or less are dropped
 
 
-def _slices(items: Column, starts: Column, build) -> Column:
-    """``build`` over the runs of ``items`` that begin at the 0-based ``starts``."""
-    return F.transform(
-        starts,
-        lambda start, k: build(
-            F.slice(
-                items,
-                start + 1,
-                F.coalesce(F.get(starts, k + 1), F.size(items)) - start,
-            )
-        ),
-    )
-
-
 def content_lines(text: Column) -> Column:
     """Stripped non-empty lines; an exactly blank line stays as ``''``.
 
@@ -39,13 +27,15 @@ def content_lines(text: Column) -> Column:
     return F.filter(cleaned, lambda line: line.isNotNull())
 
 
-def _table_pieces(lines: Column) -> Column:
+def _table_pieces(lines: Column, abbreviations: Sequence[str] | None = None) -> Column:
     """Pieces of lines among which there may be table rows."""
 
     def piece(run: Column) -> Column:
         first = F.element_at(run, 1)
         table = F.array_join(F.filter(run, lambda line: line != ""), "\n")
-        return F.when(is_table_row(first), F.array(table)).otherwise(sentences(first))
+        return F.when(is_table_row(first), F.array(table)).otherwise(
+            sentences(first, abbreviations)
+        )
 
     def starts(table: Column) -> Column:
         def begins(row: Column, i: Column) -> Column:
@@ -56,7 +46,7 @@ def _table_pieces(lines: Column) -> Column:
 
     return let(
         let(F.transform(lines, is_table_row), starts),
-        lambda s: F.flatten(_slices(lines, s, piece)),
+        lambda s: F.flatten(slices(lines, s, piece)),
     )
 
 
@@ -66,14 +56,16 @@ def _prose_pieces(lines: Column) -> Column:
     return F.filter(sentences(prose), lambda sentence: sentence != "")
 
 
-def text_pieces(text: Column) -> Column:
+def text_pieces(text: Column, abbreviations: Sequence[str] | None = None) -> Column:
     """Array of pieces: a run of table rows is one piece, prose gives sentences."""
-    return let(
-        content_lines(text),
-        lambda lines: F.when(F.contains(text, F.lit("|")), _table_pieces(lines)).otherwise(
-            _prose_pieces(lines)
-        ),
-    )
+
+    def pieces(lines: Column) -> Column:
+        by_line = _table_pieces(lines, abbreviations)
+        if abbreviations is not None:
+            return by_line
+        return F.when(F.contains(text, F.lit("|")), by_line).otherwise(_prose_pieces(lines))
+
+    return let(content_lines(text), pieces)
 
 
 def pack_starts(lengths: Column, size: int) -> Column:
@@ -108,7 +100,7 @@ def pack_pieces(pieces: Column, size: int = DEFAULT_CHUNK_SIZE) -> Column:
     def chunks(p: Column) -> Column:
         return let(
             pack_starts(F.transform(p, F.length), size),
-            lambda s: _slices(p, s, lambda run: F.array_join(run, "\n\n")),
+            lambda s: slices(p, s, lambda run: F.array_join(run, "\n\n")),
         )
 
     return F.filter(
@@ -116,6 +108,8 @@ def pack_pieces(pieces: Column, size: int = DEFAULT_CHUNK_SIZE) -> Column:
     )
 
 
-def chunk_text(text: Column, size: int = DEFAULT_CHUNK_SIZE) -> Column:
+def chunk_text(
+    text: Column, size: int = DEFAULT_CHUNK_SIZE, abbreviations: Sequence[str] | None = None
+) -> Column:
     """Array of chunks of a document; the position in the array is the chunk number."""
-    return pack_pieces(text_pieces(text), size)
+    return pack_pieces(text_pieces(text, abbreviations), size)

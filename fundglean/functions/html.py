@@ -1,7 +1,9 @@
 """HTML pages -> text, as a chain of expressions over one column.
 
 Links stay as ``[text](url)``, images and emphasis marks are dropped, nothing is
-wrapped and a table row becomes one ``a | b`` line.
+wrapped and a table row becomes one ``a | b`` line. Pages with nested or numbered lists,
+quotes, header cells or links around blocks go through a fold with a stack of what is
+open (:mod:`fundglean.functions.structure`); others need none.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fundglean.functions import structure
 from fundglean.functions.binding import let
 from fundglean.functions.text import strip
 
@@ -232,9 +235,35 @@ def decode_entities(text: Column) -> Column:
     )
 
 
+def _flat_text(marked: Column) -> Column:
+    plain = let(let(_apply(marked, LINK_RULES), replace_tags), decode_entities)
+    return strip(_apply(plain, TIDY_RULES))
+
+
+def _structured_text(marked: Column) -> Column:
+    texts = F.from_json(F.lit(json.dumps(TAG_TEXT)), "map<string,string>")
+
+    def woven(page: Column) -> Column:
+        tags = F.regexp_extract_all(page, F.lit(_TAG), 0)
+        said = structure.tag_texts(tags, _TAG_START, texts)
+        pieces = F.zip_with(F.split(page, _TAG), said, lambda text, tag: F.concat(text, tag))
+        return F.array_join(pieces, "")
+
+    own = F.translate(marked, structure.PLACEHOLDERS, "")
+    plain = let(let(own, woven), decode_entities)
+    (around_lines, blank_lines, blanks) = TIDY_RULES
+    rules = (around_lines, *structure.SETTLE_RULES, around_lines, blank_lines, blanks)
+    return strip(structure.shown(_apply(plain, rules)))
+
+
 def html_to_text(html: Column) -> Column:
     """Text of a page; an empty page gives ``''``."""
     page = F.regexp_replace(remove_silent_parts(html), r"[ \t\r\n\f]+", " ")
     marked = let(page, lambda p: let(remove_hidden_div(p), flatten_cells))
-    plain = let(let(_apply(marked, LINK_RULES), replace_tags), decode_entities)
-    return strip(_apply(plain, TIDY_RULES))
+    return let(
+        marked,
+        lambda m: F.when(
+            F.rlike(m, F.lit(structure.NEEDED)) | F.rlike(m, F.lit(structure.LINK_ACROSS)),
+            _structured_text(m),
+        ).otherwise(_flat_text(m)),
+    )

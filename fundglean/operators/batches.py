@@ -14,6 +14,7 @@ from fundglean.operators.lineage import cut_lineage
 from fundglean.operators.skew import salted_join
 from fundglean.schemas import FILING_KEYS
 
+TEXT_HASH = "text_hash"
 FOLD_LIMIT = 50_000
 SEGMENT = 4096
 
@@ -82,10 +83,23 @@ def token_batches(
 def requests(
     chunks: DataFrame, text: str, tokens: Column, max_tokens: int, max_chunks: int
 ) -> DataFrame:
-    """One row for each request: keys, ``batch_id``, and ``items`` (chunk_num, text) in order."""
-    batched = token_batches(chunks, tokens, max_tokens, max_chunks, carry=[text])
-    items = F.sort_array(F.collect_list(F.struct("chunk_num", F.col(text).alias("text"))))
-    return batched.groupBy(*FILING_KEYS, "batch_id").agg(items.alias("items"))
+    """One row for each request: keys, ``batch_id``, and ``items`` (chunk_num, text) in order.
+
+    Batches are told from token counts and hashes of the texts; the texts themselves meet
+    their batch by filing and chunk number, and only those of one request stand in a
+    row. Copies of a chunk are told apart by their number.
+    """
+    keys = [*FILING_KEYS, "chunk_num", TEXT_HASH]
+    texts = chunks.select(*keys[:-1], F.col(text).alias("text"), tokens.alias("tokens")).withColumn(
+        TEXT_HASH, F.xxhash64("text")
+    )
+    batched = token_batches(texts, F.col("tokens"), max_tokens, max_chunks, carry=[TEXT_HASH])
+    copies = Window.partitionBy(*keys)
+    numbered = batched.withColumn("copy", F.row_number().over(copies.orderBy("batch_id")))
+    own = texts.drop("tokens").withColumn("copy", F.row_number().over(copies.orderBy("text")))
+    met = own.join(numbered.select(*keys, "copy", "batch_id"), [*keys, "copy"])
+    items = F.sort_array(F.collect_list(F.struct("chunk_num", "text")))
+    return met.groupBy(*FILING_KEYS, "batch_id").agg(items.alias("items"))
 
 
 def _in_one_row(

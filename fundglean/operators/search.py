@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -13,8 +15,11 @@ from fundglean.schemas import FILING_KEYS
 DEFAULT_DEPTH = 1000
 PHRASES_PER_BLOCK = 1024  # columns of one matrix product
 CHUNKS_PER_PRODUCT = 1024  # its rows
-PASS_BYTES = 64_000_000  # phrase vectors held by a task in one pass over the chunks
+SHIPPED_BYTES = 64_000_000  # phrase vectors sent to every task at most
+HELD_BYTES = 64_000_000  # chunk vectors that a task holds while phrases stream by
+PENDING_PAIRS = 200_000  # pairs kept before they are cut to the nearest of each filing
 RANK_DIGITS = 12  # distances equal in exact arithmetic must tie
+SLACK = 10.0 ** (1 - RANK_DIGITS)  # distances this near may have equal ranks
 
 
 # What is kept of one chunk: its nearest phrases as parallel arrays.
@@ -92,39 +97,198 @@ def _nearest(names: list[str | None], asked: dict[int, tuple[np.ndarray, np.ndar
     return nearest
 
 
+class _Held:
+    """Chunks of one salt, and the nearest pairs of each of their filings so far."""
+
+    def __init__(self, depth: int) -> None:
+        self.depth = depth
+        self.keys: list[tuple] = []
+        self.numbers: list[int] = []
+        self._columns: list[pa.Array] = []
+        self._matrices: dict | None = None
+        self._names: dict[int, str | None] = {}
+        self._met = 0
+        self._pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self._size = 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        keys = (batch.column(c).to_pylist() for c in FILING_KEYS)
+        self.keys += zip(*keys, strict=True)
+        self.numbers += batch.column("chunk_num").to_pylist()
+        self._columns.append(batch.column("vector"))
+
+    def _prepare(self) -> None:
+        column = pa.concat_arrays(self._columns)
+        self._columns = []
+        self._matrices = {
+            size: (rows, matrix, np.linalg.norm(matrix, axis=1))
+            for size, (rows, matrix) in _matrices(column).items()
+        }
+        place: dict[tuple, int] = {}
+        self._filing = np.array([place.setdefault(k, len(place)) for k in self.keys])
+        self._number = np.array([-1 if n is None else n for n in self.numbers], np.int64)
+        self._limit = np.full(len(place), np.inf)
+
+    def meet(self, batch: pa.RecordBatch) -> None:
+        """Score the held chunks against phrases, which come in order of their names."""
+        if self._matrices is None:
+            self._prepare()
+        names = batch.column("phrase").to_pylist()
+        self._names.update(enumerate(names, self._met))
+        for size, (at, phrases) in _matrices(batch.column("vector")).items():
+            if size not in self._matrices:
+                continue
+            rows, chunks, norms = self._matrices[size]
+            for i in range(0, len(rows), CHUNKS_PER_PRODUCT):
+                some = slice(i, i + CHUNKS_PER_PRODUCT)
+                for j in range(0, len(at), PHRASES_PER_BLOCK):
+                    part = phrases[j : j + PHRASES_PER_BLOCK]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        sizes = norms[some][:, None] * np.linalg.norm(part, axis=1)[None, :]
+                        distance = 1 - chunks[some] @ part.T / sizes
+                    self._take(rows[some], at[j : j + PHRASES_PER_BLOCK] + self._met, distance)
+        self._met += len(names)
+
+    def _take(self, rows: np.ndarray, phrases: np.ndarray, distance: np.ndarray) -> None:
+        near = distance <= (self._limit[self._filing[rows]] + SLACK)[:, None]  # never so for NaN
+        if distance.shape[1] > self.depth and near.sum() > 4 * self.depth * len(rows):
+            known = np.where(np.isnan(distance), np.inf, distance)
+            last = np.partition(known, self.depth - 1, axis=1)[:, self.depth - 1]
+            near &= distance <= (last + SLACK)[:, None]
+        i, j = np.nonzero(near)
+        self._pending.append((rows[i], phrases[j], distance[i, j]))
+        self._size += len(i)
+        if self._size > PENDING_PAIRS:
+            self._cut()
+
+    def _cut(self) -> tuple[np.ndarray, ...]:
+        """Keep the nearest pairs of each filing, and note how far the last one is."""
+        row, phrase, distance = (np.concatenate(x) for x in zip(*self._pending, strict=True))
+        rank = np.round(distance, RANK_DIGITS) + 0.0  # no negative zero
+        filing = self._filing[row]
+        order = np.lexsort((phrase, self._number[row], rank, filing))
+        sorted_filing = filing[order]
+        first = np.searchsorted(sorted_filing, sorted_filing)
+        place = np.arange(len(order)) - first
+        last = order[place == self.depth - 1]
+        self._limit[filing[last]] = rank[last]
+        kept = order[place < self.depth]
+        row, phrase, distance, rank = row[kept], phrase[kept], distance[kept], rank[kept]
+        used = set(phrase.tolist())
+        self._names = {i: name for i, name in self._names.items() if i in used or i >= self._met}
+        self._pending, self._size = [(row, phrase, distance)], len(row)
+        return row, phrase, distance, rank
+
+    def pairs(self) -> pa.RecordBatch | None:
+        if not self._pending:
+            return None
+        row, phrase, distance, rank = self._cut()
+        keys = [self.keys[i] for i in row.tolist()]
+        columns = [pa.array([k[c] for k in keys], pa.string()) for c in range(len(FILING_KEYS))]
+        columns += [
+            pa.array([self.numbers[i] for i in row.tolist()], pa.int32()),
+            pa.array([self._names[i] for i in phrase.tolist()], pa.string()),
+            pa.array(rank),
+            pa.array(distance),
+        ]
+        names = [*FILING_KEYS, "chunk_num", "phrase", "rank_distance", "distance"]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """Runs of rows with the same salt and kind."""
+    salt, kind = (batch.column(c).to_numpy() for c in ("salt", "kind"))
+    changes = np.flatnonzero((np.diff(salt) != 0) | (np.diff(kind) != 0)) + 1
+    bounds = [0, *changes.tolist(), len(salt)]
+    for first, end in zip(bounds, bounds[1:]):
+        if end > first:
+            yield (salt[first], kind[first]), batch.slice(first, end - first)
+
+
+def _streamed(chunks: DataFrame, phrases: DataFrame, depth: int, held_bytes: int) -> DataFrame:
+    """Chunks dealt out so that a task holds a bounded part, and all phrases stream by each.
+
+    The phrases are repeated for every part; chunk vectors move once. A part gives no more
+    than ``depth`` pairs of a filing.
+    """
+    spark = chunks.sparkSession
+    n, longest = chunks.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    parts = max(-(-n * 8 * (longest or 0) // held_bytes), spark.sparkContext.defaultParallelism)
+    held = chunks.select(
+        F.pmod(F.monotonically_increasing_id(), F.lit(parts)).alias("salt"),
+        F.lit(0).alias("kind"),
+        *FILING_KEYS,
+        "chunk_num",
+        F.lit(None).cast("string").alias("phrase"),
+        F.col("embedding").alias("vector"),
+    )
+    nothing = [F.lit(None).cast("string").alias(k) for k in FILING_KEYS]
+    stream = phrases.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("salt"),
+        F.lit(1).alias("kind"),
+        *nothing,
+        F.lit(None).cast("int").alias("chunk_num"),
+        "phrase",
+        F.col("phrase_embedding").alias("vector"),
+    )
+    dealt = held.unionByName(stream).repartition(parts, "salt")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, salt = None, None
+        for batch in batches:
+            for (at, kind), rows in _runs(batch):
+                if at != salt:
+                    if own is not None and (found := own.pairs()) is not None:
+                        yield found
+                    own, salt = None, at
+                if kind == 0:
+                    own = own or _Held(depth)
+                    own.add(rows)
+                elif own is not None:
+                    own.meet(rows)
+        if own is not None and (found := own.pairs()) is not None:
+            yield found
+
+    schema = (
+        "cik string, accession_number string, chunk_num int, phrase string, "
+        "rank_distance double, distance double"
+    )
+    return dealt.sortWithinPartitions("salt", "kind", "phrase").mapInArrow(meet, schema)
+
+
+def _shipped(chunks: DataFrame, phrases: DataFrame, depth: int) -> DataFrame:
+    """Every chunk with its ``depth`` nearest of a phrase set that goes to every task."""
+    table = phrases.toArrow()
+    names = table.column("phrase").to_pylist()
+    order = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] or ""))
+    table = table.take(pa.array(order, pa.int64())).combine_chunks()
+    asked = _matrices(table.column("phrase_embedding").chunk(0)) if len(table) else {}
+    nearest = _nearest([names[i] for i in order], asked, depth)
+    keys = [*FILING_KEYS, "chunk_num"]
+    near = chunks.select(*keys, nearest("embedding").alias("near"))
+    zipped = F.arrays_zip("near.rank_distance", "near.phrase", "near.distance")
+    return near.select(*keys, F.inline(zipped))
+
+
 def phrase_distances(
-    vectors: DataFrame, phrases: DataFrame, depth: int, pass_bytes: int = PASS_BYTES
+    vectors: DataFrame,
+    phrases: DataFrame,
+    depth: int,
+    shipped_bytes: int = SHIPPED_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
-    """Every chunk with its ``depth`` nearest phrases, however many phrases there are.
+    """Pairs among which are the ``depth`` nearest of every filing, however many phrases there are.
 
-    Vectors stay where they are read. The phrases' number and longest vector are
-    looked up first; as many passes over the chunks are made as keep the phrase
-    vectors of one pass within ``pass_bytes``, and a phrase's pass is told by its
-    hash. A chunk emits no more than ``depth`` pairs in a pass.
+    The phrases' number and longest vector are looked up first. A set of up to
+    ``shipped_bytes`` is sent to where the vectors are read, and no vector moves. A
+    larger one stays in Spark and streams by parts of the chunks.
     """
-    keys = [*FILING_KEYS, "chunk_num"]
-    chunks = vectors.select(*keys, "embedding")
-    phrases = phrases.select("phrase", "phrase_embedding").where(
-        F.col("phrase_embedding").isNotNull()
-    )
+    chunks = vectors.select(*FILING_KEYS, "chunk_num", "embedding").where("embedding IS NOT NULL")
+    phrases = phrases.select("phrase", "phrase_embedding").where("phrase_embedding IS NOT NULL")
     n, longest = phrases.agg(F.count(F.lit(1)), F.max(F.size("phrase_embedding"))).first()
-    passes = max(1, -(-n * 8 * (longest or 0) // pass_bytes))
-    place = F.pmod(F.xxhash64("phrase", "phrase_embedding"), F.lit(passes))
-    found = None
-    for number in range(passes):
-        table = phrases.where(place == number).toArrow()
-        names = table.column("phrase").to_pylist()
-        order = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] or ""))
-        table = table.take(pa.array(order, pa.int64())).combine_chunks()
-        asked = {}
-        if len(table):
-            asked = _matrices(table.column("phrase_embedding").chunk(0))
-        names = [names[i] for i in order]
-        near = chunks.select(*keys, _nearest(names, asked, depth)("embedding").alias("near"))
-        zipped = F.arrays_zip("near.rank_distance", "near.phrase", "near.distance")
-        pairs = near.select(*keys, F.inline(zipped))
-        found = pairs if found is None else found.unionAll(pairs)
-    return found
+    if n * 8 * (longest or 0) <= shipped_bytes:
+        return _shipped(chunks, phrases, depth)
+    return _streamed(chunks, phrases, depth, held_bytes)
 
 
 def top_pairs(
@@ -132,7 +296,8 @@ def top_pairs(
     phrases: DataFrame,
     tag: str,
     depth: int = DEFAULT_DEPTH,
-    pass_bytes: int = PASS_BYTES,
+    shipped_bytes: int = SHIPPED_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """Per filing the ``depth`` nearest pairs: keys, phrase, chunk_num, distance.
 
@@ -140,9 +305,10 @@ def top_pairs(
     applies it before the exchange as well (WindowGroupLimit), hence a filing
     with very many chunks sends only ``depth`` rows from each input partition.
     """
-    pairs = phrase_distances(vectors, with_tag(phrases, tag), depth, pass_bytes)
+    pairs = phrase_distances(vectors, with_tag(phrases, tag), depth, shipped_bytes, held_bytes)
+    names = [*FILING_KEYS, "chunk_num", "phrase", "rank_distance", "distance"]
     return limit_per_group(
-        pairs, FILING_KEYS, ("rank_distance", "chunk_num", "phrase"), depth
+        pairs.select(*names), FILING_KEYS, ("rank_distance", "chunk_num", "phrase"), depth
     ).select(*FILING_KEYS, "phrase", "chunk_num", "distance")
 
 

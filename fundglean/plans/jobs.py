@@ -15,7 +15,7 @@ from fundglean.functions.html import html_to_text
 from fundglean.functions.paths import is_html_path
 from fundglean.functions.responses import PROMPT, response_view
 from fundglean.functions.vectors import hash_embedding
-from fundglean.operators import calls, filters, relevance, report, sampling, search, tickers
+from fundglean.operators import calls, filters, journal, relevance, report, sampling, search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, of_filings
 from fundglean.operators.lineage import cut_lineage
@@ -50,6 +50,7 @@ class Tables:
     embedding: str
     search: str
     result: str
+    journal: str
 
     @classmethod
     def under(cls, root: str) -> Tables:
@@ -62,6 +63,7 @@ class Tables:
             embedding=f"{root}/filing_chunks_embeddings",
             search=f"{root}/search_phrase_embeddings",
             result=f"{root}/trustee_comp_results",
+            journal=f"{root}/model_answers",
         )
 
 
@@ -134,6 +136,7 @@ def chunk_pages(
     size: int = DEFAULT_CHUNK_SIZE,
     page_column: str = "content",
     keys=FILING_KEYS,
+    abbreviations: Sequence[str] | None = None,
 ) -> DataFrame:
     """HTML pages with filing keys -> numbered chunks; no shuffle.
 
@@ -141,7 +144,7 @@ def chunk_pages(
     after it would be pushed down and work out the chunks a second time.
     """
     chunks = let(
-        chunk_text(html_to_text(F.col(page_column)), size),
+        chunk_text(html_to_text(F.col(page_column)), size, abbreviations),
         lambda found: F.when(F.size(found) > 1, found),
     )
     return numbered(pages, chunks, "chunk_text", keys)
@@ -204,14 +207,18 @@ def chunk(
     batch_limit: int = 0,
     size: int = DEFAULT_CHUNK_SIZE,
     retry: Sequence[str] = (),
+    abbreviations: Sequence[str] | None = None,
 ) -> bool:
     """Chunk the tagged filings that are not settled yet, and note what came of each.
 
+    With ``abbreviations``, as ``operators.abbreviations`` learns them, sentences do not end
+    after one.
+
     A filing is settled once it has an outcome, whatever it is, unless that is one
     of ``retry``; its last outcome counts.
     """
     with filing_files.pushing_keys(spark):
-        return _chunk(spark, at, tag, form_type, batch_limit, size, retry)
+        return _chunk(spark, at, tag, form_type, batch_limit, size, retry, abbreviations)
 
 
 def _chunk(
@@ -222,6 +229,7 @@ def _chunk(
     batch_limit: int,
     size: int,
     retry: Sequence[str],
+    abbreviations: Sequence[str] | None,
 ) -> bool:
     keys = list(FILING_KEYS)
     index = _table(spark, schemas.MASTER_INDEX, at.index)
@@ -255,7 +263,8 @@ def _chunk(
         readable = F.broadcast(readable)  # page contents then stay where they were read
     pages = pages_of(spark, at, todo, filing_files.DOCUMENT).select("path", "n_chars", "content")
     contents = filing_files.with_contents(readable, pages, "inner")
-    done = tables.append_rows(chunk_pages(contents, size), schemas.TEXT_CHUNKS, at.text)
+    made = chunk_pages(contents, size, abbreviations=abbreviations)
+    done = tables.append_rows(made, schemas.TEXT_CHUNKS, at.text)
     written = tables.read_table(spark, schemas.TEXT_CHUNKS, at.text)
     chunks = of_filings(written.select(*keys), todo)
     tables.append_rows(outcomes(documents, pages, chunks), schemas.OUTCOMES, at.outcomes)
@@ -334,9 +343,13 @@ def extract(
     ask: calls.Ask = calls.skip_model,
     batch_limit: int = 0,
     template: str = PROMPT,
-    parallelism: int | None = None,
+    calls_per_task: int = 1,
 ) -> bool:
-    """Ask about the most relevant chunks of every tagged filing and store the result."""
+    """Ask about the most relevant chunks of every tagged filing and store the result.
+
+    Answers are kept in the journal as they come; a run after a failure, or one with the
+    same prompts, sends only what has no answer yet. Skipped calls are not kept.
+    """
     index = _table(spark, schemas.MASTER_INDEX, at.index)
     todo = filters.filings_of_tag(index, tag, batch_limit)
     vectors = of_filings(_table(spark, schemas.CHUNK_VECTORS, at.embedding), todo)
@@ -346,7 +359,13 @@ def extract(
         _table(spark, schemas.SEARCH_PHRASES, at.search),
         search_tag,
     )
-    results = reduce_cascade(calls.ask_in_turn(candidates, ask, template, parallelism)).select(
+    if ask is calls.skip_model:
+        answered = calls.ask_in_turn(candidates, ask, template)
+    else:
+        answered = journal.ask_in_turn(
+            candidates, ask, at.journal, model, result_tag, template, calls_per_task=calls_per_task
+        )
+    results = reduce_cascade(answered).select(
         "*",
         F.lit(model).alias("model"),
         response_view(F.col("response")).alias("comp_info"),

@@ -149,3 +149,13 @@ RESULTS = TableSpec(
     # Fixed values, here and above: lengths of the text columns.
     max_length={"cik": 10, "accession_number": 20, "model": 32},
 )
+
+#: Answers of a model, a row for each prompt that was sent; laid out by run.
+JOURNAL = (
+    T.StructType()
+    .add("prompt_hash", T.StringType())
+    .add("model", T.StringType())
+    .add("response", T.StringType())
+    .add("error", T.StringType())
+    .add("run", T.StringType())
+)

@@ -266,6 +266,19 @@ page_chunks AS (
   SELECT doc_id AS page_id, chunk_num, chunk_text FROM ({greedy_chunks(300)})
   QUALIFY count(*) OVER (PARTITION BY doc_id) > 1)"""
 
+# Words that belong together with their period, by the log-likelihood of both.
+ABBREVIATIONS = r"""said AS (
+  SELECT unnest(regexp_extract_all(lower(text), '\p{L}+\.?')) AS w FROM documents),
+counted AS (
+  SELECT rtrim(w, '.') AS word, count(*) FILTER (WHERE w LIKE '%.') AS dotted,
+    count(*) FILTER (WHERE w NOT LIKE '%.') AS bare FROM said GROUP BY 1),
+rate AS (SELECT sum(dotted) / sum(dotted + bare) AS p FROM counted),
+abbreviations AS (
+  SELECT word, dotted, bare,
+    2 * (dotted * ln(0.99) + bare * ln(1 - 0.99) - dotted * ln(p) - bare * ln(1 - p))
+      * exp(-length(word)) * pow(length(word), -bare) AS score
+  FROM counted, rate WHERE dotted > 0 AND p < 1)"""
+
 ORACLES: dict[str, str] = {
     "index_quarter_counts": f"""WITH {INDEX}
         SELECT CAST(year(date_filed) AS INTEGER) AS year,
@@ -391,10 +404,47 @@ ORACLES: dict[str, str] = {
           SELECT doc_id, CAST(line_num AS INTEGER) AS line_num, {sentence_list("line")} AS l
           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                   unnest(range(len(string_split(text, chr(10))))) AS line_num FROM documents))""",
+    "abbreviation_scores": f"""WITH {ABBREVIATIONS}
+        SELECT word, dotted, bare, round(score, 6) AS score FROM abbreviations WHERE score >= 0.3""",
+    "learned_sentences": rf"""WITH {ABBREVIATIONS},
+        cut AS (
+          SELECT doc_id, CAST(line_num AS INTEGER) AS line_num,
+            unnest(range(len(l))) AS i, unnest(l) AS part
+          FROM (
+            SELECT doc_id, line_num, {sentence_list("line")} AS l
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                    unnest(range(len(string_split(text, chr(10))))) AS line_num FROM documents))),
+        followed AS (
+          SELECT *, lag(part) OVER (PARTITION BY doc_id, line_num ORDER BY i) AS before FROM cut),
+        judged AS (
+          SELECT *, before IS NULL OR NOT (
+            lower(regexp_extract(before, '(\p{{L}}+)\.$', 1)) IN (
+              SELECT word FROM abbreviations WHERE score >= 0.3)
+            OR regexp_matches(before, '(?:^|[^\p{{L}}])\p{{Lu}}\.$')
+            OR (before LIKE '%.' AND regexp_matches(part, '^\p{{Ll}}'))) AS begins
+          FROM followed),
+        grouped AS (
+          SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END)
+            OVER (PARTITION BY doc_id, line_num ORDER BY i) - 1 AS n FROM judged)
+        SELECT doc_id, line_num, CAST(n AS INTEGER) AS n, string_agg(part, ' ' ORDER BY i) AS sentence
+        FROM grouped GROUP BY doc_id, line_num, n""",
     "text_pieces": f"""WITH {LINES}
         SELECT doc_id, CAST(chunk_num AS INTEGER) AS chunk_num, piece FROM pieces""",
     "greedy_chunks": greedy_chunks(500),
     "html_to_text": HTML_TEXT,
+    "page_structure": f"""
+        WITH pages_given AS (SELECT * FROM pages),
+        marked AS (
+          SELECT page_id, replace(html, '<article>', '<article><p>@@STRUCTURE@@</p>') AS html
+          FROM pages_given),
+        texts AS (SELECT * FROM ({HTML_TEXT.replace("FROM pages)", "FROM marked)")}))
+        SELECT page_id, replace(text, '@@STRUCTURE@@', CASE page_id % 4
+          WHEN 0 THEN '1. one' || chr(10) || '2. two' || chr(10) || '  * deep' || chr(10)
+            || '  * para' || chr(10) || '3. three'
+          WHEN 1 THEN '> quoted' || chr(10) || chr(10) || '> again [link](/u)'
+          WHEN 2 THEN 'h1 | h2' || chr(10) || '---|---' || chr(10) || 'a | b'
+          ELSE '[across](/q)' || chr(10) || chr(10) || '[blocks](/q)' END) AS text
+        FROM texts""",
     "chunk_pages": f"{PAGE_CHUNKS} SELECT page_id, chunk_num, chunk_text FROM page_chunks",
     "hidden_div": """
         SELECT page_id, replace(html, '<article>', CASE page_id % 4
@@ -562,6 +612,8 @@ ORACLES: dict[str, str] = {
             || len(string_split(text, ' ')) - 1 AS embedding
         FROM documents""",
 }
+ORACLES["recorded_answers"] = f"""
+    SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({ORACLES["cascade_result"]})"""
 ORACLES["export_limited"] = (
     ORACLES["export_left_join"] + " ORDER BY i.cik, i.accession_number LIMIT 1000"
 )

@@ -72,3 +72,29 @@ def test_requests_hold_texts_in_order(spark):
         want = expected(sizes, 40, 3)
         assert [r.batch_id for r in own for _ in r["items"]] == want
         assert [i.text for r in own for i in r["items"]] == [f"{cik}/{3 * n}" for n in range(len(sizes))]
+
+
+def test_copies_of_a_chunk_are_each_sent(spark):
+    rows = [("1", "a", n, f"t{n}", 4) for n in (0, 0, 0, 1, 2, 2)] + [("1", "a", 2, "other", 4), ("1", "a", 3, None, 0)]
+    df = spark.createDataFrame(rows, "cik string, accession_number string, chunk_num int, t string, tokens int")
+    got = sorted(batches.requests(df, "t", F.col("tokens"), 9, 2).collect(), key=lambda r: r.batch_id)
+    items = [(i.chunk_num, i.text) for r in got for i in r["items"]]
+    assert sorted(items, key=str) == sorted([(r[2], r[3]) for r in rows], key=str)
+    assert [n for n, _ in items] == sorted(n for n, _ in items) and all(len(r["items"]) <= 2 for r in got)
+
+
+def test_a_filing_of_sixty_thousand_chunks(spark):
+    """Texts stay out of the fold: no row holds more than a request's."""
+    n = 60_000
+    chunks = spark.range(n).select(
+        F.lit("1").alias("cik"), F.lit("a").alias("accession_number"), F.col("id").cast("int").alias("chunk_num"),
+        F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 50)).alias("t"),
+    )
+    sizes = F.pmod("chunk_num", F.lit(7)) + 1
+    got = batches.requests(chunks, "t", sizes, 40, 9)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert all("text#" not in line for line in plan.split("\n") if "collect_list(struct(chunk_num" in line and "tokens" in line)
+    rows = got.select("batch_id", F.col("items.chunk_num").alias("n"), F.size("items").alias("size")).collect()
+    want = expected([i % 7 + 1 for i in range(n)], 40, 9)
+    assert {(i, r.batch_id) for r in rows for i in r.n} == set(enumerate(want))
+    assert max(r.size for r in rows) <= 9

@@ -1,3 +1,7 @@
+import random
+import re
+
+from fundglean.functions.html import TAG_TEXT, _flat_text, _structured_text
 from fundglean.functions.html import decode_entities, html_to_text, remove_hidden_div
 
 
@@ -69,3 +73,107 @@ def test_attributes_are_told_by_their_names(value):
 def test_all_named_entities(value):
     texts = ["Fund&apos;s &NotEqualTilde; &bsol; &hellip; &apos &nosuchname;"]
     assert value(decode_entities, texts) == ["Fund's \u2242\u0338 \\ \u2026 &apos &nosuchname;"]
+
+
+def test_lists_keep_their_structure(value):
+    pages = [
+        "<ol><li>one</li><li>two<ul><li>deep</li><li><p>para</p><p>more</p></li></ul></li><li>three</li></ol>after",
+        "<ul><li>a<ul><li>b<ul><li>c</li></ul></li></ul></li><li>d</li></ul><ol><li>e</li></ol>",
+        "<ol><li>a<br>b</li></ol><ol><li>c</li></ol>",
+    ]
+    assert value(html_to_text, pages) == [
+        "1. one\n2. two\n  * deep\n  * para\n    more\n3. three\n\nafter",
+        "* a\n  * b\n    * c\n* d\n\n1. e",
+        "1. a\n  b\n\n1. c",
+    ]
+
+
+def test_quotes_header_rows_and_links_across_blocks(value):
+    pages = [
+        '<blockquote><p>quoted</p><blockquote>twice</blockquote><p><a href="/u">link</a></p></blockquote>out',
+        "<table><thead><tr><th>h1</th><th>h2</th></tr></thead><tr><td>a</td><td>b</td></tr></table>after",
+        "<div><a href='/q'><p>across</p><h2>blocks</h2></a> rest <a href='/e'><img></a></div><ol></ol>",
+    ]
+    assert value(html_to_text, pages) == [
+        "> quoted\n\n> > twice\n\n> [link](/u)\n\nout",
+        "h1 | h2\n---|---\na | b\n\nafter",
+        "[across](/q)\n\n## [blocks](/q)\n\nrest [](/e)",
+    ]
+
+
+def test_malformed_tags(value):
+    """What closes nothing is passed over; what is open ends with the page."""
+    pages = {
+        "</ul></ol></blockquote></a></tr>x<ol>": "x",
+        "<ul><li>x<ol><li>y</ul><li>z": "* x\n  1. y\n* z",
+        "<li>lone<ol></ol>": "* lone",
+        '<ol></ol><a href="/1">one<a href="/2">two</a> three': "[one](/1)[two](/2) three",
+        '<ol></ol><a href="/1">never closed': "[never closed](/1)",
+        "<tr><th>a<tr><td>b<td>c": "a\n---\nb | c",
+        "<ol><li": "1.",
+        "<blockquote>": "",
+        "<OL start=5><LI>upper": "1. upper",
+        "<ul>" * 300 + "<ul><li>deep": "  " * 300 + "* deep",
+    }
+    got = value(html_to_text, list(pages))
+    assert got == [w.strip() for w in pages.values()]
+
+
+INDENT, QUOTE = "\ue000", "\ue001"
+
+
+def plain_lists(page):
+    """Lists, quotes and paragraphs by a loop over the tags with a stack."""
+    out, stack, quotes, before = [], [], 0, ""
+    for token in re.split(r"(<[^>]*>)", page):
+        name = (re.match(r"</?[a-z0-9]+", token) or [""])[0]
+        marks, inside = QUOTE * quotes, INDENT * len(stack)
+        if not name:
+            out.append(token)
+            continue
+        if name in ("<ul", "<ol"):
+            out.append("" if stack else "\n\n" + marks)
+            stack.append(0 if name == "<ol" else None)
+        elif name in ("</ul", "</ol"):
+            stack = stack[:-1]
+            out.append("" if stack else "\n\n" + marks)
+        elif name == "<li":
+            sign = "* "
+            if stack and stack[-1] is not None:
+                stack[-1] += 1
+                sign = f"{stack[-1]}. "
+            out.append("\n" + marks + INDENT * (len(stack) - 1) + sign)
+        elif name in ("<blockquote", "</blockquote"):
+            quotes = max(0, quotes + (1 if name[1] != "/" else -1))
+            out.append("\n\n" + QUOTE * quotes)
+        elif name in ("<p", "</p") and stack:
+            out.append("" if name == "</p" or before == "<li" else "\n" + marks + inside)
+        elif name == "<br":
+            out.append("\n" + marks + inside)
+        else:
+            out.append(TAG_TEXT.get(name, "").replace("\n\n", "\n\n" + marks))
+        before = name
+    text = re.sub(r" *\n *", "\n", "".join(out))
+    text = re.sub(f"([{INDENT}{QUOTE}]) +", r"\1", text)
+    text = re.sub(f"(?m)^[{INDENT}{QUOTE}]+$", "", text)
+    text = re.sub(r" {2,}", " ", re.sub(r"\n{3,}", "\n\n", re.sub(r" *\n *", "\n", text)))
+    return text.replace(INDENT, "  ").replace(QUOTE, "> ").strip()
+
+
+def test_fold_against_a_loop(value):
+    rng = random.Random(8)
+    parts = ["<ul>", "</ul>", "<ol>", "</ol>", "<li>", "</li>", "<p>", "</p>", "<br>", "<blockquote>",
+             "</blockquote>", "<b>", "</b>", "<h2>", "</h2>", " ", "word", "two words", "x"]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    pages.append("".join(rng.choice(parts) for _ in range(1500)))  # several blocks of the scan
+    assert value(_structured_text, pages) == [plain_lists(p) for p in pages]
+
+
+def test_pages_without_structure_are_the_same_both_ways(value):
+    pages = [
+        "<h1>t</h1><p>a <b>b</b></p><ul><li>x</li><li>y</li></ul><div>z<br>w</div><hr>end",
+        "<table><tr><td>a</td><td>b</td></tr></table><a href='/u'>l</a> &amp; more",
+        "",
+        "no tags",
+    ]
+    assert value(_structured_text, pages) == value(_flat_text, pages)

@@ -2,6 +2,8 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,14 +81,14 @@ def brute_force(vectors, phrases, tag, k):
     return {(cik, *pair[1:]): pair[0] for cik, ps in out.items() for pair in sorted(ps)[:k]}
 
 
-@pytest.mark.parametrize("k, size, threshold", [(7, 10**8, 1000), (7, 100, 1000), (9, 10**8, 5), (1000, 150, 1000)])
+@pytest.mark.parametrize("k, size, threshold", [(7, 10**8, 1000), (7, 100, 1000), (9, 10**8, 5), (1, 0, 1000), (1000, 150, 1000), (9, 0, 5)])
 def test_search_matches_brute_force(spark, k, size, threshold):
-    """All ways through: one pass, several passes, and a depth past the group limit."""
+    """All ways through: phrases sent along or streaming, and a depth past the group limit."""
     vectors, phrases = make_search(spark)
     old = spark.conf.get(search.GROUP_LIMIT_CONF)
     spark.conf.set(search.GROUP_LIMIT_CONF, str(threshold))
     try:
-        rows = search.top_pairs(vectors, phrases, "g", k, pass_bytes=size).collect()
+        rows = search.top_pairs(vectors, phrases, "g", k, shipped_bytes=size, held_bytes=1000).collect()
     finally:
         spark.conf.set(search.GROUP_LIMIT_CONF, old)
     got = {(r.cik, r.chunk_num, r.phrase): round(r.distance, 9) for r in rows}
@@ -122,7 +124,7 @@ def test_odd_vectors_meet_nothing(spark, monkeypatch, size, block):
     asked += [(f"odd{i}", v, ["g"]) for i, v in enumerate(odd)]
     vectors = spark.createDataFrame(chunks, CHUNK_VECTORS.schema)
     phrases = spark.createDataFrame(asked, SEARCH_PHRASES.schema)
-    pairs = search.phrase_distances(vectors, with_tag(phrases, "g"), 100, pass_bytes=size).collect()
+    pairs = search.phrase_distances(vectors, with_tag(phrases, "g"), 100, shipped_bytes=size).collect()
     got = sorted((r.chunk_num, r.phrase or "", round(r.distance, 6)) for r in pairs)
     near = [(one, "p"), (one, "p"), (two, "q"), (two, "")]
     want = [(n, p, round(1 - (v[0] * u[0] + v[1] * u[1]), 6)) for n, v in ((0, one), (7, two), (8, one)) for u, p in near]
@@ -130,7 +132,38 @@ def test_odd_vectors_meet_nothing(spark, monkeypatch, size, block):
     assert got == sorted(want)
 
 
-def test_vectors_are_not_shuffled(spark):
+def test_vectors_move_once_at_most(spark):
+    """A bounded phrase set goes to the vectors; any other meets them in one exchange."""
     vectors, phrases = make_search(spark)
-    found = search.phrase_distances(vectors, phrases, 5, pass_bytes=100)
+    found = search.phrase_distances(vectors, phrases, 5)
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    found = search.phrase_distances(vectors, phrases, 5, shipped_bytes=0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(salt") == 1 and plan.count("Exchange") == 1
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_pairs_are_cut_while_phrases_stream():
+    """More phrases than are kept, in several batches, with ties told by number and name."""
+    rng = np.random.default_rng(3)
+    held = search._Held(4)
+    vectors = rng.integers(-2, 3, (300, 5)).astype(float)
+    filings = [str(i % 7) for i in range(300)]
+    held.add(pa.record_batch({"cik": filings, "accession_number": filings,
+                              "chunk_num": pa.array(range(300), pa.int32()), "vector": vectors.tolist()}))
+    phrases = rng.integers(-2, 3, (2500, 5)).astype(float)
+    names = sorted(f"p{i}" for i in range(2500))
+    for first in range(0, 2500, 900):
+        some = slice(first, first + 900)
+        held.meet(pa.record_batch({"phrase": names[some], "vector": phrases[some].tolist()}))
+    got = held.pairs().to_pylist()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        distance = 1 - vectors @ phrases.T / (
+            np.linalg.norm(vectors, axis=1)[:, None] * np.linalg.norm(phrases, axis=1)[None, :])
+    want = []
+    for f in range(7):
+        pairs = [(round(distance[i, j], 12) + 0.0, i, names[j]) for i in range(f, 300, 7) for j in range(2500)
+                 if not np.isnan(distance[i, j])]
+        want += [(str(f), i, name) for _, i, name in sorted(pairs)[:4]]
+    assert sorted((r["cik"], r["chunk_num"], r["phrase"]) for r in got) == sorted(want)
+    assert len(held._names) <= 28

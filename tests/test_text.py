@@ -1,8 +1,13 @@
+import math
 import random
 import re
 
+import pytest
+
 from fundglean.functions import text
 from fundglean.functions.chunking import chunk_text, pack_pieces, text_pieces
+from fundglean.functions.text import sentences
+from fundglean.operators import abbreviations
 
 
 def test_empty_lines(value):
@@ -104,3 +109,58 @@ def test_separators_are_not_counted(value):
     piece = "p" * 60
     got = value(lambda x: pack_pieces(x, 120), [[piece, piece, piece, piece]], "x array<string>")
     assert [len(c) for c in got[0]] == [122, 122]
+
+
+def test_sentences_that_abbreviations_do_not_end(value):
+    known = ["inc", "no", "dr", "st"]
+    lines = [
+        "Funds Inc. The board met. It rose.",
+        "See No. 5 of the list! Dr. Smith (St. Paul) came.",
+        "J. R. Doe is a trustee. He is 61.",
+        "The u.s. market, i.e. stocks. Bonds too.",
+        "An end in Inc.",
+        "Is it?  Yes.  no capital",
+        "",
+        None,
+    ]
+    cut = lambda c: sentences(c, known)
+    assert value(cut, lines) == [
+        ["Funds Inc. The board met.", "It rose."],
+        ["See No. 5 of the list!", "Dr. Smith (St. Paul) came."],
+        ["J. R. Doe is a trustee.", "He is 61."],
+        ["The u.s. market, i.e. stocks.", "Bonds too."],
+        ["An end in Inc."],
+        ["Is it?", "Yes. no capital"],
+        [""],
+        None,
+    ]
+    assert value(lambda c: sentences(c, []), ["Inc. The A. B. x."]) == [["Inc.", "The A. B. x."]]
+
+
+def test_abbreviations_are_learned(spark):
+    """Words that mostly have their period, against the formula in plain Python."""
+    rows = ["the fund inc. and dr. no. five fell."] * 30 + ["no fund of the dr. rose. the end came."] * 20
+    rows += ["It is an end. The sum is big."] * 200 + ["", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    counts = {}
+    for row in rows:
+        for word in re.findall(r"[a-z]+\.?", (row or "").lower()):
+            pair = counts.setdefault(word.rstrip("."), [0, 0])
+            pair[0 if word.endswith(".") else 1] += 1
+    p = sum(d for d, _ in counts.values()) / sum(d + b for d, b in counts.values())
+    fit = lambda d, b, q: d * math.log(q) + b * math.log(1 - q)
+    want = {
+        w: 2 * (fit(d, b, 0.99) - fit(d, b, p)) * math.exp(-len(w)) * len(w) ** -float(b)
+        for w, (d, b) in counts.items() if d
+    }
+    got = {r.word: r.score for r in abbreviations.scores(df, "t").collect()}
+    assert got == pytest.approx({w: x for w, x in want.items() if x >= 0.3})
+    assert {"inc", "dr"} <= set(got) and not {"end", "no", "the"} & set(got)
+    assert abbreviations.learned(df, "t", most=1) == [max(got, key=got.get)]
+    assert abbreviations.learned(df.limit(0), "t") == []
+
+
+def test_chunks_by_learned_sentences(value):
+    text = "Alpha Inc. The second part of it stands here at length, so that there is a chunk of it. Next one too. " * 3
+    cut = lambda c: chunk_text(c, 60, ["inc"])
+    assert all(not chunk.endswith("Inc.") for chunk in value(cut, [text])[0])
