@@ -14,7 +14,8 @@ from fundglean.functions import paths, responses, text
 from fundglean.functions.chunking import chunk_text, text_pieces
 from fundglean.functions.html import html_to_text, remove_hidden_div
 from fundglean.functions.vectors import cosine_distance, hash_embedding
-from fundglean.operators import abbreviations, batches, calls, filters, journal, relevance, report, sampling
+from fundglean.operators import abbreviations, batches, calls, filters, journal, key_filter
+from fundglean.operators import pivots, relevance, report, sampling
 from fundglean.operators import search, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, several_chunks
@@ -150,6 +151,40 @@ def skip_processed_anti_join(given: Given) -> DataFrame:
     return filters.not_yet_in(filings, given.results())
 
 
+@query
+def skip_by_key_filter(given: Given) -> DataFrame:
+    """The same by way of a filter of the results' filings."""
+    filings, done = given.index().select(*KEYS), given.results().select(*KEYS)
+    words = key_filter.merged(key_filter.filter_words(done))
+    return key_filter.not_done(filings, done, words)
+
+
+@query
+def sketched_stats(given: Given) -> DataFrame:
+    """Counts of an index table after each of three loads, by sketches kept for each load.
+
+    Estimates of distinct values are shown by whether they are within 2 % of exact counts.
+    """
+    index = given.index()
+    table = f"{shared_folder(given.spark)}/index-{uuid.uuid4().hex}"
+    states = None
+    for version, tag in enumerate("OFP", start=1):
+        tables.append_rows(filters.with_tag(index, tag), schemas.MASTER_INDEX, table, load_id=tag)
+        about = cut_lineage(jobs.estimated_stats(given.spark, schemas.MASTER_INDEX, table))
+        rows = tables.read_table(given.spark, schemas.MASTER_INDEX, table)
+        exact = report.table_stats(rows).select(
+            F.col("cik").alias("ciks"), F.col("filings").alias("all_filings")
+        )
+        near = [
+            (F.abs(F.col(name) - F.col(count)) <= 0.02 * F.col(count)).alias(f"{name}_near")
+            for name, count in (("cik", "ciks"), ("filings", "all_filings"))
+        ]
+        both = about.join(F.broadcast(exact))  # one row each
+        state = both.select(F.lit(version).alias("version"), "total", *near)
+        states = state if states is None else states.unionAll(state)
+    return states
+
+
 @query
 def single_document_of_type(given: Given) -> DataFrame:
     return filters.document_of_type(given.manifest(), "A", ["filing"])
@@ -608,6 +643,13 @@ def vector_topk(given: Given) -> DataFrame:
     return pairs(given).withColumn("distance", F.round("distance", 6))
 
 
+@query
+def pivot_topk(given: Given) -> DataFrame:
+    """The nearest pairs of each filing, found with pivots."""
+    rows = pivots.top_pairs(given.vectors(), given.phrases(), SEARCH_TAG, DEPTH)
+    return rows.withColumn("distance", F.round("distance", 6))
+
+
 @query
 def relevance_by_distance(given: Given) -> DataFrame:
     return scores(given).select(

@@ -15,12 +15,13 @@ from fundglean.functions.html import html_to_text
 from fundglean.functions.paths import is_html_path
 from fundglean.functions.responses import PROMPT, response_view
 from fundglean.functions.vectors import hash_embedding
-from fundglean.operators import calls, filters, journal, relevance, report, sampling, search, tickers
+from fundglean.operators import calls, filters, journal, key_filter, relevance, report, sampling
+from fundglean.operators import search, sketches, tickers
 from fundglean.operators.candidates import candidate_texts, reduce_cascade
 from fundglean.operators.chunks import numbered, of_filings
 from fundglean.operators.lineage import cut_lineage
 from fundglean.sources import filings as filing_files
-from fundglean.sources import fund_lists, index_files, tables
+from fundglean.sources import derived, fund_lists, index_files, tables
 from fundglean.schemas import FILING_KEYS
 
 FORM_TYPE = "485BPOS"
@@ -289,10 +290,8 @@ def embedding(
     """
     keys = list(FILING_KEYS)
     index = _table(spark, schemas.MASTER_INDEX, at.index)
-    todo = filters.not_yet_in(
-        filters.filings_of_tag(index, tag, batch_limit),
-        tables.read_table(spark, schemas.CHUNK_VECTORS, at.embedding),
-    )
+    tagged = filters.filings_of_tag(index, tag, batch_limit)
+    todo = unfinished(spark, tagged, schemas.CHUNK_VECTORS, at.embedding)
     chunks = of_filings(_table(spark, schemas.TEXT_CHUNKS, at.text), todo)
     if embed is None:
         vector = hash_embedding(F.col("chunk_text"), dimension).alias("embedding")
@@ -410,6 +409,29 @@ def statistics(spark: SparkSession, at: Tables, tag: str = "orig225") -> dict[st
     }
 
 
+def estimated_stats(spark: SparkSession, spec: schemas.TableSpec, path: str) -> DataFrame | None:
+    """About what ``report.table_stats`` counts of a table; a new load reads only its own rows."""
+    kept = derived.by_load(
+        spark, spec, path, schemas.SKETCHES, f"{path}_sketches",
+        lambda rows: sketches.sketched(rows, derived.FOLDER),
+    )
+    return None if kept is None else sketches.merged(kept)
+
+
+def unfinished(
+    spark: SparkSession, filings: DataFrame, spec: schemas.TableSpec, path: str
+) -> DataFrame:
+    """Filings without a row in a table, by way of a filter of its filings kept for each load."""
+    done = tables.read_table(spark, spec, path)
+    kept = derived.by_load(
+        spark, spec, path, schemas.KEY_FILTERS, f"{path}_filters",
+        lambda rows: key_filter.filter_words(rows, derived.FOLDER),
+    )
+    if done is None or kept is None:
+        return filters.not_yet_in(filings, done)
+    return key_filter.not_done(filings, done, key_filter.merged(kept))
+
+
 def map_tickers(spark: SparkSession, mapping_json: str, fund_list: str, output: str) -> None:
     """Ticker -> cik map as a two-column CSV."""
     mapping = fund_lists.read_columnar_json(spark, mapping_json, ["symbol", "cik"])

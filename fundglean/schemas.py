@@ -159,3 +159,22 @@ JOURNAL = (
     .add("error", T.StringType())
     .add("run", T.StringType())
 )
+
+#: Distinct-count sketches of each load of a table with filing keys.
+SKETCHES = TableSpec(
+    schema=T.StructType()
+    .add("folder", T.StringType())
+    .add("rows", T.LongType())
+    .add("ciks", T.BinaryType())
+    .add("filings", T.BinaryType()),
+    required=("folder", "rows"),
+)
+
+#: Words of the filter of each load's filings that have bits set.
+KEY_FILTERS = TableSpec(
+    schema=T.StructType()
+    .add("folder", T.StringType())
+    .add("word", T.IntegerType())
+    .add("bits", T.LongType()),
+    required=("folder", "word", "bits"),
+)

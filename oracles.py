@@ -573,6 +573,13 @@ ORACLES: dict[str, str] = {
             AS place,
           CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text
         FROM documents""",
+    "sketched_stats": f"""WITH {INDEX},
+        loaded AS (SELECT * FROM (VALUES (1, 'O'), (2, 'F'), (3, 'P')) v(first, tag)),
+        versions AS (SELECT unnest([1, 2, 3]) AS version)
+        SELECT CAST(version AS INTEGER) AS version, count(tag) AS total, true AS cik_near,
+          true AS filings_near
+        FROM versions LEFT JOIN (SELECT * FROM idx JOIN loaded USING (tag)) ON version >= first
+        GROUP BY 1""",
     "pages_by_key": """
         WITH named AS (
           SELECT max(l_partkey) AS page_id FROM lineitem WHERE l_returnflag = 'A'
@@ -612,6 +619,8 @@ ORACLES: dict[str, str] = {
             || len(string_split(text, ' ')) - 1 AS embedding
         FROM documents""",
 }
+ORACLES["skip_by_key_filter"] = ORACLES["skip_processed_anti_join"]
+ORACLES["pivot_topk"] = ORACLES["vector_topk"]
 ORACLES["recorded_answers"] = f"""
     SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({ORACLES["cascade_result"]})"""
 ORACLES["export_limited"] = (
