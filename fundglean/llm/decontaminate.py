@@ -7,23 +7,24 @@ the masks somewhere, so no such overlap is missed. Hash hits are joined, and aro
 each hit the words of both sides are compared without gaps: 13 neighbouring words
 with at least 0.8 of them equal make the document contaminated. Items of 8 to 12
 words must occur whole, with at least 0.8 of their words equal; their masks leave out
-every choice of so many words, by blocks, so no such overlap is missed either. Shorter
-ones prove nothing and are left out: ``item_status`` names them, and a warning says how
-many there are.
+every choice of so many words, by blocks, so no such overlap is missed either. Items of
+one to 7 words must occur unchanged; one mask looks at all their words. ``item_status``
+says how each item is looked for.
 
-A filter of fixed size (2**24 bits) over the benchmark's hashes keeps hits out of
+Hits of one text that agree in their hash and in all words that are compared are one
+hit, so a text of one repeated word has a few. A filter of fixed size (2**24 bits) over the benchmark's hashes keeps hits out of
 the shuffle that cannot join; a large benchmark fills it and only lets more pass.
 
 Edge cases: null or empty texts neither contaminate nor are contaminated; repeated
-rows are judged alike; an item with a null id counts, though lists cannot show it;
-an empty table on either side gives no contamination. Only ``doc_id``, ``item_id``
+rows are judged alike; ids may be of any type; an item with a null id counts, though lists
+cannot show it; an item without words is not looked for; an empty table on either side
+gives no contamination. Only ``doc_id``, ``item_id``
 and ``text`` are read.
 """
 
 from __future__ import annotations
 
 import itertools
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,12 +52,12 @@ def codes_of(raw: bytes | None) -> np.ndarray:
 
 
 def enough(size: int) -> int:
-    """How many of an item's neighbouring words must be equal: 0.8, rounded up."""
-    return -(-4 * min(size, WINDOW) // 5)
+    """How many of an item's neighbouring words must be equal: 0.8, rounded up, or all of a few."""
+    return size if size < SPAN else -(-4 * min(size, WINDOW) // 5)
 
 
 def short_masks(size: int) -> list[list[int]]:
-    """Word offsets that each mask of an item of 8 to 12 words looks at.
+    """Word offsets that each mask of an item of up to 12 words looks at.
 
     Each leaves out as many blocks of neighbouring words as words may differ, so that
     wherever these are, one mask does not look at them.
@@ -93,26 +94,53 @@ def context(codes: np.ndarray, at: np.ndarray, outside: int) -> np.ndarray:
     return padded[at[:, None] + np.arange(CONTEXT)]
 
 
-def hit_batch(ids: list, keys: list, kinds: list, hashes: list, at: list, around: list) -> pa.RecordBatch:
-    flat = np.concatenate(around).reshape(-1) if around else np.zeros(0, np.uint64)
-    sizes = [len(x) for x in at]
-    n = sum(sizes)
-    offsets = np.arange(n + 1, dtype=np.int32) * CONTEXT
-    joined = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([i for i, k in zip(ids, sizes, strict=True) for _ in range(k)], pa.int64()),
-            pa.array([i for i, k in zip(keys, sizes, strict=True) for _ in range(k)], pa.binary()),
-            pa.array(np.repeat(np.array(kinds, np.int32), sizes) if n else np.zeros(0, np.int32)),
-            pa.array(joined(hashes, np.uint64).view(np.int64)),
-            pa.array(joined(at, np.int64)),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
-        ],
-        ["id", "row_key", "kind", "hash", "at", "around"],
-    )
+WEIGHTS = np.array([2 * i + 1 for i in range(CONTEXT)], np.uint64) * np.uint64(0xD1342543DE82EF95)
+
+
+def told_apart(hashes: np.ndarray, around: np.ndarray, kind: int) -> np.ndarray:
+    """Places of hits without those that would be compared just like one before."""
+    compared = slice(0, CONTEXT) if kind < 2 else slice(LEAD, LEAD + kind // 16)
+    total = (around[:, compared] * WEIGHTS[compared]).sum(axis=1, dtype=np.uint64)
+    return np.sort(np.unique(mixed(total) + hashes, return_index=True)[1])
+
+
+class Hits:
+    """Hits of several texts, each named by a value, as Arrow columns."""
+
+    def __init__(self, name: str, kind: pa.DataType) -> None:
+        self._name, self._type = name, kind
+        self._values: list = []
+        self._found: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, value: object, kind: int, hashes: np.ndarray, at: np.ndarray, around: np.ndarray) -> None:
+        own = told_apart(hashes, around, kind)
+        self._values.append(value)
+        self._found.append((kind, hashes[own], at[own], around[own]))
+        self.size += len(own)
+
+    def batch(self) -> pa.RecordBatch:
+        sizes = [len(f[2]) for f in self._found]
+        kinds, hashes, at, around = zip(*self._found, strict=True) if self._found else ((), (), (), ())
 
+        def joined(parts: tuple, kind: type) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *[p.astype(kind) for p in parts]])
 
-HIT_SCHEMA = "id long, row_key binary, kind int, hash long, at long, around array<long>"
+        flat = joined(tuple(x.reshape(-1) for x in around), np.uint64).view(np.int64)
+        offsets = np.arange(sum(sizes) + 1, dtype=np.int32) * CONTEXT
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([v for v, n in zip(self._values, sizes, strict=True) for _ in range(n)], self._type),
+                pa.array(np.repeat(np.array(kinds, np.int32), sizes) if sizes else np.zeros(0, np.int32)),
+                pa.array(joined(hashes, np.uint64).view(np.int64)),
+                pa.array(joined(at, np.int64)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+            ],
+            [self._name, "kind", "hash", "at", "around"],
+        )
+
+
+HIT_SCHEMA = "kind int, hash long, at long, around array<long>"
 
 
 def item_seeds(benchmark: DataFrame) -> DataFrame:
@@ -120,28 +148,26 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: tuple[list, ...] = ([], [], [], [], [], [])
-            for item, key, raw in zip(*(column(batch, i) for i in range(3)), strict=True):
+            found = Hits("item_id", batch.column(0).type)
+            for item, raw in zip(batch.column(0).to_pylist(), column(batch, 1), strict=True):
                 codes = codes_of(raw)
-                if len(codes) < SPAN:
+                if len(codes) == 0:
                     continue
                 for kind in (0, 1) if len(codes) >= WINDOW else short_kinds(len(codes)):
                     hashes = seed_hashes(codes, kind)
                     at = np.arange(len(hashes))
-                    for x, v in zip(
-                        found, (item, key, kind, hashes, at, context(codes, at, 1)), strict=True
-                    ):
-                        x.append(v)
-            yield hit_batch(*found)
-
-    rows = benchmark.select(
-        F.col("item_id").cast("long"), row_key("item_id", "text"), F.col("text")
-    )
-    return rows.mapInArrow(seeds, HIT_SCHEMA)
+                    found.add(item, kind, hashes, at, context(codes, at, 1))
+            yield found.batch()
+
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    return benchmark.select("item_id", "text").mapInArrow(seeds, f"item_id {kind}, {HIT_SCHEMA}")
 
 
 def item_status(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, ``n_words`` and ``status``: ``windows``, ``whole`` or ``too short`` to look for."""
+    """``item_id``, ``n_words`` and ``status``: looked for by ``windows``, ``whole``, or ``unchanged``.
+
+    Items without words are ``empty``, and not looked for.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,10 +176,13 @@ def item_status(benchmark: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(sizes, pa.int32())], ["item_id", "n_words"]
             )
 
-    rows = benchmark.select(F.col("item_id").cast("long"), "text")
     n = F.col("n_words")
-    status = F.when(n < SPAN, "too short").when(n < WINDOW, "whole").otherwise("windows")
-    return rows.mapInArrow(counted, "item_id long, n_words int").withColumn("status", status)
+    status = (
+        F.when(n == 0, "empty").when(n < SPAN, "unchanged").when(n < WINDOW, "whole").otherwise("windows")
+    )
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    rows = benchmark.select("item_id", "text").mapInArrow(counted, f"item_id {kind}, n_words int")
+    return rows.withColumn("status", status)
 
 
 def filter_of(seeds: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -176,8 +205,8 @@ def document_hits(docs: DataFrame, words: np.ndarray, kinds: list[int]) -> DataF
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: tuple[list, ...] = ([], [], [], [], [], [])
-            for doc, key, raw in zip(*(column(batch, i) for i in range(3)), strict=True):
+            found = Hits("row_key", pa.binary())
+            for key, raw in zip(column(batch, 0), column(batch, 1), strict=True):
                 codes = codes_of(raw)
                 for kind in kinds:
                     hashes = seed_hashes(codes, kind)
@@ -185,29 +214,23 @@ def document_hits(docs: DataFrame, words: np.ndarray, kinds: list[int]) -> DataF
                     on = words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))
                     at = np.flatnonzero(on & np.uint64(1))
                     if len(at):
-                        values = (doc, key, kind, hashes[at], at, context(codes, at, 0))
-                        for x, v in zip(found, values, strict=True):
-                            x.append(v)
-                if sum(map(len, found[4])) > 20_000:
-                    yield hit_batch(*found)
-                    found = ([], [], [], [], [], [])
-            yield hit_batch(*found)
+                        found.add(key, kind, hashes[at], at, context(codes, at, 0))
+                if found.size > 20_000:
+                    yield found.batch()
+                    found = Hits("row_key", pa.binary())
+            yield found.batch()
 
-    return docs.select(
-        F.col("doc_id").cast("long"), row_key("doc_id", "text"), F.col("text")
-    ).mapInArrow(hits, HIT_SCHEMA)
+    rows = docs.select(row_key("doc_id", "text").alias("row_key"), F.col("text"))
+    return rows.mapInArrow(hits, f"row_key binary, {HIT_SCHEMA}")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Verified hits: ``row_key`` of the document, ``item_id``, positions, equal words."""
     seeds = item_seeds(benchmark)
-    short = item_status(benchmark).where("status = 'too short'").count()
-    if short:
-        warnings.warn(f"{short} benchmark items have fewer than {SPAN} words and are not looked for")
     words, kinds = filter_of(seeds)
     d = document_hits(docs, words, kinds)
     b = seeds.select(
-        F.col("id").alias("item_id"), "kind", "hash", F.col("at").alias("item_at"),
+        "item_id", "kind", "hash", F.col("at").alias("item_at"),
         F.col("around").alias("item_around"),
     )
     same = F.zip_with("around", "item_around", lambda x, y: (x == y).cast("int"))
@@ -217,7 +240,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     size = F.shiftright("kind", 4)
     whole = F.expr(count.format(first=LEAD + 1, n="shiftright(kind, 4)"))
     equal = F.when(F.col("kind") < 2, best).otherwise(whole)
-    needed = F.when(F.col("kind") < 2, ENOUGH).otherwise(F.ceil(4 * size / 5))
+    needed = F.when(F.col("kind") < 2, ENOUGH).when(size < SPAN, size).otherwise(F.ceil(4 * size / 5))
     return (
         joined.withColumn("equal", equal)
         .where(F.col("equal") >= needed)
@@ -239,12 +262,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``contaminated``, ``n_hits`` and ``item_ids`` for every document."""
     found = contaminated(docs, benchmark)
+    ids = found.schema["item_ids"].dataType.simpleString()
     keyed = docs.select("doc_id", row_key("doc_id", "text").alias("row_key"))
     return keyed.join(found, "row_key", "left").select(
         "doc_id",
         F.col("n_hits").isNotNull().alias("contaminated"),
         F.coalesce("n_hits", F.lit(0)).cast("long").alias("n_hits"),
-        F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
+        F.coalesce("item_ids", F.array().cast(ids)).alias("item_ids"),
     )
 
 

@@ -20,9 +20,9 @@ def plain(text, items):
     for item, other in items:
         b = [w.strip(dec.PUNCTUATION.decode()) for w in (other or "").lower().split()]
         size = min(13, len(b))
-        if size < 8:
+        if size == 0:
             continue
-        need = math.ceil(0.8 * size)
+        need = math.ceil(0.8 * size) if size >= 8 else size
         for i, j in itertools.product(range(len(codes) - size + 1), range(len(b) - size + 1)):
             if sum(x == y for x, y in zip(codes[i : i + size], b[j : j + size], strict=True)) >= need:
                 found.add(item)
@@ -79,11 +79,11 @@ def test_edge_cases(odd):
     docs, items = odd
     got = dec.contamination(docs, items).collect()
     assert sorted((r["doc_id"] or 0, r["contaminated"]) for r in got) == [
-        (0, True), (1, False), (2, False), (3, True), (3, True), (4, True), (5, False)
+        (0, True), (1, False), (2, False), (3, True), (3, True), (4, True), (5, True)
     ]
-    assert {tuple(r["item_ids"]) for r in got if r["contaminated"]} == {(7,)}
+    assert {tuple(r["item_ids"]) for r in got if r["contaminated"]} == {(7,), (9,)}
     kept = dec.decontaminate(docs, items)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5]
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
     assert dec.contamination(docs.limit(0), items).collect() == []
     assert not any(r["contaminated"] for r in dec.contamination(docs, items.limit(0)).collect())
 

@@ -15,7 +15,7 @@ def test_short_masks_miss_no_substitutions(size):
 
 def test_short_items_with_replaced_words(spark):
     rng = random.Random(4)
-    items = [(n, [f"i{n}w{k}" for k in range(n)]) for n in (3, 7, *range(8, 13))]
+    items = [(n, [f"i{n}w{k}" for k in range(n)]) for n in range(1, 13)]
     docs, want = [], {}
     for n, words in items:
         for changed in range(5):
@@ -24,10 +24,28 @@ def test_short_items_with_replaced_words(spark):
                 piece[k] = "other"
             doc = n * 10 + changed
             docs.append((doc, " ".join(["before", *piece, "after"])))
-            want[doc] = [n] if n >= 8 and n - changed >= 0.8 * n else []
-    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
-    with pytest.warns(UserWarning, match="2 benchmark items"):
-        got = dec.contamination(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+            want[doc] = [n] if n - changed >= (0.8 * n if n >= 8 else n) else []
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items] + [(99, " ")], "item_id long, text string")
+    got = dec.contamination(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
     assert {r["doc_id"]: r["item_ids"] for r in got} == want
     status = {r["item_id"]: r["status"] for r in dec.item_status(benchmark).collect()}
-    assert status == {3: "too short", 7: "too short"} | {n: "whole" for n in range(8, 13)}
+    assert status == {n: "unchanged" for n in range(1, 8)} | {n: "whole" for n in range(8, 13)} | {99: "empty"}
+
+
+def test_ids_of_any_type(spark):
+    said = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([("d1", said), ("d2", "nothing here"), (None, "a b")], "doc_id string, text string")
+    items = spark.createDataFrame([("i1", said), ("i2", "a b")], "item_id string, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in dec.contamination(docs, items).collect()}
+    assert got == {"d1": ["i1"], "d2": [], None: ["i2"]}
+    assert [r["doc_id"] for r in dec.decontaminate(docs, items).collect()] == ["d2"]
+
+
+def test_repeated_words_make_few_hits(spark):
+    """An item and a document of one word: what is compared alike is one hit."""
+    docs = spark.createDataFrame([(1, "a " * 20_000), (2, "b a")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a " * 500), (2, "a a a"), (3, "b")], "item_id long, text string")
+    found = dec.overlaps(docs, items)
+    assert found.count() < 2 * 40 * 40
+    got = {r["doc_id"]: r["item_ids"] for r in dec.contamination(docs, items).collect()}
+    assert got == {1: [1, 2], 2: [3]}
