@@ -94,17 +94,38 @@ def chain_holds(differing: np.ndarray, start: int, max_bits: int) -> np.ndarray:
     return (np.cumsum(ring, axis=1, dtype=np.uint8) <= budget).all(axis=1)
 
 
+def survivors(differing: np.ndarray, start: int, max_bits: int) -> np.ndarray:
+    """Which of the pairs, given by their differing bits, keep the chain's budgets.
+
+    The ring is turned to the chain's start; segment by segment, pairs over the budget so
+    far go, and only the rest is looked at further. The last budget, the full distance,
+    is left to the check that follows.
+    """
+    turn = np.uint64(8 * start)
+    ring = differing if start == 0 else (differing >> turn) | (differing << (np.uint64(64) - turn))
+    alive = np.arange(len(ring))
+    spent = np.zeros(len(ring), np.uint8)
+    for i in range(SEGMENTS - 1):
+        spent += np.bitwise_count((ring[alive] >> np.uint64(8 * i)).astype(np.uint8))
+        kept = spent <= (i + 1) * max_bits // SEGMENTS
+        if not kept.all():
+            alive, spent = alive[kept], spent[kept]
+    return alive
+
+
 def forest(members: np.ndarray, start: int, max_bits: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of the members of one bucket that link in this chain."""
     n = len(members)
     tree = np.arange(n)
     links = []
     rows = max(1, BLOCK // n)
+    values = members.view(np.uint64)
     for first in range(0, n, rows):
-        block = members[first : first + rows]
-        differing = np.bitwise_count(segments((block[:, None] ^ members[None, :]).reshape(-1)))
-        near = differing.sum(axis=1, dtype=np.uint8) <= max_bits
-        near[near] = chain_holds(differing[near], start, max_bits)
+        block = values[first : first + rows]
+        differing = (block[:, None] ^ values[None, :]).reshape(-1)
+        near = np.zeros(len(differing), bool)
+        candidates = survivors(differing, start, max_bits)
+        near[candidates] = np.bitwise_count(differing[candidates]) <= max_bits
         for i, row in enumerate(near.reshape(-1, n), first):
             others = i + 1 + np.flatnonzero(row[i + 1 :])
             others = others[tree[others] != tree[i]]

@@ -136,3 +136,20 @@ def test_one_of_each(spark):
     twice = spark.createDataFrame([ROWS[2]] * 3, SCHEMA)
     assert simhash.one_of_each(twice).count() == 1
     assert simhash.one_of_each(df.limit(0)).count() == 0
+
+
+def test_chains_prune_before_the_full_check():
+    """Pairs of a bucket (two equal segments, and two of the next three): few are checked whole."""
+    rng = np.random.default_rng(5)
+    for start in range(8):
+        far = rng.integers(0, 2**64, 20_000, dtype=np.uint64) & rng.integers(0, 2**64, 20_000, dtype=np.uint64)
+        ring = far & ~np.uint64(0xFFFFFFFF)  # segments 0 to 3 of the chain are equal
+        near = np.uint64(1) << rng.integers(32, 64, 50).astype(np.uint64)
+        ring = np.concatenate([ring, near])
+        turn = np.uint64(8 * start)
+        differing = ring if start == 0 else (ring << turn) | (ring >> (np.uint64(64) - turn))
+        checked = simhash.survivors(differing, start, 3)
+        assert len(checked) < 0.2 * len(differing)
+        holds = simhash.chain_holds(np.bitwise_count(simhash.segments(differing)), start, 3)
+        whole = checked[np.bitwise_count(differing[checked]) <= 3]
+        assert whole.tolist() == np.flatnonzero(holds).tolist()
