@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Strings that common chat templates read as control strings.
@@ -125,6 +126,9 @@ def digests(rendered: DataFrame) -> DataFrame:
     are held. A digest is sequential, so this step cannot split a conversation.
     """
 
+    kind_of_id = rendered.schema["conv_id"].dataType
+    arrow_id = to_arrow_type(kind_of_id)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
         now: object = read  # no conversation yet
@@ -138,7 +142,7 @@ def digests(rendered: DataFrame) -> DataFrame:
 
         def batch_of() -> pa.RecordBatch:
             values = list(zip(*done, strict=True)) if done else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            kinds = (arrow_id, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, kind) for v, kind in zip(values, kinds, strict=True)], list(names)
             )
@@ -163,8 +167,8 @@ def digests(rendered: DataFrame) -> DataFrame:
         yield batch_of()
 
     schema = (
-        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-        "formatted_chars long"
+        f"conv_id {kind_of_id.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, "
+        "loss_sha256 string, formatted_chars long"
     )
     return (
         rendered.repartition("conv_id")

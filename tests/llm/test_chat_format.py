@@ -76,3 +76,11 @@ def test_loss_spans(spark):
         for r in chat.format_conversations(df).orderBy("message").collect()
     ]
     assert spans == ["", "a</s>é"]
+
+
+def test_text_ids(spark):
+    rows = [("a", 1, "user", "hi"), ("a", 2, "assistant", "</s> yes"), (None, 1, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat.digests(chat.format_conversations(df)).collect()}
+    assert got == {"a": (2, 8), None: (1, 0)}
+    assert chat.digests(chat.format_conversations(df.limit(0))).collect() == []
