@@ -1,10 +1,12 @@
 """Personal data spans: base patterns, and weak supervision that adds spans.
 
 Base spans of four kinds (email, ip, card, phone) follow fixed patterns and checks.
-More candidates come from looser patterns: e-mail addresses spelled out and national
-phone numbers. Four labelers vote on every candidate, base or not: the strict
-pattern with its checksum, a gazetteer (domain endings, card prefixes, country codes,
-address ranges), words of the context, and the span's borders. Expectation
+More candidates come from looser patterns: e-mail addresses spelled out, national
+phone numbers, and secrets, long runs of letters and digits. Four labelers vote on every
+candidate, base or not: the strict pattern with its checksum (for secrets: forms of
+well-known keys and digests), a gazetteer (domain endings, card prefixes, country codes,
+address ranges; for secrets: how many different characters there are), words of the
+context, and the span's borders. Expectation
 maximisation over the counts of vote patterns (81 at most for a kind) estimates how
 reliable each labeler is, and the probability of each pattern. These probabilities
 weigh the training of a naive Bayes span classifier over hashed shape and context
@@ -26,6 +28,7 @@ from fundglean.functions.binding import let
 from fundglean.llm.common import checkpoint, row_key
 
 KINDS = ("email", "ip", "card", "phone")
+ADDED_KINDS = ("secret",)
 #: The base patterns. Possessive repeats match the same texts and do not
 #: retry; \G and the look-behind keep a failed start from being tried at each later
 #: place of the same run of characters.
@@ -42,6 +45,10 @@ SPELLED_EMAIL = (
 NATIONAL_PHONE = (
     r"(?<![0-9A-Za-z+.()-])(?<![0-9)] )\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])"
 )
+_RUN = r"[A-Za-z0-9+/_=-]"
+SECRET = (
+    rf"(?<!{_RUN})(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z]){_RUN}{{20,200}}+(?!{_RUN})"
+)
 #: (kind, pattern, what a text must contain to be searched, whether it is a base pattern)
 SEARCHES = (
     ("email", EMAIL, r"@", True),
@@ -50,11 +57,17 @@ SEARCHES = (
     ("phone", PHONE, r"\+[0-9]", True),
     ("email", SPELLED_EMAIL, r"(?:\[at\]|\(at\)| at ).{1,80}(?:\[dot\]|\(dot\)| dot )", False),
     ("phone", NATIONAL_PHONE, r"[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", False),
+    ("secret", SECRET, SECRET, False),
 )
 #: Gazetteers.
 ENDINGS = "com|net|org|edu|gov|info|io|co|de|fr|es|it|uk|eu|us|nl|ch|at|be|pl|pt|se|br|jp|cn|in|ru"
 CARD_PREFIX = r"^(?:4|5[1-5]|2[2-7]|3[47]|35|6011|65)"
 COUNTRY = r"^(?:1|7|20|27|3[0-469]|4[0134-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+KEY_FORM = (
+    r"^(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{30,}|"
+    r"sk[-_]\w[\w-]{18,}|xox[abprs]-[\w-]{15,}|eyJ[\w-]+)$"
+)
+MANY_CHARACTERS = 12
 #: Context words.
 CUES = (
     r"(?i)\b(?:e-?mail|mail|contact|write|phone|tel|telephone|call|fax|mobile|cell|ip|address|host|"
@@ -64,6 +77,9 @@ OTHER_CUES = (
     r"(?i)\b(?:version|release|build|order|invoice|isbn|issn|token|serial|ticket|page|section|"
     r"figure|chapter)\W*(?:\w+\W+){0,1}$"
 )
+SECRET_CUES = (
+    r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|key|auth|bearer|credential)s?\W*(?:\w+\W+){0,1}$"
+)
 LABELERS = 4
 ROUNDS = 25
 BUCKETS = 4096
@@ -165,15 +181,29 @@ def votes() -> Column:
         F.array(*[F.lit(i) for i, s in enumerate(SEARCHES) if s[3]]), F.col("search")
     )
     kind, number, match = F.col("kind"), digits(F.col("match")), F.col("match")
-    pattern = F.when(F.col("base"), 2).when(strict, 0).otherwise(1)
+    secret = kind == "secret"
+    pattern = (
+        F.when(secret, F.when(match.rlike(KEY_FORM), 2).otherwise(1))
+        .when(F.col("base"), 2)
+        .when(strict, 0)
+        .otherwise(1)
+    )
+    characters = F.size(F.array_distinct(F.split(match, "")))
+    mixed = (F.length(number) >= 4) & (characters >= MANY_CHARACTERS)
     first = F.regexp_extract(match, "^([0-9]{1,3})", 1).try_cast("int")
     gazetteer = (
-        F.when(kind == "email", F.when(match.rlike(rf"(?i)\W(?:{ENDINGS})$"), 2).otherwise(1))
+        F.when(secret, F.when(mixed, 2).otherwise(0))
+        .when(kind == "email", F.when(match.rlike(rf"(?i)\W(?:{ENDINGS})$"), 2).otherwise(1))
         .when(kind == "ip", F.when(first.between(1, 223), 2).otherwise(0))
         .when(kind == "card", F.when(number.rlike(CARD_PREFIX), 2).otherwise(0))
         .otherwise(F.when(F.length(number) == 10, 2).when(number.rlike(COUNTRY), 2).otherwise(0))
     )
-    cue = F.when(F.col("before").rlike(CUES), 2).when(F.col("before").rlike(OTHER_CUES), 0).otherwise(1)
+    cue = (
+        F.when(secret, F.when(F.col("before").rlike(SECRET_CUES), 2).otherwise(0))
+        .when(F.col("before").rlike(CUES), 2)
+        .when(F.col("before").rlike(OTHER_CUES), 0)
+        .otherwise(1)
+    )
     joined = F.col("before").rlike(r"[A-Za-z0-9_/=#-]$") | F.col("after").rlike(r"^[A-Za-z0-9_/=#-]")
     return F.array(pattern, gazetteer, cue, F.when(joined, 0).otherwise(2))
 
@@ -317,7 +347,7 @@ def spans(docs: DataFrame) -> DataFrame:
 
 def listed(which: Column) -> Column:
     """Spans as ``kind:start:end``, sorted by start, kind and end."""
-    number = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
+    number = F.array_position(F.array(*[F.lit(k) for k in (*KINDS, *ADDED_KINDS)]), F.col("kind"))
     item = F.struct("start", number.alias("number"), "end", "kind")
     ordered = F.sort_array(F.collect_list(F.when(which, item)))
     return F.array_join(
@@ -333,6 +363,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
         listed(F.col("base")).alias("base"),
         listed(F.lit(True)).alias("spans"),
         F.count_if(~F.col("base")).alias("n_added"),
+        *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in ADDED_KINDS],
     )
     keyed = docs.select("doc_id", row_key("doc_id", "text").alias("key"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
@@ -342,4 +373,5 @@ def personal_data(docs: DataFrame) -> DataFrame:
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
         zero("n_added"),
+        *[zero(f"n_{k}") for k in ADDED_KINDS],
     )

@@ -103,3 +103,65 @@ def test_reliabilities_against_plain_em(spark):
         q = [1 / (1 + exp(-(odds + sum(log(rate[0][j][v] / rate[1][j][v]) for j, v in enumerate(votes))))) for votes, _ in patterns]
     assert all(abs(a - b) < 1e-9 for a, b in zip(got, q, strict=True))
     assert got[0] > 0.9 > 0.1 > got[3]
+
+
+def plain_odds(rows):
+    """Log odds of a naive Bayes classifier over (features, chance) of one kind's candidates."""
+    from math import log
+
+    yes, no = sum(q for _, q in rows), sum(1 - q for _, q in rows)
+    size = pii.BUCKETS / 100
+    out = []
+    for own, _ in rows:
+        odds = log((yes + 1) / (no + 1))
+        for f in own:
+            a = sum(q * fs.count(f) for fs, q in rows)
+            b = sum((1 - q) * fs.count(f) for fs, q in rows)
+            odds += log((a + 0.01) / (yes + size) / ((b + 0.01) / (no + size)))
+        out.append(odds)
+    return out
+
+
+def hex_token(rng, n=40):
+    return "".join(rng.choices("0123456789abcdef", k=n))
+
+
+def test_secrets_are_found(spark):
+    rng = random.Random(9)
+    rows = [(i, f'some words token = "{hex_token(rng)}" and others') for i in range(40)]
+    rows += [(100 + i, f"password: {hex_token(rng, 24)}Zq9 rest") for i in range(15)]
+    rows += [(200 + i, f"a long unhappilyverylongwordindeed and file-of-year-2024-{i}-aaaaaaaaaa here") for i in range(40)]
+    rows += [(300 + i, f"number {10**24 + i} or a1a1a1a1a1a1a1a1a1a1a1a1 stands") for i in range(20)]
+    rows += [(400, "x" * 30_000 + "1"), (401, "a1" * 20_000), (402, None)]
+    got = check(spark, rows)
+    assert sum(got[i]["n_secret"] == 1 for i in range(40)) >= 36
+    assert sum(got[100 + i]["n_secret"] for i in range(15)) >= 10
+    assert all(got[i]["n_secret"] == 0 for i in [*range(200, 240), *range(300, 320), 400, 401, 402])
+    start = rows[0][1].index('"') + 1
+    assert got[0]["spans"] == f"secret:{start}:{start + 40}"
+
+
+def test_classifier_against_plain_python(spark):
+    rng = random.Random(3)
+    rows = [(i, f'token = "{hex_token(rng)}" end') for i in range(12)]
+    rows += [(50 + i, f"see {hex_token(rng, 30)} or call 415-555-{1000 + i} now") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    voted = pii.candidates(df).withColumn("votes", pii.votes())
+    got = pii.classified(voted).select("kind", "chance", "odds", pii.features().alias("f")).collect()
+    for kind in {r["kind"] for r in got}:
+        own = [r for r in got if r["kind"] == kind]
+        want = plain_odds([(list(r["f"]), r["chance"]) for r in own])
+        assert all(abs(a["odds"] - b) < 1e-6 for a, b in zip(own, want, strict=True))
+
+
+def test_planted_secrets_of_the_given_tables(spark):
+    import os
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        return
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    planted = {r["doc_id"] for r in docs.collect() if re.search(r'token = "[0-9a-f]{40}"', r["text"] or "")}
+    got = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    assert planted and sum(got[i]["n_secret"] > 0 for i in planted) > 0.9 * len(planted)
+    assert sum(r["n_secret"] > 0 for i, r in got.items() if i not in planted) <= 2
