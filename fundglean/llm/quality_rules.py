@@ -2,9 +2,15 @@
 
 Every line with a word gets a label, content or boilerplate, by Viterbi decoding
 of a linear-chain conditional random field over the document's lines. The field
-is trained here, on documents whose quality label is taken for each of their
-lines. A document is kept if it passes the base rules and at least half of its
-words stand in content lines.
+is trained here, on labelled documents with partial labels of their lines. Lines of good
+documents are content, their repeated lines may be either. In bad documents lines of a
+junk form (symbols, shouting, few different words, digits) are boilerplate, lines that
+also stand in a good document are content, and beside lines of a junk form the others
+may be either; without any, they are boilerplate. What may be either is
+latent: the fit raises the chance of all labellings that agree with what is known, by the
+difference of the expected counts of forward and backward messages with and without it.
+A document is kept if it passes the base rules and at least half of its words stand
+in content lines.
 
 Edge cases: a null or empty text has no words and fails the base rules; repeated
 rows are judged alike; without labelled documents the field has zero weights and
@@ -14,6 +20,7 @@ are read, so other columns may have any names.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +34,12 @@ UPPER = bytes(range(65, 91))
 LETTERS = UPPER + bytes(range(97, 123)) + bytes(range(128, 256))
 DIGITS = b"0123456789"
 FEATURES = 9
+#: What makes a line's form junk: symbols a word, repeated words, exclamation marks, digits.
+JUNK = ((1, 0.25), (3, 0.5), (4, 0.5), (5, 0.5))
 #: Bounds of the training sample; they bound the fit alone.
 MAX_LABELLED = 2000
 MAX_LINES = 400
+BARRED = -1e6  # score of a label that a known one excludes
 SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, n_lines long, content_share double, kept boolean"
@@ -68,6 +78,20 @@ def line_features(line: bytes, words: list[bytes], copied: bool) -> tuple[float,
     )
 
 
+def junk(features: np.ndarray) -> np.ndarray:
+    """Lines that are boilerplate by their form alone."""
+    columns, least = zip(*JUNK, strict=True)
+    return (features[:, columns] >= np.array(least)).any(axis=1)
+
+
+def line_labels(good: bool, features: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """1 for content, 0 for boilerplate, -1 for either; ``known`` marks lines of good documents."""
+    if good:
+        return np.where(features[:, 7] > 0, -1, 1)
+    bad = junk(features)
+    return np.where(bad, 0, np.where(known, 1, -1 if bad.any() else 0))
+
+
 def parsed(raw: bytes | None) -> tuple[list[bytes], list[tuple[float, ...]], list[int], int]:
     """Words, features and word counts of the lines that have a word, copies of lines."""
     words: list[bytes] = []
@@ -166,7 +190,7 @@ def verdicts(
 
 
 def sample(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> list[tuple]:
-    """At most ``bound`` labelled documents as (label, feature rows), by hash of the id."""
+    """At most ``bound`` labelled documents as (labels, feature rows) of lines, by hash of the id."""
     drawn = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id")
@@ -176,27 +200,40 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> lis
     )
     limit = MAX_LINES
 
-    @F.pandas_udf("array<double>")
-    def flat(raw: pd.Series) -> pd.Series:
-        return pd.Series([[v for f in parsed(x)[1][:limit] for v in f] for x in raw])
+    @F.pandas_udf("lines array<bigint>, features array<double>")
+    def flat(raw: pd.Series) -> pd.DataFrame:
+        lines, features = [], []
+        for x in raw:
+            own = [line for line in (x or b"").split(b"\n") if line.split()]
+            lines.append([zlib.crc32(line) << 31 | zlib.adler32(line) >> 1 for line in own[:limit]])
+            features.append([v for f in parsed(x)[1][:limit] for v in f])
+        return pd.DataFrame({"lines": lines, "features": features})
 
     rows = (
         docs.select("doc_id", F.col("text").cast("binary").alias("_raw"))
         .join(F.broadcast(drawn), "doc_id")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "_raw")
         .limit(bound)
-        .select("_label", flat("_raw").alias("_features"))
+        .select("_label", flat("_raw").alias("_f"))
+        .select("_label", "_f.lines", "_f.features")
         .collect()
     )
-    return [
-        (int(r[0] > 0), np.array(r[1]).reshape(-1, FEATURES)) for r in rows if len(r[1])
-    ]
+    of_good = {line for label, lines, _ in rows if label > 0 for line in lines}
+    out = []
+    for label, lines, features in rows:
+        if features:
+            x = np.array(features).reshape(-1, FEATURES)
+            known = np.array([line in of_good for line in lines], bool)
+            out.append((line_labels(label > 0, x, known), x))
+    return out
 
 
 def fit(sampled: list[tuple], steps: int = 150, rate: float = 0.1, ridge: float = 1e-3) -> LineField:
-    """Maximise the conditional likelihood of the lines' labels by gradient steps.
+    """Maximise the likelihood of the known labels, all others summed out, by gradient steps.
 
-    Forward and backward messages run over all documents of the sample at once.
+    ``sampled`` has the lines' labels (one label stands for all), -1 where either may be,
+    and their features. Forward and backward messages run over all documents of the
+    sample at once, for all labellings and for those that agree with the known labels.
     """
     if not sampled:
         return LineField.blank()
@@ -204,45 +241,25 @@ def fit(sampled: list[tuple], steps: int = 150, rate: float = 0.1, ridge: float
     n, longest = len(sampled), max(len(x) for _, x in sampled)
     x = np.zeros((n, longest, FEATURES))
     on = np.zeros((n, longest), bool)
-    y = np.array([label for label, _ in sampled])
-    for i, (_, rows) in enumerate(sampled):
+    barred = np.zeros((2, n, longest, 2))  # all labellings, and those that agree
+    for i, (labels, rows) in enumerate(sampled):
+        own = np.broadcast_to(labels, len(rows))
         x[i, : len(rows)], on[i, : len(rows)] = rows, True
+        for label in (0, 1):
+            barred[1, i, : len(rows), label][own == 1 - label] = BARRED
     lengths = on.sum(1)
     # Documents are sorted by length: those with more than i lines come last.
     longer = np.searchsorted(lengths, np.arange(longest), "right")
     lines, pairs = on.sum(), max(1, (on[:, 1:]).sum())
     w, t = np.zeros(FEATURES), np.zeros((2, 2))
     state = [np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(FEATURES), np.zeros((2, 2))]
-    wanted_pairs = np.zeros((2, 2))
-    for label in (0, 1):
-        wanted_pairs[label, label] = on[y == label, 1:].sum()
     for step in range(1, steps + 1):
-        unary = np.zeros((n, longest, 2))
-        unary[:, :, 1] = x @ w
-        ahead = np.zeros((n, longest, 2))
-        behind = np.zeros((n, longest, 2))
-        ahead[:, 0] = unary[:, 0]
-        for i in range(1, longest):
-            own = slice(longer[i], None)
-            before = ahead[own, i - 1]
-            ahead[own, i] = unary[own, i] + np.logaddexp(before[:, :1] + t[0], before[:, 1:] + t[1])
-        for i in range(longest - 2, -1, -1):
-            own = slice(longer[i + 1], None)
-            after = unary[own, i + 1] + behind[own, i + 1]
-            behind[own, i] = np.logaddexp(after[:, :1] + t[:, 0], after[:, 1:] + t[:, 1])
-        last = ahead[np.arange(n), lengths - 1]
-        total = np.logaddexp(last[:, 0], last[:, 1])
-        content = np.exp(np.minimum(ahead[:, :, 1] + behind[:, :, 1] - total[:, None], 0.0)) * on
-        got_pairs = np.zeros((2, 2))
-        for a in (0, 1):
-            for b in (0, 1):
-                joint = (
-                    ahead[:, :-1, a] + t[a, b] + unary[:, 1:, b] + behind[:, 1:, b] - total[:, None]
-                )
-                got_pairs[a, b] = (np.exp(np.minimum(joint, 0.0)) * on[:, 1:]).sum()
+        unary = barred.copy()
+        unary[..., 1] += x @ w
+        content, joint = expected(unary, t, on, lengths, longer)
         grads = (
-            (((y[:, None] * on) - content)[:, :, None] * x).sum((0, 1)) / lines - ridge * w,
-            (wanted_pairs - got_pairs) / pairs - ridge * t,
+            ((content[1] - content[0])[:, :, None] * x).sum((0, 1)) / lines - ridge * w,
+            (joint[1] - joint[0]) / pairs - ridge * t,
         )
         for j, (value, grad) in enumerate(zip((w, t), grads, strict=True)):
             state[j] = 0.9 * state[j] + 0.1 * grad
@@ -253,6 +270,35 @@ def fit(sampled: list[tuple], steps: int = 150, rate: float = 0.1, ridge: float
     return LineField(w, t)
 
 
+def expected(
+    unary: np.ndarray, t: np.ndarray, on: np.ndarray, lengths: np.ndarray, longer: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Chances of content of each line, and expected counts of pairs of labels.
+
+    For each of the first axis of ``unary`` (scores of both labels by document and line).
+    """
+    ways, n, longest, _ = unary.shape
+    ahead, behind = np.zeros_like(unary), np.zeros_like(unary)
+    ahead[:, :, 0] = unary[:, :, 0]
+    for i in range(1, longest):
+        own = slice(longer[i], None)
+        before = ahead[:, own, i - 1]
+        ahead[:, own, i] = unary[:, own, i] + np.logaddexp(before[..., :1] + t[0], before[..., 1:] + t[1])
+    for i in range(longest - 2, -1, -1):
+        own = slice(longer[i + 1], None)
+        after = unary[:, own, i + 1] + behind[:, own, i + 1]
+        behind[:, own, i] = np.logaddexp(after[..., :1] + t[:, 0], after[..., 1:] + t[:, 1])
+    last = ahead[:, np.arange(n), lengths - 1]
+    total = np.logaddexp(last[..., 0], last[..., 1])[:, :, None]
+    content = np.exp(np.minimum(ahead[..., 1] + behind[..., 1] - total, 0.0)) * on
+    joint = np.zeros((ways, 2, 2))
+    for a in (0, 1):
+        for b in (0, 1):
+            both = ahead[:, :, :-1, a] + t[a, b] + unary[:, :, 1:, b] + behind[:, :, 1:, b] - total
+            joint[:, a, b] = (np.exp(np.minimum(both, 0.0)) * on[:, 1:]).sum((1, 2))
+    return content, joint
+
+
 def quality_rules(docs: DataFrame, field: LineField, share: float = 0.5) -> DataFrame:
     """One row per document: its id, the counts, the content share and the decision."""
     return verdicts(docs.select("doc_id", "text"), field, share).select("doc_id", "verdict.*")

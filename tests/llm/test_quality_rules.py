@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter
@@ -82,5 +83,92 @@ def test_sample_is_bounded_and_repeatable(spark):
     docs = spark.createDataFrame([(i, f"line {i}") for i in range(50)] + [(None, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(1, None)], "doc_id long, quality int")
     one = rules.sample(docs, labels, 10)
-    assert len(one) == 10 and str(one) == str(rules.sample(docs.repartition(3), labels, 10))
+    assert len(one) == 10 and all(len(labels) == len(rows) for labels, rows in one) and str(one) == str(rules.sample(docs.repartition(3), labels, 10))
     assert rules.fit(rules.sample(docs, labels.limit(0))).weights.tolist() == [0] * rules.FEATURES
+
+
+def every_labelling(x, labels, w, t):
+    """Expected counts of content and of pairs by going through all labellings that agree."""
+    n = len(x)
+    total, content, joint = 0.0, np.zeros(n), np.zeros((2, 2))
+    for code in range(1 << n):
+        y = [code >> i & 1 for i in range(n)]
+        if any(k not in (-1, a) for a, k in zip(y, labels, strict=True)):
+            continue
+        weight = np.exp(sum(x[i] @ w for i in range(n) if y[i]) + sum(t[a, b] for a, b in zip(y, y[1:], strict=False)))
+        total += weight
+        content += weight * np.array(y)
+        for a, b in zip(y, y[1:], strict=False):
+            joint[a, b] += weight
+    return content / total, joint / total
+
+
+def test_expected_counts_against_all_labellings():
+    rng = np.random.default_rng(2)
+    w, t = rng.normal(size=rules.FEATURES), rng.normal(size=(2, 2))
+    sampled = [(rng.integers(-1, 2, n), rng.normal(size=(n, rules.FEATURES))) for n in (1, 3, 3, 6)]
+    n, longest = len(sampled), 6
+    unary, on = np.zeros((2, n, longest, 2)), np.zeros((n, longest), bool)
+    for i, (labels, x) in enumerate(sampled):
+        on[i, : len(x)] = True
+        unary[:, i, : len(x), 1] = x @ w
+        for label in (0, 1):
+            unary[1, i, : len(x), label][labels == 1 - label] += rules.BARRED
+    lengths = on.sum(1)
+    longer = np.searchsorted(lengths, np.arange(longest), "right")
+    content, joint = rules.expected(unary, t, on, lengths, longer)
+    for way in (0, 1):
+        pairs = np.zeros((2, 2))
+        for i, (labels, x) in enumerate(sampled):
+            known = labels if way else np.full(len(x), -1)
+            one, both = every_labelling(x, known, w, t)
+            assert np.allclose(content[way, i, : len(x)], one, atol=1e-6)
+            pairs += both
+        assert np.allclose(joint[way], pairs, atol=1e-6)
+
+
+def test_planted_boilerplate_lines_are_found(spark):
+    """Lines are told apart inside a document, from labels of whole documents."""
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("fund", "board", "year", "trust") for b in ("", "s", "ed", "ing")]
+
+    def sentence():
+        return " ".join(rng.choices(words, k=12)).capitalize() + "."
+
+    def junk():
+        return " ".join(w + rng.choice(["###", "***", "&&&"]) for w in rng.choices(words, k=12))
+
+    docs = [(i, "\n".join(sentence() for _ in range(6))) for i in range(60)]
+    # a line that also stands in a good document, another one, and boilerplate
+    shared = [text.split("\n")[0] for _, text in docs]
+    docs += [
+        (100 + i, "\n".join([shared[i], sentence(), *[junk() for _ in range(4)]])) for i in range(30)
+    ]
+    labels = [(i, int(i < 100)) for i, _ in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sampled = rules.sample(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert {-1, 0, 1} <= {v for known, _ in sampled for v in known.tolist()}
+    field = rules.fit(sampled)
+    told = lines = 0
+    for _ in range(40):
+        kinds = [True] * rng.randint(2, 5) + [False] * rng.randint(2, 5) + [True] * rng.randint(0, 3)
+        text = "\n".join(sentence() if k else junk() for k in kinds).encode()
+        words_, features, _, _ = rules.parsed(text)
+        got = rules.viterbi(np.array(features) @ field.weights, field.transition)
+        told += sum(bool(a) == b for a, b in zip(got, kinds, strict=True))
+        lines += len(kinds)
+    assert told > 0.9 * lines
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_lines_differ_inside_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    got = rules.quality_rules(docs, rules.fit(rules.sample(docs, labels))).join(labels, "doc_id").collect()
+    several = [r for r in got if r["n_lines"] > 1]
+    assert sum(0 < r["content_share"] < 1 for r in several) > 0.03 * len(several)
+    kept = {q: [r["kept"] for r in got if r["quality"] == q] for q in (0, 1)}
+    print("kept of good, bad:", np.mean(kept[1]), np.mean(kept[0]))
+    failed = {q: np.mean([r["base_failed"] for r in got if r["quality"] == q]) for q in (0, 1)}
+    print("base failed of good, bad:", failed[1], failed[0])
+    assert np.mean(kept[1]) > 0.9 and np.mean(kept[0]) < 0.25
