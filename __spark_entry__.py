@@ -161,18 +161,18 @@ def skip_by_key_filter(given: Given) -> DataFrame:
 
 @query
 def sketched_stats(given: Given) -> DataFrame:
-    """Counts of an index table after each of three loads, by sketches kept for each load.
+    """Counts of a vector table after each of three loads, by sketches kept for each load.
 
     Estimates of distinct values are shown by whether they are within 2 % of exact counts.
     """
-    index = given.index()
-    table = f"{shared_folder(given.spark)}/index-{uuid.uuid4().hex}"
+    table = f"{shared_folder(given.spark)}/vectors-{uuid.uuid4().hex}"
     states = None
-    for version, tag in enumerate("OFP", start=1):
-        tables.append_rows(filters.with_tag(index, tag), schemas.MASTER_INDEX, table, load_id=tag)
-        about = cut_lineage(jobs.estimated_stats(given.spark, schemas.MASTER_INDEX, table))
-        rows = tables.read_table(given.spark, schemas.MASTER_INDEX, table)
-        exact = report.table_stats(rows).select(
+    for version, part in enumerate(("low", "middle", "high"), start=1):
+        rows = by_number(given.vectors(), part)
+        tables.append_rows(rows, schemas.CHUNK_VECTORS, table, load_id=part)
+        about = cut_lineage(jobs.estimated_stats(given.spark, schemas.CHUNK_VECTORS, table))
+        loaded = tables.read_table(given.spark, schemas.CHUNK_VECTORS, table)
+        exact = report.table_stats(loaded).select(
             F.col("cik").alias("ciks"), F.col("filings").alias("all_filings")
         )
         near = [
@@ -488,31 +488,38 @@ def pages_by_key(given: Given) -> DataFrame:
     )
 
 
+def by_number(rows: DataFrame, part: str) -> DataFrame:
+    """One of three parts of a chunk table, told by chunk number."""
+    first, end = {"low": (0, 3), "middle": (3, 6), "high": (6, 10)}[part]
+    return rows.where((F.col("chunk_num") >= first) & (F.col("chunk_num") < end))
+
+
 @query
 def committed_loads(given: Given) -> DataFrame:
-    """Rows by tag in each state of an index table loaded tag by tag, one load twice.
+    """Rows by chunk number in each state of a vector table of three loads, one loaded twice.
 
     Another load fails after some of its rows are written.
     """
-    index = given.index()
-    table = f"{shared_folder(given.spark)}/index-{uuid.uuid4().hex}"
+    vectors = given.vectors()
+    table = f"{shared_folder(given.spark)}/vectors-{uuid.uuid4().hex}"
 
     def load(rows: DataFrame, name: str) -> None:
-        tables.append_rows(rows, schemas.MASTER_INDEX, table, load_id=name)
+        tables.append_rows(rows, schemas.CHUNK_VECTORS, table, load_id=name)
 
-    load(filters.with_tag(index, "O"), "O")
-    load(filters.with_tag(index, "F"), "F")
-    load(filters.with_tag(index, "O"), "O")
-    broken = F.when(F.xxhash64("accession_number") % 3 != 0, F.col("company_name"))
+    load(by_number(vectors, "low"), "low")
+    load(by_number(vectors, "middle"), "middle")
+    load(by_number(vectors, "low"), "low")
+    high = by_number(vectors, "high")
+    some = F.when(F.xxhash64("cik", "chunk_num") % 3 != 0, F.col("embedding"))
     try:
-        load(filters.with_tag(index, "P").withColumn("company_name", broken), "P")
-    except PySparkException:  # a name is NULL; what has been written is not published
-        load(filters.with_tag(index, "P"), "P")
+        load(high.withColumn("embedding", some), "high")
+    except PySparkException:  # a vector is NULL; what has been written is not published
+        load(high, "high")
     states = None
     for version in loads.snapshots(given.spark, table):
-        rows = tables.read_table(given.spark, schemas.MASTER_INDEX, table, version=version)
-        counts = rows.groupBy(joined(F.col("tags")).alias("tag")).agg(F.count(F.lit(1)).alias("n"))
-        state = counts.select(F.lit(version).alias("version"), "tag", "n")
+        rows = tables.read_table(given.spark, schemas.CHUNK_VECTORS, table, version=version)
+        counts = rows.groupBy("chunk_num").agg(F.count(F.lit(1)).alias("n"))
+        state = counts.select(F.lit(version).alias("version"), "chunk_num", "n")
         states = state if states is None else states.unionAll(state)
     return states
 

@@ -573,12 +573,11 @@ ORACLES: dict[str, str] = {
             AS place,
           CAST(doc_id % 10 AS INTEGER) AS chunk_num, text AS chunk_text
         FROM documents""",
-    "sketched_stats": f"""WITH {INDEX},
-        loaded AS (SELECT * FROM (VALUES (1, 'O'), (2, 'F'), (3, 'P')) v(first, tag)),
-        versions AS (SELECT unnest([1, 2, 3]) AS version)
-        SELECT CAST(version AS INTEGER) AS version, count(tag) AS total, true AS cik_near,
+    "sketched_stats": """
+        SELECT CAST(version AS INTEGER) AS version, count(*) AS total, true AS cik_near,
           true AS filings_near
-        FROM versions LEFT JOIN (SELECT * FROM idx JOIN loaded USING (tag)) ON version >= first
+        FROM embeddings, (SELECT unnest([1, 2, 3]) AS version)
+        WHERE vec_id % 10 < CASE version WHEN 1 THEN 3 WHEN 2 THEN 6 ELSE 10 END
         GROUP BY 1""",
     "pages_by_key": """
         WITH named AS (
@@ -586,11 +585,11 @@ ORACLES: dict[str, str] = {
           GROUP BY l_orderkey HAVING count(*) = 1)
         SELECT page_id, length(html) AS n_chars, md5(html) AS content
         FROM pages WHERE page_id IN (SELECT page_id FROM named)""",
-    "committed_loads": f"""WITH {INDEX},
-        loaded AS (SELECT * FROM (VALUES (1, 'O'), (2, 'F'), (3, 'P')) v(first, tag)),
-        versions AS (SELECT unnest([1, 2, 3]) AS version)
-        SELECT CAST(version AS INTEGER) AS version, tag, count(*) AS n
-        FROM idx JOIN loaded USING (tag) JOIN versions ON version >= first
+    "committed_loads": """
+        SELECT CAST(version AS INTEGER) AS version, CAST(vec_id % 10 AS INTEGER) AS chunk_num,
+          count(*) AS n
+        FROM embeddings, (SELECT unnest([1, 2, 3]) AS version)
+        WHERE vec_id % 10 < CASE version WHEN 1 THEN 3 WHEN 2 THEN 6 ELSE 10 END
         GROUP BY 1, 2""",
     "tags_null_and_two": f"""WITH {INDEX},
         marked AS (SELECT *, tag <> 'F' AND CAST(cik AS BIGINT) % 2 = 0 AS two_tags FROM idx)
