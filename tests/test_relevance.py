@@ -167,3 +167,28 @@ def test_pairs_are_cut_while_phrases_stream():
         want += [(str(f), i, name) for _, i, name in sorted(pairs)[:4]]
     assert sorted((r["cik"], r["chunk_num"], r["phrase"]) for r in got) == sorted(want)
     assert len(held._names) <= 28
+
+
+def test_kept_pairs_are_not_sorted_again_for_every_block(monkeypatch):
+    """Cuts grow in number with the pairs taken, not with the blocks that meet many filings."""
+    cuts = []
+    cut = search._Held._cut
+    monkeypatch.setattr(search._Held, "_cut", lambda self: cuts.append(1) or cut(self))
+    monkeypatch.setattr(search, "PENDING_PAIRS", 50)
+    monkeypatch.setattr(search, "PHRASES_PER_BLOCK", 10)
+    rng = np.random.default_rng(5)
+    filings = [str(i) for i in range(100)]
+    held = search._Held(4)
+    held.add(pa.record_batch({"cik": filings, "accession_number": filings, "chunk_num": pa.array([0] * 100, pa.int32()),
+                              "vector": rng.normal(size=(100, 5)).tolist()}))
+    phrases = rng.normal(size=(3000, 5))
+    held.meet(pa.record_batch({"phrase": [f"{i:04d}" for i in range(3000)], "vector": phrases.tolist()}))
+    assert held.pairs().num_rows == 400
+    assert len(cuts) < 30  # of 300 blocks
+
+
+def test_each_part_of_the_chunks_has_a_task(spark):
+    vectors, phrases = make_search(spark, filings=64, per_filing=16)
+    found = search.phrase_distances(vectors, phrases, 5, shipped_bytes=0)
+    tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks == spark.sparkContext.defaultParallelism
