@@ -202,7 +202,7 @@ def filing_manifest(given: Given) -> DataFrame:
         F.col("l_partkey").cast("string"),
         F.lit(".htm\n&lt;DESCRIPTION&gt;A &amp; B\n&lt;TEXT&gt;\n&lt;/TEXT&gt;\n&lt;/DOCUMENT&gt;\n"),
     )
-    lines = spread(given.table("lineitem"), "l_orderkey", "l_linenumber")
+    lines = spread(given.table("lineitem"), "l_orderkey", "l_linenumber", waves=2)
     pages = lines.select(
         F.format_string(
             "edgar/data/%d/%d/%d-index-headers.html", "l_suppkey", "l_orderkey", "l_orderkey"

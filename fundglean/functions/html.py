@@ -224,14 +224,19 @@ def decode_entities(text: Column) -> Column:
             let(F.regexp_extract(part, reference, 1), lambda ref: resolve(part, ref))
         ),
     )
+    # The ampersand itself comes last. As patterns, which are looked for in longer steps than
+    # F.replace takes; what is left has few ampersands to look behind.
     plain = text
-    for name in reversed(COMMON_ENTITIES):  # the ampersand itself comes last
-        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(ENTITIES[name]))
-    others = rf"&(?!(?:{'|'.join(COMMON_ENTITIES)});)[#A-Za-z]"
-    return (
-        F.when(~F.contains(text, F.lit("&")), text)
-        .when(~F.rlike(text, F.lit(others)), plain)
-        .otherwise(F.array_join(parts, ""))
+    for name in reversed(COMMON_ENTITIES[1:]):
+        plain = F.regexp_replace(plain, f"&{name};", ENTITIES[name])
+    settled = let(
+        plain,
+        lambda most: F.when(
+            ~F.rlike(most, F.lit("&(?!amp;)[#A-Za-z]")), F.regexp_replace(most, "&amp;", "&")
+        ),
+    )
+    return F.when(~F.contains(text, F.lit("&")), text).otherwise(
+        F.coalesce(settled, F.array_join(parts, ""))
     )
 
 

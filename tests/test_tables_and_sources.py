@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fundglean import schemas
 from fundglean.operators import filters, report, sampling, tickers
 from fundglean.plans import jobs
+from fundglean.operators.spreading import spread
 from fundglean.sources import filings, fund_lists, index_files, tables
 
 HEADER = "".join(f"header line {i}\n" for i in range(9)) + "CIK|Name|Form|Date|File\n" + "-" * 30 + "\n"
@@ -270,3 +271,24 @@ def test_index_is_laid_out_by_quarter(spark, archive, tmp_path):
     plan = jobs._index_between(spark, at, ("2004-01-01", "2004-12-31"))
     assert "PartitionFilters: [isnotnull(year" in plan._jdf.queryExecution().executedPlan().toString()
     assert [r.accession_number for r in plan.collect()] == ["0001-04-1"]
+
+
+def test_a_headers_page_is_looked_through_once(spark):
+    """The block of a page is found once, and its text decoded once, for all that is read from it."""
+    rows = [("edgar/data/1/2-3/2-3-index-headers.html", "<PRE>&lt;SEC-HEADER&gt;\n</PRE>")]
+    pages = spark.createDataFrame(rows, "path string, content string")
+    headers = filings.filing_headers(filings.keyed_headers_pages(pages))
+    plan = headers._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(content") == 1
+    assert [(r.cik, r.accession_number, r.folder, r.documents) for r in headers.collect()] == [
+        ("1", "2-3", "edgar/data/1/2-3", [])
+    ]
+
+
+def test_few_more_splits_than_slots_are_dealt_out_again(spark):
+    slots = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 1000, 1, slots + 1)
+    assert spread(rows, "id").rdd.getNumPartitions() == slots + 1
+    assert spread(rows, "id", waves=2).rdd.getNumPartitions() == 2 * slots
+    many = spark.range(0, 1000, 1, 2 * slots)
+    assert "Exchange" not in spread(many, "id", waves=2)._jdf.queryExecution().executedPlan().toString()
