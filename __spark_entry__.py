@@ -448,7 +448,10 @@ def chunk_pages(given: Given) -> DataFrame:
 
 @query
 def chunk_outcomes(given: Given) -> DataFrame:
-    """What came of each order as a filing whose document, a page, has type A."""
+    """What came of each order as a filing whose document, a page, has type A.
+
+    A page is chunked once, however many filings it is the document of.
+    """
     pages = given.table("pages").select(
         F.col("page_id").cast("string").alias("path"),
         F.col("html").alias("content"),
@@ -460,9 +463,10 @@ def chunk_outcomes(given: Given) -> DataFrame:
         F.coalesce("filename", F.lit("")).alias("path"),
     )
     html = documents_.where(F.endswith("filename", F.lit(".htm")))
-    contents = filing_files.with_contents(html, pages, "inner")
-    chunks = jobs.chunk_pages(contents, PAGE_CHUNK_SIZE, keys=["filing"])
-    return jobs.outcomes(documents_, pages, chunks, ["filing"])
+    wanted = html.select("path").distinct()
+    contents = filing_files.with_contents(wanted, pages, "inner")
+    chunks = jobs.chunk_pages(contents, PAGE_CHUNK_SIZE, keys=["path"])
+    return jobs.outcomes(documents_, pages, chunks, ["filing"], ["path"])
 
 
 @query

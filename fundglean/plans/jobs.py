@@ -175,17 +175,23 @@ def pages_of(spark: SparkSession, at: Tables, filings: DataFrame, kind: str) ->
 
 
 def outcomes(
-    documents: DataFrame, pages: DataFrame, chunks: DataFrame, keys=FILING_KEYS
+    documents: DataFrame,
+    pages: DataFrame,
+    chunks: DataFrame,
+    keys=FILING_KEYS,
+    chunk_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """What came of each filing: keys, ``status`` and ``n_chunks``.
 
     ``documents`` has the keys, ``filename``, ``path`` and a status: ``ok``,
     ``missing`` or ``ambiguous``. An ok document may turn out ``not_html``,
     ``no_content`` (no page at its path) or ``single`` (one chunk or none). Of ``pages``
-    (``path``, ``n_chars``) no content is read.
+    (``path``, ``n_chars``) no content is read. ``chunks`` has the columns ``chunk_keys`` of
+    ``documents``, the filing's keys if none are given.
     """
+    chunk_keys = list(keys if chunk_keys is None else chunk_keys)
     there = pages.where(F.col("n_chars").isNotNull()).select("path", F.lit(True).alias("there"))
-    counts = chunks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = chunks.groupBy(*chunk_keys).agg(F.count(F.lit(1)).alias("n"))
     status = (
         F.when(F.col("status") != "ok", F.col("status"))
         .when(~is_html_path(F.col("filename")), "not_html")
@@ -195,7 +201,7 @@ def outcomes(
     )
     return (
         documents.join(there.distinct(), "path", "left")
-        .join(counts, list(keys), "left")
+        .join(counts, chunk_keys, "left")
         .select(*keys, status.alias("status"), F.coalesce("n", F.lit(0)).alias("n_chunks"))
     )
 

@@ -4,6 +4,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from fundglean import schemas
 from fundglean.plans import jobs
 from fundglean.plans.jobs import Tables
@@ -198,3 +199,39 @@ def test_settled_filings_can_be_tried_again(world):
     assert jobs.chunk(spark, at, "all", size=1000) is False
     assert jobs.chunk(spark, at, "all", size=1000, retry=["missing"])
     assert last() == {"100": "ok", "105": "ok"}
+
+
+def test_filings_of_one_page_share_its_chunks(spark):
+    """Chunks told by path are counted once and hold for every filing of that document."""
+    documents = spark.createDataFrame(
+        [(1, "ok", "p.htm", "p"), (2, "ok", "p.htm", "p"), (3, "ok", "q.htm", "q"), (4, "missing", None, "")],
+        "filing long, status string, filename string, path string",
+    )
+    pages = spark.createDataFrame([("p", 9), ("q", 9)], "path string, n_chars long")
+    chunks = spark.createDataFrame([("p", 0), ("p", 1)], "path string, chunk_num int")
+    rows = jobs.outcomes(documents, pages, chunks, ["filing"], ["path"]).collect()
+    assert sorted(map(tuple, rows)) == [(1, "ok", 2), (2, "ok", 2), (3, "single", 0), (4, "missing", 0)]
+
+
+def test_a_page_of_many_filings_is_chunked_once(spark, tmp_path):
+    """Orders of one part name one page, whose chunks are made in a single row."""
+    lines = [(order, 1, 0, 1, "A") for order in range(50)]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    html = "<p>" + "A sentence of some length here. " * 40 + "</p>"
+    spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet"
+    )
+    made = []
+    chunk_pages = jobs.chunk_pages
+
+    def spied(pages, *rest, **named):
+        made.append(pages.count())
+        return chunk_pages(pages, *rest, **named)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jobs, "chunk_pages", spied)
+        rows = entry.queries()["chunk_outcomes"](spark, str(tmp_path)).collect()
+    assert made == [1]
+    assert len(rows) == 50 and {r.status for r in rows} == {"ok"} and {r.n_chunks > 1 for r in rows} == {True}
