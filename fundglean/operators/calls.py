@@ -10,9 +10,9 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fundglean.functions.binding import let
 from fundglean.functions.responses import (
@@ -39,6 +39,7 @@ class RequestLimits(NamedTuple):
 TOKEN_LIMITED = RequestLimits(8_191, 99_999)
 COUNT_LIMITED = RequestLimits(12_000, 250)
 PROMPTS_PER_CALL = 16
+REQUESTS_HELD = 16
 
 
 def word_count(text: Column) -> Column:
@@ -50,16 +51,21 @@ def word_count(text: Column) -> Column:
 def embedded(texts: Column, embed: Embed) -> Column:
     """Vectors of each row's array of texts, which make one request of a user's function."""
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
-    def vectors(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in rows:
-            out = []
-            for request in series:
-                answer = list(embed(list(request)))
-                if len(answer) != len(request):
-                    raise ValueError("the embedding function must return one vector a text")
-                out.append([list(v) for v in answer])
-            yield pd.Series(out, dtype=object)
+    kind = pa.list_(pa.list_(pa.float32()))
+
+    def answered(request: list[str]) -> list[list[float]]:
+        answer = list(embed(request))
+        if len(answer) != len(request):
+            raise ValueError("the embedding function must return one vector a text")
+        return [list(v) for v in answer]
+
+    @F.arrow_udf("array<array<float>>")
+    def vectors(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in rows:
+            # Texts and vectors of few requests stand as Python values at a time.
+            parts = (batch.slice(i, REQUESTS_HELD) for i in range(0, len(batch), REQUESTS_HELD))
+            made = [pa.array([answered(r) for r in part.to_pylist()], kind, from_pandas=True) for part in parts]
+            yield pa.concat_arrays(made) if made else pa.array([], kind)
 
     return vectors.asNondeterministic()(texts)
 

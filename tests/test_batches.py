@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fundglean.operators import batches
+from fundglean.operators import batches, calls
 
 
 def expected(sizes, max_tokens, max_chunks):
@@ -98,3 +98,23 @@ def test_a_filing_of_sixty_thousand_chunks(spark):
     want = expected([i % 7 + 1 for i in range(n)], 40, 9)
     assert {(i, r.batch_id) for r in rows for i in r.n} == set(enumerate(want))
     assert max(r.size for r in rows) <= 9
+
+
+def test_vectors_of_few_requests_are_python_values_at_a_time(spark):
+    """A worker holds texts and vectors of a batch as Arrow, not as Python lists."""
+
+    def traced(texts):
+        import tracemalloc
+
+        import pandas  # noqa: F401  what Arrow loads itself is not counted
+
+        if not tracemalloc.is_tracing():
+            tracemalloc.start()
+        held = tracemalloc.get_traced_memory()[0]
+        return [[float(held)] + [i + 0.5 for i in range(500)] for _ in texts]
+
+    rows = spark.range(0, 2000, 1, 1).select(F.array(F.col("id").cast("string")).alias("texts"))
+    vectors = rows.select(calls.embedded(F.col("texts"), traced).alias("v")).select("v", F.col("v")[0][0].alias("held"))
+    about = vectors.agg(F.max("held").alias("held"), F.count("v").alias("n"), F.max(F.size(F.col("v")[0])).alias("size")).first()
+    assert (about.n, about.size) == (2000, 501)
+    assert about.held < 4_000_000  # 32 MB as lists
